@@ -91,9 +91,9 @@ PARTITION = "dt_ingestion"
 
 @dataclass(frozen=True)
 class Rules:
-    """Target city and the limits of every check; fixed published values as defaults."""
+    """Target cities and the limits of every check; fixed published values as defaults."""
 
-    city: str = TARGET_CITY
+    cities: tuple[str, ...] = (TARGET_CITY,)
     max_corrupt_rate: float = 0.01
     max_report_rows: int = 10_000
     min_bronze_rows: int = 10_000_000

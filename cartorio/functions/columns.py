@@ -48,9 +48,3 @@ def count_where(condition: Column) -> Column:
 def sum_where(condition: Column, amount: Column) -> Column:
     """Sum over the rows meeting the condition; 0 when there are none."""
     return F.coalesce(F.sum(F.when(condition, amount)), F.lit(0).cast("bigint"))
-
-
-def null_rate(name: str) -> Column:
-    """Share of nulls in a column; 0 on empty input. Counts only, so it stays one hash aggregate."""
-    rows = F.count(F.lit(1))
-    return ratio(rows - F.count(F.col(name)), rows)

@@ -44,9 +44,9 @@ def outside(column: str, allowed: Iterable[str]) -> Column:
     return F.col(column).isNull() | ~F.col(column).isin(list(allowed))
 
 
-def elsewhere(city: str) -> Column:
-    """A city other than the target; a null city is not elsewhere."""
-    return F.col("municipio") != city
+def elsewhere(cities: Iterable[str]) -> Column:
+    """A city other than the targets; a null city is not elsewhere."""
+    return ~F.col("municipio").isin(list(cities))
 
 
 def wrong_length(column: str = "cnpj_completo", length: int = ID_LENGTH) -> Column:

@@ -22,7 +22,7 @@ from cartorio.fixed import (
     TYPE_LABELS,
     Rules,
 )
-from cartorio.functions.columns import change, count_where, null_rate, ratio, sum_where
+from cartorio.functions.columns import change, count_where, ratio, sum_where
 from cartorio.functions.predicates import elsewhere, is_active, outside, wrong_length
 
 PASSED = "all_checks_passed"
@@ -42,8 +42,8 @@ def _side_by_side(*single_rows: DataFrame) -> DataFrame:
     return stacked.agg(*[F.first(name, ignorenulls=True).alias(name) for name in stacked.columns])
 
 
-def _highest(rates: Sequence[Column]) -> Column:
-    return F.greatest(*rates) if len(rates) > 1 else rates[0]
+def _lowest(values: Sequence[Column]) -> Column:
+    return F.least(*values) if len(values) > 1 else values[0]
 
 
 def input_checks(
@@ -53,7 +53,13 @@ def input_checks(
     present = all(name in bronze.columns for name in REQUIRED_FIELDS)
     measured = bronze.agg(
         F.count(F.lit(1)).alias("record_count"),
-        _highest([null_rate(name) for name in columns or bronze.columns]).alias("worst_null_rate"),
+        _lowest([F.count(name) for name in columns or bronze.columns]).alias("least_filled"),
+    ).select(
+        "record_count",
+        # All rates share the row count, so the worst one is that of the least filled column.
+        ratio(
+            F.col("record_count") - F.col("least_filled"), F.col("record_count")
+        ).alias("worst_null_rate"),
     )
     return _judged(measured, {
         "has_minimum_records": F.col("record_count") >= rules.min_bronze_rows,
@@ -77,7 +83,7 @@ def business_checks(silver: DataFrame, rules: Rules = Rules()) -> DataFrame:
     kind = F.col("establishment_type")
     measured = silver.agg(
         F.count(F.lit(1)).alias("record_count"),
-        count_where(elsewhere(rules.city)).alias("rows_elsewhere"),
+        count_where(elsewhere(rules.cities)).alias("rows_elsewhere"),
         count_where(outside("establishment_type", TYPE_LABELS.values())).alias("odd_types"),
         count_where(outside("registration_status", STATUS_LABELS.values())).alias("odd_statuses"),
         count_where(wrong_length()).alias("odd_ids"),

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartorio.fixed import BRANCH, HEADQUARTERS, Rules
-from cartorio.functions.columns import count_where, null_rate, ratio, sum_where
+from cartorio.functions.columns import count_where, ratio, sum_where
 from cartorio.functions.predicates import is_active, is_corrupt
 
 GROUP_KEYS = ("establishment_type", "registration_status")
@@ -39,12 +39,14 @@ def distinct_labels(silver: DataFrame) -> DataFrame:
 
 
 def null_rates(rows: DataFrame) -> DataFrame:
-    """Null rate of every column, one row per column, from a single pass."""
-    wide = rows.agg(*[null_rate(name).alias(name) for name in rows.columns])
-    return wide.select(F.inline(F.array(*[
-        F.struct(F.lit(name).alias("column"), F.col(name).alias("null_rate"))
-        for name in rows.columns
-    ])))
+    """Null rate of every column, one row per column, from a single pass of counts; 0 on no rows."""
+    wide = rows.agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.count(name).alias(name) for name in rows.columns]
+    )
+    total, filled = F.col("_rows"), F.col("_filled")
+    return wide.unpivot([total], rows.columns, "column", "_filled").select(
+        "column", ratio(total - filled, total).alias("null_rate")
+    )
 
 
 def corrupt_rate(scanned: DataFrame, rules: Rules = Rules()) -> DataFrame:

@@ -5,19 +5,21 @@ from __future__ import annotations
 import hashlib
 import logging
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cartorio.fixed import CORRUPT_FIELD, CURATED_INPUT, Rules
+from cartorio.fixed import CORRUPT_FIELD, CURATED_INPUT, PARTITION, Rules
 from cartorio.functions.predicates import check_month, check_snapshot, is_corrupt
 from cartorio.operators import checks
 from cartorio.operators.conform import curated, stamped
 from cartorio.operators.lookup import city_codes
 from cartorio.operators.measures import corrupt_rate, type_status_counts
 from cartorio.operators.report import compare, console_text, summary
-from cartorio.sources.delimited import stage_extract
+from cartorio.sources.archives import expand_archives, require_expanded
+from cartorio.sources.delimited import read_lookup, stage_extract
 from cartorio.sources.layers import (
     EmptyMonth,
     has_month,
@@ -27,7 +29,8 @@ from cartorio.sources.layers import (
     write_month,
 )
 from cartorio.sources.layouts import BRONZE, GOLD, QUARANTINE, SILVER
-from cartorio.sources.scratch import shared_folder
+from cartorio.sources.manifest import classified, expected_files, landed_files, missing_files
+from cartorio.sources.scratch import fresh_folder, shared_folder
 
 log = logging.getLogger(__name__)
 
@@ -72,6 +75,22 @@ class Layers:
         return f"{self.root}/quarantine"
 
 
+def unpack(spark: SparkSession, landing: str, month: str, kind: str) -> str:
+    """The month's archives of one file type, under ``landing/<month>``, expanded into one folder.
+
+    Refused when an expected archive has not arrived or one cannot be expanded whole.
+    """
+    landed = classified(landed_files(spark, f"{landing.rstrip('/')}/{check_snapshot(month)}"))
+    expected = expected_files(landed.select(F.lit(month).alias(PARTITION)), [kind])
+    gap = missing_files(expected, landed).first()
+    if gap:
+        raise FileNotFoundError(f"not landed for {month}: {gap.file_name}")
+    folder = fresh_folder(spark, f"{month}-{kind}")
+    archives = landed.filter(F.col("file_type") == kind).select(F.col("path").alias("archive"))
+    require_expanded(expand_archives(archives, folder))
+    return folder
+
+
 def _stage_folder(spark: SparkSession, target: str, month: str) -> str:
     """Where a month waits for its verdict: one place per target, so reruns reuse the space."""
     mark = hashlib.md5(f"{target}\n{month}".encode()).hexdigest()
@@ -135,7 +154,6 @@ def build_silver(
     layers: Layers,
     month: str,
     rules: Rules = Rules(),
-    cities: Sequence[str] | None = None,
     show_plan: bool = False,
 ) -> DataFrame:
     """One curated month from the ten columns it needs.
@@ -145,7 +163,7 @@ def build_silver(
     """
     bronze = read_bronze(spark, layers, month, CURATED_INPUT)
     require_rows(bronze, f"bronze {month}")
-    rows = stamped(curated(bronze, cities or [rules.city]), month, "ts_transform")
+    rows = stamped(curated(bronze, rules.cities), month, "ts_transform")
     if show_plan:
         rows.explain("formatted")
     require_rows(rows, f"curated rows of {month}")
@@ -204,6 +222,7 @@ def run(
     root: str,
     month: str,
     paths: str | Sequence[str] | None = None,
+    landing: str | None = None,
     job: str = "full",
     skip_ingest: bool = False,
     force: bool = False,
@@ -216,33 +235,38 @@ def run(
 ) -> Row | None:
     """The stages a job name stands for, in order; returns the report row if it was asked for.
 
-    A layer that already holds the month is kept unless ``force`` is set. Once one layer has been
+    Text comes from ``paths`` or from the archives in ``landing``, where the city lookup lies too. A
+    layer that already holds the month is kept unless ``force`` is set; once one layer has been
     rebuilt, those after it are rebuilt too, so that no layer is older than its source.
     """
     check_month(month)
     stages, layers = JOBS[job], Layers(root)
     rebuild = force
-
-    def due(layer: str, schema) -> bool:
+    if city_name:
+        if lookup is None:
+            if not landing:
+                raise ValueError("a city name needs the city lookup, or a landing folder with it")
+            lookup = read_lookup(spark, unpack(spark, landing, month, "municipios"))
+        rules = replace(rules, cities=tuple(city_codes(lookup, city_name)))
+
+    def due(layer: str, schema: T.StructType) -> bool:
         return rebuild or not has_month(spark, layer, month, schema)
 
     if "bronze" in stages and not skip_ingest and due(layers.bronze, BRONZE):
-        load_bronze(spark, paths or [], layers, month, rules)
+        source = unpack(spark, landing, month, "estabelecimentos") if landing else paths or []
+        load_bronze(spark, source, layers, month, rules)
         rebuild = True
     if "bronze" in stages and check_input:
-        checks.require(
-            checks.input_checks(read_bronze(spark, layers, month), rules), f"bronze {month}"
-        )
+        bronze = read_bronze(spark, layers, month)
+        checks.require(checks.input_checks(bronze, rules), f"bronze {month}")
     if "silver" in stages and due(layers.silver, SILVER):
-        cities = city_codes(lookup, city_name) if city_name else None
-        build_silver(spark, layers, month, rules, cities, show_plan)
+        build_silver(spark, layers, month, rules, show_plan)
         rebuild = True
     if "gold" in stages and due(layers.gold, GOLD):
         build_gold(spark, layers, month, rules)
     if "validate" in stages:
-        checks.require(
-            validate(spark, layers, month, previous, rules), f"month {month}", "all_passed"
-        )
+        verdict = validate(spark, layers, month, previous, rules)
+        checks.require(verdict, f"month {month}", "all_passed")
     if "report" not in stages:
         return None
     figures = report(spark, layers, month, rules)

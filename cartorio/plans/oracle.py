@@ -11,53 +11,12 @@ from cartorio.plans.queries import (
     PREVIOUS,
     UNLISTED_NAME,
 )
+from cartorio.plans.registry import raw_line, select_list
 from cartorio.sources.layouts import RAW, RAW_NAMES
 
-REGISTRY = """
+REGISTRY = f"""
 registry AS (
-  SELECT
-    lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS cnpj_basico,
-    lpad(CAST(o_custkey % 10000 AS VARCHAR), 4, '0') AS cnpj_ordem,
-    lpad(CAST(o_orderkey % 97 AS VARCHAR), 2, '0') AS cnpj_dv,
-    CASE WHEN o_orderkey % 50 = 7 THEN NULL WHEN o_orderkey % 50 = 8 THEN 3
-         WHEN o_orderpriority = '1-URGENT' THEN 2 ELSE 1 END AS identificador_matriz_filial,
-    CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE c_name END AS nome_fantasia,
-    CASE WHEN o_orderkey % 20 = 0 THEN 1 WHEN o_orderkey % 20 = 1 THEN 3
-         WHEN o_orderkey % 20 = 2 THEN 4 WHEN o_orderkey % 20 = 3 THEN 9
-         WHEN o_orderkey % 20 = 4 THEN NULL WHEN o_orderkey % 20 < 10 THEN 8
-         ELSE 2 END AS situacao_cadastral,
-    CASE WHEN o_orderkey % 7 = 0 THEN NULL
-         ELSE strftime(o_orderdate, '%Y%m%d') END AS data_situacao_cadastral,
-    CASE WHEN o_orderkey % 9 = 0 THEN NULL
-         ELSE CAST(o_orderkey % 64 AS INTEGER) END AS motivo_situacao_cadastral,
-    CASE WHEN o_orderkey % 200 = 0 THEN n_name END AS nome_cidade_exterior,
-    CASE WHEN o_orderkey % 200 = 0
-         THEN lpad(CAST(c_nationkey AS VARCHAR), 3, '0') END AS pais,
-    strftime(o_orderdate, '%Y%m%d') AS data_inicio_atividade,
-    lpad(CAST(o_custkey % 1000 AS VARCHAR), 7, '0') AS cnae_fiscal_principal,
-    lpad(CAST(o_orderkey % 1000 AS VARCHAR), 7, '0') || ','
-      || lpad(CAST(o_custkey % 777 AS VARCHAR), 7, '0') AS cnae_fiscal_secundaria,
-    CASE o_orderkey % 3 WHEN 0 THEN 'RUA' WHEN 1 THEN 'AVENIDA' ELSE 'PRAÇA' END AS tipo_logradouro,
-    'São "' || c_mktsegment || '"; ' || n_name AS logradouro,
-    CAST(o_orderkey % 9999 AS VARCHAR) AS numero,
-    CASE WHEN o_orderkey % 2 = 1
-         THEN 'SALA ' || CAST(o_custkey % 50 AS VARCHAR) END AS complemento,
-    o_orderpriority AS bairro,
-    lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS cep,
-    r_name AS uf,
-    CAST(7100 + c_nationkey AS VARCHAR) AS municipio,
-    CAST(11 + c_nationkey AS VARCHAR) AS ddd_1,
-    lpad(CAST(o_orderkey % 100000000 AS VARCHAR), 8, '0') AS telefone_1,
-    CASE WHEN o_orderkey % 10 = 0 THEN '11' END AS ddd_2,
-    CASE WHEN o_orderkey % 10 = 0 THEN lpad(CAST(o_custkey AS VARCHAR), 8, '0') END AS telefone_2,
-    CAST(NULL AS VARCHAR) AS ddd_fax,
-    CAST(NULL AS VARCHAR) AS fax,
-    CASE WHEN o_orderkey % 4 = 0 THEN NULL
-         ELSE 'contato' || CAST(o_custkey AS VARCHAR) || '@example.com' END AS correio_eletronico,
-    CASE WHEN o_orderkey % 500 = 1 THEN 'ESPOLIO' END AS situacao_especial,
-    CASE WHEN o_orderkey % 500 = 1
-         THEN strftime(o_orderdate, '%Y%m%d') END AS data_situacao_especial,
-    o_orderkey AS record_no
+  SELECT {", ".join(select_list("strftime(o_orderdate, '%Y%m%d')"))}
   FROM orders JOIN customer ON o_custkey = c_custkey
        JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 )"""
@@ -207,14 +166,6 @@ OUTPUT = _output(
     "gold_current", "gold_previous",
 )
 
-QUOTED = [
-    f"""'"' || replace(coalesce(CAST({name} AS VARCHAR), ''), '"', '""') || '"'"""
-    for name in RAW_NAMES
-]
-TEXT_FOR_NUMBER = [
-    """'"xx"'""" if name == "situacao_cadastral" else field
-    for name, field in zip(RAW_NAMES, QUOTED)
-]
 SOUND = "record_no % 499 NOT IN (1, 2, 3)"
 DAMAGED = "record_no % 499 IN (1, 2, 3)"
 EXPECTED = """
@@ -319,11 +270,7 @@ FROM (SELECT count(*) AS total, count(*) FILTER ({DAMAGED}) AS corrupt FROM regi
     "csv_roundtrip": _with(REGISTRY, f"""
 SELECT {', '.join(RAW_NAMES)}, '{CURRENT}' AS dt_ingestion FROM registry WHERE {SOUND}"""),
     "csv_quarantine": _with(REGISTRY, f"""
-SELECT CASE record_no % 499
-         WHEN 1 THEN {" || ';' || ".join(QUOTED[:12])}
-         WHEN 2 THEN {" || ';' || ".join(QUOTED)} || ';"more"'
-         WHEN 3 THEN {" || ';' || ".join(TEXT_FOR_NUMBER)} END AS raw_line,
-       '{CURRENT}' AS dt_ingestion
+SELECT {raw_line()} AS raw_line, '{CURRENT}' AS dt_ingestion
 FROM registry WHERE {DAMAGED}"""),
     "layer_roundtrip": _with(SNAPSHOTS, """
 SELECT * FROM gold_previous UNION ALL SELECT * FROM gold_current"""),

@@ -15,13 +15,12 @@ from cartorio.plans import monthly
 from cartorio.plans.packing import pack_files
 from cartorio.plans.registry import (
     cities,
-    extract_lines,
     opened_by,
     opening_months,
     registry,
-    write_lines,
+    write_extract,
 )
-from cartorio.sources.archives import check_archives, expand_archives, expanded_paths
+from cartorio.sources.archives import check_archives, expand_archives, require_expanded
 from cartorio.sources.delimited import stage_extract
 from cartorio.sources.layers import write_month
 from cartorio.sources.layouts import BRONZE, RAW_NAMES, describe, pick
@@ -272,7 +271,7 @@ def manifest_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _extract(spark: SparkSession, sf_dir: str) -> str:
     folder = fresh_folder(spark, "extract")
-    write_lines(extract_lines(registry(spark, sf_dir)).select("line"), folder)
+    write_extract(registry(spark, sf_dir), folder)
     return folder
 
 
@@ -354,8 +353,9 @@ def archive_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def archive_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archives expanded, loaded as a month, and counted by city."""
     layers = monthly.Layers(fresh_folder(spark, "layers"))
-    expanded = expand_archives(_packed(spark, sf_dir), fresh_folder(spark, "expanded"))
-    bronze = monthly.load_bronze(spark, expanded_paths(expanded), layers, CURRENT)
+    target = fresh_folder(spark, "expanded")
+    require_expanded(expand_archives(_packed(spark, sf_dir), target))
+    bronze = monthly.load_bronze(spark, target, layers, CURRENT)
     return measures.count_by(bronze, "municipio")
 
 

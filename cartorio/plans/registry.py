@@ -12,78 +12,87 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartorio.fixed import PARTITION
-from cartorio.sources.layouts import RAW, RAW_NAMES
-
-TABLES = ("orders", "customer", "nation", "region")
+from cartorio.sources.layouts import RAW_NAMES
+
+# Declared, so that no query starts with jobs that only look at file footers.
+TABLES = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
+# The raw fields over orders, customer, nation and region, in SQL both engines read; {day} is the
+# order date as yyyyMMdd text.
+FIELDS = {
+    "cnpj_basico": "lpad(CAST(o_orderkey AS STRING), 8, '0')",
+    "cnpj_ordem": "lpad(CAST(o_custkey % 10000 AS STRING), 4, '0')",
+    "cnpj_dv": "lpad(CAST(o_orderkey % 97 AS STRING), 2, '0')",
+    "identificador_matriz_filial":
+        "CASE WHEN o_orderkey % 50 = 7 THEN NULL WHEN o_orderkey % 50 = 8 THEN 3"
+        " WHEN o_orderpriority = '1-URGENT' THEN 2 ELSE 1 END",
+    "nome_fantasia": "CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE c_name END",
+    "situacao_cadastral":
+        "CASE WHEN o_orderkey % 20 = 0 THEN 1 WHEN o_orderkey % 20 = 1 THEN 3"
+        " WHEN o_orderkey % 20 = 2 THEN 4 WHEN o_orderkey % 20 = 3 THEN 9"
+        " WHEN o_orderkey % 20 = 4 THEN NULL WHEN o_orderkey % 20 < 10 THEN 8 ELSE 2 END",
+    "data_situacao_cadastral": "CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE {day} END",
+    "motivo_situacao_cadastral":
+        "CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE CAST(o_orderkey % 64 AS INT) END",
+    "nome_cidade_exterior": "CASE WHEN o_orderkey % 200 = 0 THEN n_name END",
+    "pais": "CASE WHEN o_orderkey % 200 = 0 THEN lpad(CAST(c_nationkey AS STRING), 3, '0') END",
+    "data_inicio_atividade": "{day}",
+    "cnae_fiscal_principal": "lpad(CAST(o_custkey % 1000 AS STRING), 7, '0')",
+    "cnae_fiscal_secundaria":
+        "lpad(CAST(o_orderkey % 1000 AS STRING), 7, '0') || ',' ||"
+        " lpad(CAST(o_custkey % 777 AS STRING), 7, '0')",
+    "tipo_logradouro":
+        "CASE o_orderkey % 3 WHEN 0 THEN 'RUA' WHEN 1 THEN 'AVENIDA' ELSE 'PRAÇA' END",
+    "logradouro": "'São \"' || c_mktsegment || '\"; ' || n_name",
+    "numero": "CAST(o_orderkey % 9999 AS STRING)",
+    "complemento":
+        "CASE WHEN o_orderkey % 2 = 1 THEN 'SALA ' || CAST(o_custkey % 50 AS STRING) END",
+    "bairro": "o_orderpriority",
+    "cep": "lpad(CAST(o_custkey AS STRING), 8, '0')",
+    "uf": "r_name",
+    "municipio": "CAST(7100 + c_nationkey AS STRING)",
+    "ddd_1": "CAST(11 + c_nationkey AS STRING)",
+    "telefone_1": "lpad(CAST(o_orderkey % 100000000 AS STRING), 8, '0')",
+    "ddd_2": "CASE WHEN o_orderkey % 10 = 0 THEN '11' END",
+    "telefone_2":
+        "CASE WHEN o_orderkey % 10 = 0 THEN lpad(CAST(o_custkey AS STRING), 8, '0') END",
+    "ddd_fax": "CAST(NULL AS STRING)",
+    "fax": "CAST(NULL AS STRING)",
+    "correio_eletronico":
+        "CASE WHEN o_orderkey % 4 = 0 THEN NULL"
+        " ELSE 'contato' || CAST(o_custkey AS STRING) || '@example.com' END",
+    "situacao_especial": "CASE WHEN o_orderkey % 500 = 1 THEN 'ESPOLIO' END",
+    "data_situacao_especial": "CASE WHEN o_orderkey % 500 = 1 THEN {day} END",
+}
+
+
+def select_list(day: str) -> list[str]:
+    """The select list of the registry view, given the engine's spelling of the day."""
+    return [
+        *(f"{FIELDS[name].format(day=day)} AS {name}" for name in RAW_NAMES),
+        "o_orderkey AS record_no",
+    ]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _digits(number: Column, width: int) -> Column:
-    return F.lpad(number.cast("string"), width, "0")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The thirty raw fields and ``record_no``; unused fields are pruned down to the scans."""
     orders, customer, nation, region = (table(spark, sf_dir, name) for name in TABLES)
-    key, cust, city = F.col("o_orderkey"), F.col("o_custkey"), F.col("c_nationkey")
-    opened = F.date_format("o_orderdate", "yyyyMMdd")
-    abroad, special = key % 200 == 0, key % 500 == 1
-    nothing = F.lit(None).cast("string")
-    step = key % 20
-    values = {
-        "cnpj_basico": _digits(key, 8),
-        "cnpj_ordem": _digits(cust % 10000, 4),
-        "cnpj_dv": _digits(key % 97, 2),
-        "identificador_matriz_filial": F.when(key % 50 == 7, None).when(key % 50 == 8, 3)
-        .when(F.col("o_orderpriority") == "1-URGENT", 2).otherwise(1),
-        "nome_fantasia": F.when(key % 3 != 0, F.col("c_name")),
-        "situacao_cadastral": F.when(step == 0, 1).when(step == 1, 3).when(step == 2, 4)
-        .when(step == 3, 9).when(step == 4, None).when(step < 10, 8).otherwise(2),
-        "data_situacao_cadastral": F.when(key % 7 != 0, opened),
-        "motivo_situacao_cadastral": F.when(key % 9 != 0, key % 64),
-        "nome_cidade_exterior": F.when(abroad, F.col("n_name")),
-        "pais": F.when(abroad, _digits(city, 3)),
-        "data_inicio_atividade": opened,
-        "cnae_fiscal_principal": _digits(cust % 1000, 7),
-        "cnae_fiscal_secundaria": F.concat(
-            _digits(key % 1000, 7), F.lit(","), _digits(cust % 777, 7)
-        ),
-        "tipo_logradouro": F.when(key % 3 == 0, "RUA").when(key % 3 == 1, "AVENIDA")
-        .otherwise("PRAÇA"),
-        "logradouro": F.concat(
-            F.lit('São "'), F.col("c_mktsegment"), F.lit('"; '), F.col("n_name")
-        ),
-        "numero": (key % 9999).cast("string"),
-        "complemento": F.when(
-            key % 2 == 1, F.concat(F.lit("SALA "), (cust % 50).cast("string"))
-        ),
-        "bairro": F.col("o_orderpriority"),
-        "cep": _digits(cust, 8),
-        "uf": F.col("r_name"),
-        "municipio": (city + 7100).cast("string"),
-        "ddd_1": (city + 11).cast("string"),
-        "telefone_1": _digits(key % 100000000, 8),
-        "ddd_2": F.when(key % 10 == 0, "11"),
-        "telefone_2": F.when(key % 10 == 0, _digits(cust, 8)),
-        "ddd_fax": nothing,
-        "fax": nothing,
-        "correio_eletronico": F.when(
-            key % 4 != 0, F.concat(F.lit("contato"), cust.cast("string"), F.lit("@example.com"))
-        ),
-        "situacao_especial": F.when(special, "ESPOLIO"),
-        "data_situacao_especial": F.when(special, opened),
-    }
     return (
-        orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(
-            *[values[field.name].cast(field.dataType).alias(field.name) for field in RAW],
-            key.alias("record_no"),
-        )
+        orders.join(customer, F.expr("o_custkey = c_custkey"))
+        .join(nation, F.expr("c_nationkey = n_nationkey"))
+        .join(region, F.expr("n_regionkey = r_regionkey"))
+        .selectExpr(*select_list("date_format(o_orderdate, 'yyyyMMdd')"))
     )
 
 
@@ -94,8 +103,8 @@ def opened_by(last_day: str) -> Column:
 
 def cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The city lookup."""
-    return table(spark, sf_dir, "nation").select(
-        (F.col("n_nationkey") + 7100).cast("string").alias("code"), F.col("n_name").alias("name")
+    return table(spark, sf_dir, "nation").selectExpr(
+        "CAST(7100 + n_nationkey AS STRING) AS code", "n_name AS name"
     )
 
 
@@ -107,35 +116,32 @@ def opening_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _quoted(name: str) -> Column:
-    text = F.coalesce(F.col(name).cast("string"), F.lit(""))
-    return F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
+def raw_line() -> str:
+    """A registry row as a line of the raw extract, in SQL both engines read. One line in 499 each
+    is cut short, too long, or holds text in a number field."""
+    def quoted(name: str) -> str:
+        text = f"""'"' || replace(coalesce(CAST({name} AS STRING), ''), '"', '""') || '"'"""
+        if name == "situacao_cadastral":
+            return f"""CASE WHEN record_no % 499 = 3 THEN '"xx"' ELSE {text} END"""
+        return text
 
+    def line(names: list[str]) -> str:
+        return " || ';' || ".join(quoted(name) for name in names)
 
-def extract_lines(rows: DataFrame) -> DataFrame:
-    """Registry rows as lines of the raw extract; one in 499 each is cut short, too long, or holds
-    text in a number field."""
-    fields = [_quoted(name) for name in RAW_NAMES]
-    text_for_number = [
-        F.lit('"xx"') if name == "situacao_cadastral" else field
-        for name, field in zip(RAW_NAMES, fields)
-    ]
-    turn = F.col("record_no") % 499
-    return rows.select(
-        F.when(turn == 1, F.concat_ws(";", *fields[:12]))
-        .when(turn == 2, F.concat_ws(";", *fields, F.lit('"more"')))
-        .when(turn == 3, F.concat_ws(";", *text_for_number))
-        .otherwise(F.concat_ws(";", *fields))
-        .alias("line"),
-        "record_no",
+    return (
+        f"{line(RAW_NAMES[:12])} || CASE WHEN record_no % 499 = 1 THEN ''"
+        f" ELSE ';' || {line(RAW_NAMES[12:])} END"
+        """ || CASE WHEN record_no % 499 = 2 THEN ';"more"' ELSE '' END"""
     )
 
 
-def write_lines(lines: DataFrame, folder: str, **options: str) -> None:
-    """Lines as they are, in the extract's encoding."""
+def write_extract(rows: DataFrame, folder: str) -> None:
+    """Registry rows as text files of the raw extract, lines as they are, in its encoding."""
     (
-        lines.write.options(
+        rows.selectExpr(raw_line())
+        .write.options(
             encoding="ISO-8859-1", quote="", sep="\u0001", escapeQuotes="false", emptyValue="",
-            ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false", **options,
-        ).csv(folder)
+            ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false",
+        )
+        .csv(folder)
     )

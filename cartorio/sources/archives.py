@@ -166,12 +166,11 @@ def expand_archives(archives: DataFrame, target: str) -> DataFrame:
     return archives.sparkSession.read.schema(EXPANDED).parquet(manifest)
 
 
-def expanded_paths(manifest: DataFrame) -> list[str]:
-    """The files to scan. Refuses a manifest with problems: a month is built from all or nothing."""
+def require_expanded(manifest: DataFrame) -> None:
+    """Refuses a manifest with problems: a month is built from all of its files or not at all."""
     problem = manifest.filter(F.col("problem").isNotNull()).first()
     if problem:
         raise ValueError(f"archive not expanded: {problem.asDict()}")
-    return sorted(row.path for row in manifest.select("path").collect())
 
 
 # The functions above run in Python workers that need not have this package installed.

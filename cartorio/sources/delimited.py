@@ -24,7 +24,7 @@ def scan_extract(
     """Rows of all files, with the damaged lines kept whole in ``_corrupt_record``.
 
     No inference pass. Lines stay splittable (no multi-line fields), so a file of any size is read
-    by many tasks.
+    by many tasks. A folder stands for all files below it.
 
     Damage is judged by the fields a query uses: the parser skips the others, and a bad number in
     a skipped field goes unseen. Judge it on ``stage_extract``, never on this scan.
@@ -33,7 +33,9 @@ def scan_extract(
         raise ValueError("no files to read")
     return (
         spark.read.schema(scan_schema(schema))
-        .options(**CSV_FORMAT, columnNameOfCorruptRecord=CORRUPT_FIELD)
+        .options(
+            **CSV_FORMAT, columnNameOfCorruptRecord=CORRUPT_FIELD, recursiveFileLookup="true"
+        )
         .csv(paths if isinstance(paths, str) else list(paths))
     )
 
@@ -55,4 +57,6 @@ def stage_extract(spark: SparkSession, paths: str | Sequence[str], folder: str)
 
 def read_lookup(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """City codes and names."""
-    return spark.read.schema(LOOKUP).options(**CSV_FORMAT).csv(paths)
+    return (
+        spark.read.schema(LOOKUP).options(**CSV_FORMAT, recursiveFileLookup="true").csv(paths)
+    )

@@ -87,19 +87,12 @@ def describe(df: DataFrame, schema: T.StructType = RAW) -> DataFrame:
 
     One pass: a count per field, then the single wide row is turned into one row per field.
     """
-    measured = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.count(name).alias(name) for name in schema.fieldNames()],
-    )
-    fields = F.array(*[
-        F.struct(
-            F.lit(position).alias("position"),
-            F.lit(field.name).alias("field"),
-            F.lit(field.dataType.simpleString()).alias("type"),
-            F.lit(not field.nullable).alias("required"),
-            F.lit(field.name in CRITICAL_FIELDS).alias("critical"),
-            F.col(field.name).alias("filled"),
-        )
+    names = schema.fieldNames()
+    measured = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count(n).alias(n) for n in names])
+    fields = ", ".join(
+        f"struct({position} AS position, '{field.name}' AS field, "
+        f"'{field.dataType.simpleString()}' AS type, {not field.nullable} AS required, "
+        f"{field.name in CRITICAL_FIELDS} AS critical, `{field.name}` AS filled)"
         for position, field in enumerate(schema, start=1)
-    ])
-    return measured.select("rows", F.inline(fields))
+    )
+    return measured.selectExpr("rows", f"inline(array({fields}))")

@@ -31,6 +31,20 @@ def landed_files(spark: SparkSession, folder: str, pattern: str = "*.zip") -> Da
     )
 
 
+def classified(landed: DataFrame) -> DataFrame:
+    """Landed files with the snapshot (their folder), their name and what they hold.
+
+    The lookup has another layout than the extracts; read with theirs it would enter bronze as
+    damaged rows. Files of unknown name get no type.
+    """
+    parts = F.split("path", "/")
+    name = F.element_at(parts, -1)
+    kind = F.coalesce(*[F.when(name.isin(names), kind) for kind, names in ARCHIVES.items()])
+    return landed.withColumns({
+        PARTITION: F.element_at(parts, -2), "file_name": name, "file_type": kind,
+    })
+
+
 def missing_files(expected: DataFrame, landed: DataFrame) -> DataFrame:
     """Expected files that are not there."""
     return expected.join(
