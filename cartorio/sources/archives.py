@@ -8,6 +8,7 @@ chunks and, when expanding, writes it beside the others. No archive and no entry
 from __future__ import annotations
 
 import hashlib
+import io
 import re
 import shutil
 import sys
@@ -15,8 +16,10 @@ import uuid
 import zipfile
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
+import pyarrow as pa
 from pyarrow import fs as arrow_fs
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
@@ -42,9 +45,43 @@ def _locate(uri: str) -> tuple[arrow_fs.FileSystem, str]:
     return arrow_fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", plain))
 
 
-def _open(uri: str) -> zipfile.ZipFile:
+class _Stream(io.RawIOBase):
+    """An Arrow file that refuses a seek before its start the way ``zipfile`` expects."""
+
+    def __init__(self, file: pa.NativeFile) -> None:
+        self._file = file
+
+    def readable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return True
+
+    def tell(self) -> int:
+        return self._file.tell()
+
+    def seek(self, offset: int, whence: int = io.SEEK_SET) -> int:
+        try:
+            return self._file.seek(offset, whence)
+        except pa.ArrowInvalid as error:
+            raise OSError(str(error)) from error
+
+    def readinto(self, buffer) -> int:
+        return self._file.readinto(buffer)
+
+    def close(self) -> None:
+        self._file.close()
+        super().close()
+
+
+@contextmanager
+def _open(uri: str) -> Iterator[zipfile.ZipFile]:
     files, path = _locate(uri)
-    return zipfile.ZipFile(files.open_input_file(path))
+    with (
+        io.BufferedReader(_Stream(files.open_input_file(path)), CHUNK) as stream,
+        zipfile.ZipFile(stream) as opened,
+    ):
+        yield opened
 
 
 def _list_entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -21,7 +21,8 @@ def expected_files(snapshots: DataFrame, kinds: Iterable[str] = tuple(ARCHIVES))
 
 
 def landed_files(spark: SparkSession, folder: str, pattern: str = "*.zip") -> DataFrame:
-    """Files under a folder; only the listing is read, not the contents."""
+    """Files under a folder; only the listing is read, not the contents. An empty file has not
+    landed yet and is left out."""
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)

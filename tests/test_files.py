@@ -1,0 +1,428 @@
+"""Delimited text, layers on disk, archives and whole months."""
+
+from __future__ import annotations
+
+import os
+import subprocess
+import sys
+import zipfile
+from pathlib import Path
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from cartorio.fixed import ARCHIVES, CURATED_INPUT, Rules
+from cartorio.operators.checks import CheckFailed
+from cartorio.operators.conform import stamped
+from cartorio.operators.measures import corrupt_rate
+from cartorio.plans import monthly
+from cartorio.plans.registry import registry
+from cartorio.sources.archives import check_archives, expand_archives, require_expanded
+from cartorio.sources.delimited import read_lookup, scan_extract, stage_extract
+from cartorio.sources.layers import EmptyMonth, has_month, read_month, write_month
+from cartorio.sources.layouts import BRONZE, GOLD, RAW_NAMES, SILVER
+from cartorio.sources.manifest import classified, expected_files, landed_files, missing_files
+from cartorio.sources.scratch import shared_folder
+from support import plan_of, raw_rows, sound
+
+SHORT = T.StructType().add("id", "string").add("st", T.IntegerType()).add("nm", "string")
+LINES = [
+    ('"1";"02";"SÃO ""X"" PAULO"', ("1", 2, 'SÃO "X" PAULO'), False),
+    ('"2";"xx";"bad int"', ("2", None, "bad int"), True),
+    ('"3";"08"', ("3", 8, None), True),
+    ('"4";"01";"";"extra"', ("4", 1, None), True),
+    (';"02";"a\\b"', (None, 2, "a\\b"), False),
+    ('"5";"02";', ("5", 2, None), False),
+]
+
+
+@pytest.fixture
+def short_csv(tmp_path):
+    path = tmp_path / "short.csv"
+    path.write_bytes("\n".join(line for line, _, _ in LINES).encode("latin-1"))
+    return str(path)
+
+
+def test_permissive_scan(spark, short_csv):
+    rows = scan_extract(spark, short_csv, SHORT).collect()
+    found = [((r.id, r.st, r.nm), r._corrupt_record) for r in rows]
+    assert found == [
+        (values, line if corrupt else None) for line, values, corrupt in LINES
+    ]
+
+
+def test_scan_of_several_files_and_of_none(spark, short_csv, tmp_path):
+    (tmp_path / "more.csv").write_text('"6";"02";"x"\n')
+    paths = [short_csv, str(tmp_path / "more.csv")]
+    assert scan_extract(spark, paths, SHORT).count() == 7
+    assert scan_extract(spark, str(tmp_path), SHORT).count() == 7
+    with pytest.raises(ValueError, match="no files"):
+        scan_extract(spark, [])
+
+
+def line_of(row: dict) -> str:
+    return ";".join(f'"{row[name]}"' if row.get(name) is not None else '""' for name in RAW_NAMES)
+
+
+def write_csv(path: Path, rows, damaged=()) -> str:
+    lines = [*map(line_of, rows), *damaged]
+    path.write_bytes(("\n".join(lines) + "\n").encode("latin-1"))
+    return str(path)
+
+
+CLEAN = [
+    *[sound(n) for n in range(8)],
+    *[sound(n, identificador_matriz_filial=2) for n in range(8, 10)],
+    sound(10, situacao_cadastral=8),
+    sound(11, municipio="6001"),
+    sound(12, situacao_cadastral=None),
+]
+RULES = Rules(min_bronze_rows=1, min_silver_rows=1, max_corrupt_rate=0.5)
+
+
+def test_damage_is_judged_on_whole_lines(spark, tmp_path):
+    """A bad number in a field the query skips goes unseen on the scan, not on the staged table."""
+    bad_number = line_of(sound(1)).replace('"2"', '"xx"', 1)
+    path = write_csv(tmp_path / "a.csv", [sound(0)], [bad_number, '"1";"2"'])
+    staged = stage_extract(spark, path, str(tmp_path / "staged"))
+    assert tuple(corrupt_rate(staged).first()) == (3, 2, 2 / 3, False)
+    assert staged.filter("_corrupt_record IS NOT NULL").select("_corrupt_record").count() == 2
+    assert {Path(r.source_file).name for r in staged.select("source_file").collect()} == {"a.csv"}
+
+
+def test_corrupt_rate_of_nothing(spark, tmp_path):
+    staged = stage_extract(spark, write_csv(tmp_path / "a.csv", CLEAN), str(tmp_path / "staged"))
+    assert tuple(corrupt_rate(staged.limit(0)).first()) == (0, 0, 0.0, True)
+
+
+def test_bronze_keeps_good_rows_and_quarantines_the_rest(spark, tmp_path):
+    layers = monthly.Layers(str(tmp_path / "lake"))
+    damaged = ['"1";"2"', line_of(sound(90)) + ';"more"']
+    path = write_csv(tmp_path / "a.csv", CLEAN, damaged)
+    bronze = monthly.load_bronze(spark, path, layers, "2026-01", RULES)
+    assert bronze.columns == BRONZE.fieldNames()
+    assert bronze.count() == len(CLEAN)
+    assert {r.dt_ingestion for r in bronze.collect()} == {"2026-01"}
+    assert bronze.filter("ts_ingestion IS NULL").count() == 0
+    caught = monthly.read_quarantine(spark, layers, "2026-01").collect()
+    assert {r.raw_line for r in caught} == set(damaged)
+    assert {Path(r.source_file).name for r in caught} == {"a.csv"}
+
+    # A clean rerun clears the quarantine of the month as well.
+    monthly.load_bronze(spark, write_csv(tmp_path / "b.csv", CLEAN), layers, "2026-01", RULES)
+    assert monthly.read_quarantine(spark, layers, "2026-01").count() == 0
+
+
+def test_too_much_damage_publishes_nothing(spark, tmp_path):
+    layers = monthly.Layers(str(tmp_path / "lake"))
+    path = write_csv(tmp_path / "a.csv", CLEAN, ['"1";"2"'])
+    with pytest.raises(CheckFailed, match="damaged"):
+        monthly.load_bronze(spark, path, layers, "2026-01")
+    assert not has_month(spark, layers.bronze, "2026-01", BRONZE)
+    with pytest.raises(EmptyMonth):
+        only_damage = write_csv(tmp_path / "b.csv", [], ['"1";"2"'])
+        monthly.load_bronze(spark, only_damage, layers, "2026-01", Rules(max_corrupt_rate=1.0))
+
+
+def test_months_do_not_touch_each_other(spark, tmp_path):
+    root = str(tmp_path / "gold")
+
+    def month(name, count):
+        rows = spark.createDataFrame(
+            [("Matriz", "ATIVA", count)],
+            "establishment_type string, registration_status string, count bigint",
+        )
+        return write_month(stamped(rows, name, "ts_aggregation"), root, name, GOLD)
+
+    for name, count in (("2026-01", 1), ("2026-02", 2), ("2026-01-15", 3), ("2026-01", 4)):
+        assert month(name, count).first()["count"] == count
+    names = ["2026-01", "2026-02", "2026-01-15"]
+    rows = read_month(spark, root, names, GOLD)
+    assert {(r.dt_ingestion, r["count"]) for r in rows.collect()} == {
+        ("2026-01", 4), ("2026-02", 2), ("2026-01-15", 3),
+    }
+    assert dict(rows.dtypes)["dt_ingestion"] == "string"
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        read_month(spark, root, "2025-01", GOLD)
+    assert not has_month(spark, root, "2025-01", GOLD) and has_month(spark, root, "2026-01", GOLD)
+
+
+@pytest.fixture
+def lake(spark, tmp_path):
+    layers = monthly.Layers(str(tmp_path / "lake"))
+    monthly.load_bronze(spark, write_csv(tmp_path / "a.csv", CLEAN), layers, "2026-01", RULES)
+    return layers
+
+
+def test_empty_results_are_refused_and_the_old_month_stays(spark, lake):
+    monthly.build_silver(spark, lake, "2026-01", RULES)
+    with pytest.raises(EmptyMonth):
+        monthly.build_silver(spark, lake, "2026-01", Rules(cities=("0000",)))
+    assert monthly.read_silver(spark, lake, "2026-01").count() == 11
+
+
+def test_silver_and_gold(spark, lake):
+    silver = monthly.build_silver(spark, lake, "2026-01", RULES)
+    assert silver.columns == SILVER.fieldNames() and silver.count() == 11
+    bronze_ids = monthly.read_bronze(spark, lake, "2026-01").select("cnpj_basico")
+    assert silver.join(bronze_ids, "cnpj_basico", "left_anti").count() == 0
+    before = silver.drop("ts_transform").collect()
+    gold = monthly.build_gold(spark, lake, "2026-01", RULES)
+    assert gold.columns == GOLD.fieldNames()
+    assert {tuple(r)[:3] for r in gold.collect()} == {
+        ("Matriz", "ATIVA", 8), ("Filial", "ATIVA", 2), ("Matriz", "BAIXADA", 1),
+    }
+    assert len(list(Path(lake.gold).glob("*/*.parquet"))) == 1
+    # What is returned is what was written: the load time does not move between reads.
+    assert gold.collect() == gold.collect()
+    again = monthly.build_silver(spark, lake, "2026-01", RULES).drop("ts_transform").collect()
+    assert sorted(again) == sorted(before)
+
+
+def test_silver_plan(spark, lake, capfd):
+    monthly.build_silver(spark, lake, "2026-01", RULES, show_plan=True)
+    plan = capfd.readouterr().out
+    assert "EqualTo(municipio,7107)" in plan
+    pruned = monthly.read_bronze(spark, lake, "2026-01", CURATED_INPUT)
+    assert pruned.columns == list(CURATED_INPUT)
+
+
+def test_only_the_month_asked_for_is_listed(spark, lake):
+    plan = plan_of(monthly.read_bronze(spark, lake, "2026-01"))
+    assert "1 paths" in plan or "dt_ingestion=2026-01]" in plan
+
+
+def test_compare_months(spark, lake, tmp_path):
+    path = write_csv(tmp_path / "b.csv", [sound(n) for n in range(11)])
+    for month, source in (("2026-01", None), ("2026-02", path)):
+        monthly.run(spark, lake.root, month, source, job="extract", rules=RULES)
+        monthly.run(spark, lake.root, month, job="transform", rules=RULES)
+        monthly.run(spark, lake.root, month, job="aggregate", rules=RULES)
+    row = monthly.compare_months(spark, lake, "2026-02", "2026-01").first()
+    assert (row.current_total, row.previous_total, row.variance) == (11, 10, 0.1)
+    assert row.within_threshold
+    assert monthly.validate(spark, lake, "2026-02", "2026-01", Rules(
+        min_silver_rows=1, min_ratio=0.0)).first().all_passed
+
+
+# --- whole runs -----------------------------------------------------------------------------------
+
+
+def test_full_run(spark, tmp_path, capsys):
+    root, path = str(tmp_path / "lake"), write_csv(tmp_path / "a.csv", CLEAN)
+    figures = monthly.run(spark, root, "2026-01", path, rules=RULES)
+    assert (figures.matriz_active, figures.filial_active, figures.total_active) == (8, 2, 10)
+    assert figures.ratio_filial_matriz == 0.25
+    assert "2026-01" in capsys.readouterr().out
+
+
+def test_run_keeps_what_is_there_unless_forced(spark, tmp_path):
+    root, path = str(tmp_path / "lake"), write_csv(tmp_path / "a.csv", CLEAN)
+    monthly.run(spark, root, "2026-01", path, rules=RULES)
+    more = write_csv(tmp_path / "b.csv", [*CLEAN, sound(50)])
+    assert monthly.run(spark, root, "2026-01", more, rules=RULES).matriz_active == 8
+    assert monthly.run(spark, root, "2026-01", more, rules=RULES, force=True).matriz_active == 9
+    kept = monthly.run(spark, root, "2026-01", path, rules=RULES, force=True, skip_ingest=True)
+    assert kept.matriz_active == 9
+
+
+def test_run_stops_on_failed_checks(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    path = write_csv(tmp_path / "a.csv", [*CLEAN, sound(60, situacao_cadastral=9)])
+    with pytest.raises(CheckFailed, match="2026-01"):
+        monthly.run(spark, root, "2026-01", path, rules=RULES)
+    with pytest.raises(CheckFailed, match="bronze"):
+        monthly.run(spark, root, "2026-01", path, job="bronze_only", rules=RULES, check_input=True)
+    with pytest.raises(ValueError):
+        monthly.run(spark, root, "2026-1", path)
+    with pytest.raises(KeyError):
+        monthly.run(spark, root, "2026-01", path, job="everything")
+    with pytest.raises(ValueError, match="lookup"):
+        monthly.run(spark, root, "2026-01", path, city_name="SAO PAULO")
+
+
+def test_stability_is_part_of_the_run(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    monthly.run(spark, root, "2026-01", write_csv(tmp_path / "a.csv", CLEAN), rules=RULES)
+    more = [*CLEAN, *[sound(n) for n in range(70, 80)]]
+    with pytest.raises(CheckFailed):
+        monthly.run(spark, root, "2026-02", write_csv(tmp_path / "b.csv", more), rules=RULES,
+                    previous="2026-01")
+
+
+# --- archives -------------------------------------------------------------------------------------
+
+
+def make_zip(path: Path, entries: dict[str, bytes]) -> str:
+    path.parent.mkdir(parents=True, exist_ok=True)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+        for name, content in entries.items():
+            archive.writestr(name, content)
+    return str(path)
+
+
+@pytest.fixture
+def archives(spark, tmp_path):
+    good = make_zip(tmp_path / "in/good.zip", {
+        "K.ESTABELE": b"1\n", "r.csv": b"2\n", "n.txt": b"3\n", "k.estabele": b"4\n",
+        "R.CSV": b"5\n", "../up/../_x.csv": b"6\n",
+    })
+    same_name = make_zip(tmp_path / "in/other/good.zip", {"r.csv": b"7\n"})
+    empty = make_zip(tmp_path / "in/empty.zip", {})
+    text = tmp_path / "in/text.zip"
+    text.write_text("not a zip")
+    damaged = Path(make_zip(tmp_path / "in/damaged.zip", {"d.csv": os.urandom(4000)}))
+    content = bytearray(damaged.read_bytes())
+    content[1000] ^= 0xFF
+    damaged.write_bytes(bytes(content))
+    paths = [good, same_name, empty, str(text), str(damaged), str(tmp_path / "in/none.zip")]
+    return spark.createDataFrame([(path,) for path in paths], "archive string")
+
+
+def test_check_archives(archives):
+    found = {
+        r.archive.split("/in/")[1]: tuple(r)[1:] for r in check_archives(archives).collect()
+    }
+    assert found == {
+        "good.zip": (True, True, True, True),
+        "other/good.zip": (True, True, True, True),
+        "empty.zip": (True, True, False, False),
+        "text.zip": (True, False, False, False),
+        "damaged.zip": (True, False, False, False),
+        "none.zip": (False, False, False, False),
+    }
+
+
+def test_expand_archives(spark, archives, tmp_path):
+    target = str(tmp_path / "out")
+    manifest = expand_archives(archives, target)
+    rows = manifest.collect()
+    good = {Path(r.path).read_bytes(): r for r in rows if not r.problem}
+    assert set(good) == {b"1\n", b"2\n", b"4\n", b"6\n", b"7\n"}
+    assert all(r.bytes == 2 and r.path.startswith(target) for r in good.values())
+    bad = {(Path(r.archive).name, r.entry) for r in rows if r.problem}
+    assert bad == {("text.zip", None), ("damaged.zip", "d.csv"), ("none.zip", None)}
+    assert len(list(Path(target).rglob("*.*"))) == 5
+    assert spark.read.option("recursiveFileLookup", "true").text(target).count() == 5
+    with pytest.raises(ValueError, match="not expanded"):
+        require_expanded(manifest)
+    # A second expansion, as after a lost task, ends in the same files.
+    expand_archives(archives, target)
+    assert len(list(Path(target).rglob("*.*"))) == 5
+
+
+def land(folder: Path, rows) -> None:
+    for number, name in enumerate(ARCHIVES["estabelecimentos"]):
+        lines = "".join(line_of(row) + "\n" for row in rows[number::10])
+        make_zip(folder / name, {f"K{number}.ESTABELE": lines.encode("latin-1")})
+    cities = '"7107";"SAO PAULO"\n"6001";"RIO DE JANEIRO"\n'
+    make_zip(folder / "Municipios.zip", {"F.MUNICCSV.csv": cities.encode("latin-1")})
+
+
+def test_run_from_archives_by_city_name(spark, tmp_path):
+    land(tmp_path / "landing/2026-01", CLEAN)
+    figures = monthly.run(
+        spark, str(tmp_path / "lake"), "2026-01", landing=str(tmp_path / "landing"),
+        city_name="SAO PAULO", rules=RULES,
+    )
+    assert figures.total_active == 10
+    layers = monthly.Layers(str(tmp_path / "lake"))
+    assert monthly.read_bronze(spark, layers, "2026-01").count() == len(CLEAN)
+
+
+def test_incomplete_landing_is_refused(spark, tmp_path):
+    land(tmp_path / "landing/2026-01", CLEAN)
+    (tmp_path / "landing/2026-01/Estabelecimentos7.zip").unlink()
+    with pytest.raises(FileNotFoundError, match="Estabelecimentos7.zip"):
+        monthly.unpack(spark, str(tmp_path / "landing"), "2026-01", "estabelecimentos")
+    assert monthly.unpack(spark, str(tmp_path / "landing"), "2026-01", "municipios")
+
+
+def test_manifest(spark, tmp_path):
+    land(tmp_path / "landing/2026-01", CLEAN)
+    (tmp_path / "landing/2026-01/Empresas0.zip").write_text("x")
+    (tmp_path / "landing/2026-01/Empresas1.zip").write_text("")
+    landed = classified(landed_files(spark, str(tmp_path / "landing")))
+    kinds = {r.file_name: r.file_type for r in landed.collect()}
+    assert kinds["Municipios.zip"] == "municipios" and kinds["Empresas0.zip"] is None
+    assert kinds["Estabelecimentos9.zip"] == "estabelecimentos" and len(kinds) == 12
+    months = spark.createDataFrame([("2026-01",), ("2026-02",), ("2026-01",)], "dt_ingestion string")
+    expected = expected_files(months)
+    assert expected.count() == 22
+    assert expected_files(months, ["municipios"]).count() == 2
+    assert missing_files(expected, landed).count() == 11
+
+
+def test_lookup_file(spark, tmp_path):
+    path = tmp_path / "m.csv"
+    path.write_bytes('"7107";"SÃO PAULO"\n'.encode("latin-1"))
+    assert [tuple(r) for r in read_lookup(spark, str(path)).collect()] == [("7107", "SÃO PAULO")]
+
+
+# --- running elsewhere ----------------------------------------------------------------------------
+
+
+def test_shared_folder_is_the_session_s(spark):
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def test_a_cluster_without_shared_folder_is_refused():
+    class Conf:
+        def get(self, name, default=None):
+            return {"spark.master": "spark://cluster:7077"}.get(name, default)
+
+    class Session:
+        conf = Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Session())
+
+
+def test_command_line(tmp_path):
+    path = write_csv(tmp_path / "a.csv", CLEAN)
+    home = Path(__file__).resolve().parent.parent
+    done = subprocess.run(
+        [sys.executable, "-m", "cartorio", "extract", "--month", "2026-01",
+         "--root", str(tmp_path / "lake"), "--paths", path],
+        cwd=home, capture_output=True, text=True, timeout=300,
+    )
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert (tmp_path / "lake/bronze/dt_ingestion=2026-01").is_dir()
+
+
+# --- skew -----------------------------------------------------------------------------------------
+
+
+def test_a_crowded_customer_is_split(spark, tmp_path, setting):
+    """A third of all orders on one customer: the join splits its partition and loses nothing."""
+    for table in ("customer", "nation", "region"):
+        (tmp_path / f"{table}.parquet").symlink_to(f"/root/testdata/sf0.01/{table}.parquet")
+    orders = spark.read.parquet("/root/testdata/sf0.1/orders.parquet")
+    crowded = orders.withColumn(
+        "o_custkey", F.when(F.col("o_orderkey") % 3 == 0, 7).otherwise(F.col("o_custkey") % 1500)
+    )
+    crowded.repartition(8).write.parquet(str(tmp_path / "orders.parquet"))
+
+    def counted():
+        rows = registry(spark, str(tmp_path))
+        return rows.groupBy("uf").agg(
+            F.count("*").alias("count"), F.sum(F.xxhash64(*rows.columns) % 1000).alias("mark")
+        )
+
+    expected = sorted(counted().collect())
+
+    for name, value in {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+        "spark.sql.shuffle.partitions": "16",
+    }.items():
+        setting(name, value)
+    split = counted()
+    assert sorted(split.collect()) == expected
+    assert sum(r["count"] for r in expected) == 150_000
+    assert "skewed" in plan_of(split) or "skew=true" in plan_of(split, "simple")
