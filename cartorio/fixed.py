@@ -103,5 +103,5 @@ class Rules:
     min_ratio: float = 0.01
     max_ratio: float = 1.0
     stability: float = 0.10
-    # 256 MB files at about 0.5 KB a row.
-    max_records_per_file: int = 524_288
+    # Curated files: 256 MB at about 0.5 KB a row.
+    max_rows_per_file: int = 524_288

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartorio.fixed import CORRUPT_FIELD, CURATED_INPUT, PARTITION, Rules
+from cartorio.fixed import CORRUPT_FIELD, CURATED_INPUT, PARTITION, REQUIRED_FIELDS, Rules
 from cartorio.functions.predicates import check_month, check_snapshot, is_corrupt
 from cartorio.operators import checks
 from cartorio.operators.conform import curated, stamped
@@ -126,9 +126,7 @@ def load_bronze(
         .write.mode("overwrite").parquet(month_path(layers.quarantine, month))
     )
     good = staged.filter(~is_corrupt()).drop(CORRUPT_FIELD, "source_file")
-    return write_month(
-        stamped(good, month, "ts_ingestion"), layers.bronze, month, BRONZE, rules=rules
-    )
+    return write_month(stamped(good, month, "ts_ingestion"), layers.bronze, month, BRONZE)
 
 
 def read_quarantine(spark: SparkSession, layers: Layers, month: str) -> DataFrame:
@@ -167,12 +165,12 @@ def build_silver(
     if show_plan:
         rows.explain("formatted")
     require_rows(rows, f"curated rows of {month}")
-    return write_month(rows, layers.silver, month, SILVER, files="rebalanced", rules=rules)
+    return write_month(
+        rows, layers.silver, month, SILVER, "rebalanced", rules.max_rows_per_file
+    )
 
 
-def build_gold(
-    spark: SparkSession, layers: Layers, month: str, rules: Rules = Rules()
-) -> DataFrame:
+def build_gold(spark: SparkSession, layers: Layers, month: str) -> DataFrame:
     """Counts of one month, published only if they add up to the curated rows.
 
     Two scans of two dictionary-encoded columns, one to reconcile and one to write; the curated rows
@@ -183,7 +181,7 @@ def build_gold(
     counts = type_status_counts(silver)
     checks.require(checks.reconcile(silver, counts), f"gold {month}", "matches")
     return write_month(
-        stamped(counts, month, "ts_aggregation"), layers.gold, month, GOLD, files="one", rules=rules
+        stamped(counts, month, "ts_aggregation"), layers.gold, month, GOLD, files="one"
     )
 
 
@@ -257,13 +255,15 @@ def run(
         load_bronze(spark, source, layers, month, rules)
         rebuild = True
     if "bronze" in stages and check_input:
+        # Judged on the required fields: others are empty by nature (fax, second telephone).
         bronze = read_bronze(spark, layers, month)
-        checks.require(checks.input_checks(bronze, rules), f"bronze {month}")
+        verdict = checks.input_checks(bronze, rules, REQUIRED_FIELDS)
+        checks.require(verdict, f"bronze {month}")
     if "silver" in stages and due(layers.silver, SILVER):
         build_silver(spark, layers, month, rules, show_plan)
         rebuild = True
     if "gold" in stages and due(layers.gold, GOLD):
-        build_gold(spark, layers, month, rules)
+        build_gold(spark, layers, month)
     if "validate" in stages:
         verdict = validate(spark, layers, month, previous, rules)
         checks.require(verdict, f"month {month}", "all_passed")

@@ -11,7 +11,7 @@ from cartorio.plans.queries import (
     PREVIOUS,
     UNLISTED_NAME,
 )
-from cartorio.plans.registry import raw_line, select_list
+from cartorio.plans.registry import select_list
 from cartorio.sources.layouts import RAW, RAW_NAMES
 
 REGISTRY = f"""
@@ -166,6 +166,13 @@ OUTPUT = _output(
     "gold_current", "gold_previous",
 )
 
+QUOTED = {
+    name: f"""'"' || replace(coalesce(CAST({name} AS VARCHAR), ''), '"', '""') || '"'"""
+    for name in RAW_NAMES
+}
+LINE = " || ';' || ".join(QUOTED.values())
+SHORT_LINE = " || ';' || ".join(list(QUOTED.values())[:12])
+TEXT_LINE = " || ';' || ".join({**QUOTED, "situacao_cadastral": """'"xx"'"""}.values())
 SOUND = "record_no % 499 NOT IN (1, 2, 3)"
 DAMAGED = "record_no % 499 IN (1, 2, 3)"
 EXPECTED = """
@@ -270,7 +277,9 @@ FROM (SELECT count(*) AS total, count(*) FILTER ({DAMAGED}) AS corrupt FROM regi
     "csv_roundtrip": _with(REGISTRY, f"""
 SELECT {', '.join(RAW_NAMES)}, '{CURRENT}' AS dt_ingestion FROM registry WHERE {SOUND}"""),
     "csv_quarantine": _with(REGISTRY, f"""
-SELECT {raw_line()} AS raw_line, '{CURRENT}' AS dt_ingestion
+SELECT CASE record_no % 499 WHEN 1 THEN {SHORT_LINE} WHEN 2 THEN {LINE} || ';"more"'
+                            WHEN 3 THEN {TEXT_LINE} END AS raw_line,
+       '{CURRENT}' AS dt_ingestion
 FROM registry WHERE {DAMAGED}"""),
     "layer_roundtrip": _with(SNAPSHOTS, """
 SELECT * FROM gold_previous UNION ALL SELECT * FROM gold_current"""),

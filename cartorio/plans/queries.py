@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartorio.fixed import CURATED_INPUT, PARTITION, REQUIRED_FIELDS, Rules
@@ -124,12 +124,14 @@ def quality_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def quality_distributions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def cells(dimension: str) -> Column:
+        return F.transform(f"{dimension}_distribution", lambda cell: F.struct(
+            F.lit(dimension).alias("dimension"), cell["label"].alias("label"),
+            cell["count"].alias("count"),
+        ))
+
     metrics = measures.quality_metrics(silver(spark, sf_dir))
-    return metrics.select(
-        F.lit("status").alias("dimension"), F.inline("status_distribution")
-    ).unionByName(
-        metrics.select(F.lit("type").alias("dimension"), F.inline("type_distribution"))
-    )
+    return metrics.select(F.inline(F.concat(cells("status"), cells("type"))))
 
 
 @_query

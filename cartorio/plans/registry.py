@@ -116,29 +116,26 @@ def opening_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_line() -> str:
-    """A registry row as a line of the raw extract, in SQL both engines read. One line in 499 each
-    is cut short, too long, or holds text in a number field."""
-    def quoted(name: str) -> str:
-        text = f"""'"' || replace(coalesce(CAST({name} AS STRING), ''), '"', '""') || '"'"""
-        if name == "situacao_cadastral":
-            return f"""CASE WHEN record_no % 499 = 3 THEN '"xx"' ELSE {text} END"""
-        return text
-
-    def line(names: list[str]) -> str:
-        return " || ';' || ".join(quoted(name) for name in names)
-
-    return (
-        f"{line(RAW_NAMES[:12])} || CASE WHEN record_no % 499 = 1 THEN ''"
-        f" ELSE ';' || {line(RAW_NAMES[12:])} END"
-        """ || CASE WHEN record_no % 499 = 2 THEN ';"more"' ELSE '' END"""
+def extract_lines(rows: DataFrame) -> DataFrame:
+    """Registry rows as lines of the raw extract. One line in 499 each is cut short, too long, or
+    holds text in a number field."""
+    turn = F.col("record_no") % 499
+    status = F.when(turn == 3, "xx").otherwise(F.col("situacao_cadastral").cast("string"))
+    rows = rows.withColumn("situacao_cadastral", status)
+    layout = {"sep": ";", "quoteAll": "true", "escape": '"'}
+    short, whole = (F.to_csv(F.struct(*names), layout) for names in (RAW_NAMES[:12], RAW_NAMES))
+    return rows.select(
+        F.when(turn == 1, short)
+        .when(turn == 2, F.concat(whole, F.lit(';"more"')))
+        .otherwise(whole)
+        .alias("line")
     )
 
 
 def write_extract(rows: DataFrame, folder: str) -> None:
     """Registry rows as text files of the raw extract, lines as they are, in its encoding."""
     (
-        rows.selectExpr(raw_line())
+        extract_lines(rows)
         .write.options(
             encoding="ISO-8859-1", quote="", sep="\u0001", escapeQuotes="false", emptyValue="",
             ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false",

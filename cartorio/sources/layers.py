@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from cartorio.fixed import PARTITION, Rules
+from cartorio.fixed import PARTITION
 from cartorio.functions.predicates import check_snapshot
 from cartorio.sources.layouts import pick
 
@@ -62,7 +62,7 @@ def write_month(
     month: str,
     schema: T.StructType,
     files: str = "as read",
-    rules: Rules = Rules(),
+    max_rows_per_file: int = 0,
 ) -> DataFrame:
     """Replace one snapshot of a layer, leave the others alone, and return what was written.
 
@@ -82,7 +82,7 @@ def write_month(
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
-        .option("maxRecordsPerFile", rules.max_records_per_file)
+        .option("maxRecordsPerFile", max_rows_per_file)
         .partitionBy(PARTITION)
         .parquet(root)
     )

@@ -169,7 +169,7 @@ def test_silver_and_gold(spark, lake):
     bronze_ids = monthly.read_bronze(spark, lake, "2026-01").select("cnpj_basico")
     assert silver.join(bronze_ids, "cnpj_basico", "left_anti").count() == 0
     before = silver.drop("ts_transform").collect()
-    gold = monthly.build_gold(spark, lake, "2026-01", RULES)
+    gold = monthly.build_gold(spark, lake, "2026-01")
     assert gold.columns == GOLD.fieldNames()
     assert {tuple(r)[:3] for r in gold.collect()} == {
         ("Matriz", "ATIVA", 8), ("Filial", "ATIVA", 2), ("Matriz", "BAIXADA", 1),
