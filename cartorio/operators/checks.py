@@ -24,6 +24,7 @@ from cartorio.fixed import (
 )
 from cartorio.functions.columns import change, count_where, ratio, sum_where
 from cartorio.functions.predicates import elsewhere, is_active, outside, wrong_length
+from cartorio.operators.measures import side_by_side
 
 PASSED = "all_checks_passed"
 
@@ -36,12 +37,6 @@ def _judged(measured: DataFrame, checks: dict[str, Column]) -> DataFrame:
     return measured.withColumns(checks).withColumn(PASSED, reduce(and_, map(F.col, checks)))
 
 
-def _side_by_side(*single_rows: DataFrame) -> DataFrame:
-    """One-row tables with different columns as one row: stacked, then folded."""
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), single_rows)
-    return stacked.agg(*[F.first(name, ignorenulls=True).alias(name) for name in stacked.columns])
-
-
 def _lowest(values: Sequence[Column]) -> Column:
     return F.least(*values) if len(values) > 1 else values[0]
 
@@ -125,7 +120,7 @@ def output_checks(
     ]
     if previous is not None:
         parts.append(previous.agg(active.alias("previous_active")))
-    measured = _side_by_side(*parts)
+    measured = side_by_side(*parts)
     moved = change(F.col("active"), F.col("previous_active")) if previous is not None else F.lit(0.0)
     return _judged(measured, {
         "sum_matches_silver": F.col("gold_sum").eqNullSafe(F.col("silver_rows")),
@@ -137,7 +132,7 @@ def output_checks(
 
 def run_gate(business: DataFrame, output: DataFrame) -> DataFrame:
     """One row: both bundles and their conjunction."""
-    both = _side_by_side(
+    both = side_by_side(
         business.select(F.col(PASSED).alias("business_passed")),
         output.select(F.col(PASSED).alias("output_passed")),
     )
@@ -146,7 +141,7 @@ def run_gate(business: DataFrame, output: DataFrame) -> DataFrame:
 
 def reconcile(silver: DataFrame, gold: DataFrame) -> DataFrame:
     """One row: rows counted in gold, rows in silver, and whether they are the same."""
-    sums = _side_by_side(
+    sums = side_by_side(
         gold.agg(F.sum("count").alias("gold_sum")),
         silver.agg(F.count(F.lit(1)).alias("silver_rows")),
     )

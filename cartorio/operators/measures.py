@@ -6,6 +6,8 @@ holds, so a type or status with most of the data is no heavier than the others.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,12 @@ from cartorio.functions.predicates import is_active, is_corrupt
 GROUP_KEYS = ("establishment_type", "registration_status")
 
 
+def side_by_side(*single_rows: DataFrame) -> DataFrame:
+    """One-row tables with different columns as one row: stacked, then folded; no join."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), single_rows)
+    return stacked.agg(*[F.first(name, ignorenulls=True).alias(name) for name in stacked.columns])
+
+
 def count_by(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
 

@@ -106,9 +106,8 @@ def load_bronze(
 ) -> DataFrame:
     """Raw files into one bronze month; damaged lines into quarantine; too much damage: nothing.
 
-    The verdict is a plain aggregate over the staged table (not a counter fed while writing, which
-    lost executors and rerun tasks would inflate), and what was judged is what is published.
-    Publishing reads the staged files packed into scan partitions of the usual size, which evens
+    The verdict is a plain aggregate over the staged table, exact whatever tasks were rerun, and what
+    was judged is what is published. Publishing reads the staged files packed into scan partitions of the usual size, which evens
     out file sizes without a shuffle.
     """
     check_snapshot(month)
@@ -160,11 +159,12 @@ def build_silver(
     shuffle moves those rows only, and saves thousands of tiny files.
     """
     bronze = read_bronze(spark, layers, month, CURATED_INPUT)
-    require_rows(bronze, f"bronze {month}")
     rows = stamped(curated(bronze, rules.cities), month, "ts_transform")
     if show_plan:
         rows.explain("formatted")
-    require_rows(rows, f"curated rows of {month}")
+    if rows.isEmpty():
+        require_rows(bronze, f"bronze {month}")
+        raise EmptyMonth(f"no rows of {month} in cities {rules.cities}")
     return write_month(
         rows, layers.silver, month, SILVER, "rebalanced", rules.max_rows_per_file
     )
@@ -177,9 +177,12 @@ def build_gold(spark: SparkSession, layers: Layers, month: str) -> DataFrame:
     themselves are counted from the file footers.
     """
     silver = read_silver(spark, layers, month)
-    require_rows(silver, f"silver {month}")
     counts = type_status_counts(silver)
-    checks.require(checks.reconcile(silver, counts), f"gold {month}", "matches")
+    sums = checks.reconcile(silver, counts).first()
+    if not sums.silver_rows:
+        raise EmptyMonth(f"no rows: silver {month}")
+    if not sums.matches:
+        raise checks.CheckFailed(f"gold {month} does not add up: {sums.asDict()}")
     return write_month(
         stamped(counts, month, "ts_aggregation"), layers.gold, month, GOLD, files="one"
     )

@@ -173,6 +173,8 @@ QUOTED = {
 LINE = " || ';' || ".join(QUOTED.values())
 SHORT_LINE = " || ';' || ".join(list(QUOTED.values())[:12])
 TEXT_LINE = " || ';' || ".join({**QUOTED, "situacao_cadastral": """'"xx"'"""}.values())
+WRITTEN = (f"""CASE record_no % 499 WHEN 1 THEN {SHORT_LINE} WHEN 2 THEN {LINE} || ';"more"' """
+           f"WHEN 3 THEN {TEXT_LINE} ELSE {LINE} END")
 SOUND = "record_no % 499 NOT IN (1, 2, 3)"
 DAMAGED = "record_no % 499 IN (1, 2, 3)"
 EXPECTED = """
@@ -277,8 +279,7 @@ FROM (SELECT count(*) AS total, count(*) FILTER ({DAMAGED}) AS corrupt FROM regi
     "csv_roundtrip": _with(REGISTRY, f"""
 SELECT {', '.join(RAW_NAMES)}, '{CURRENT}' AS dt_ingestion FROM registry WHERE {SOUND}"""),
     "csv_quarantine": _with(REGISTRY, f"""
-SELECT CASE record_no % 499 WHEN 1 THEN {SHORT_LINE} WHEN 2 THEN {LINE} || ';"more"'
-                            WHEN 3 THEN {TEXT_LINE} END AS raw_line,
+SELECT {WRITTEN} AS raw_line,
        '{CURRENT}' AS dt_ingestion
 FROM registry WHERE {DAMAGED}"""),
     "layer_roundtrip": _with(SNAPSHOTS, """
@@ -288,9 +289,10 @@ SELECT * FROM gold_previous UNION ALL SELECT * FROM gold_current"""),
 sound AS (SELECT s.* FROM silver s JOIN registry r ON s.cnpj_basico = r.cnpj_basico
           AND s.cnpj_ordem = r.cnpj_ordem AND s.cnpj_dv = r.cnpj_dv
           WHERE r.record_no % 499 NOT IN (1, 2, 3))""", _business(rows="sound", least=0)),
-    "archive_manifest": _with(REGISTRY, """
-SELECT count(*) > 0 AS all_exist, count(*) > 0 AS all_valid, count(*) > 0 AS all_filled,
-       count(*) > 0 AS all_passed FROM registry"""),
+    "archive_manifest": _with(REGISTRY, f"""
+SELECT true AS all_exist, true AS all_valid, true AS all_filled, true AS all_passed,
+       CAST(sum(length({WRITTEN}) + 1) AS BIGINT) AS bytes, CAST(0 AS BIGINT) AS problems
+FROM registry"""),
     "archive_ingest": _with(REGISTRY, f"""
 SELECT municipio, count(*) AS "count" FROM registry WHERE {SOUND} GROUP BY municipio"""),
 }

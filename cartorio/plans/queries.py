@@ -342,13 +342,19 @@ def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def archive_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict over all archives, and the bytes of text that came out of them."""
     archives = _packed(spark, sf_dir)
-    return check_archives(archives).agg(
+    verdicts = check_archives(archives).agg(
         F.bool_and("file_exists").alias("all_exist"),
         F.bool_and("is_valid_zip").alias("all_valid"),
         F.bool_and("has_content").alias("all_filled"),
         F.bool_and("all_checks_passed").alias("all_passed"),
     )
+    manifest = expand_archives(archives, fresh_folder(spark, "expanded"))
+    expanded = manifest.agg(
+        F.sum("bytes").alias("bytes"), F.count("problem").alias("problems")
+    )
+    return measures.side_by_side(verdicts, expanded)
 
 
 @_query
