@@ -118,15 +118,15 @@ def output_checks(
             active.alias("active"),
         ),
     ]
+    stable = F.lit(True)
     if previous is not None:
         parts.append(previous.agg(active.alias("previous_active")))
-    measured = side_by_side(*parts)
-    moved = change(F.col("active"), F.col("previous_active")) if previous is not None else F.lit(0.0)
-    return _judged(measured, {
+        stable = F.abs(change(F.col("active"), F.col("previous_active"))) <= rules.stability
+    return _judged(side_by_side(*parts), {
         "sum_matches_silver": F.col("gold_sum").eqNullSafe(F.col("silver_rows")),
         "no_null_keys": (F.col("null_types") == 0) & (F.col("null_statuses") == 0),
         "has_active_records": F.col("active") > 0,
-        "stable_vs_previous": F.abs(moved) <= rules.stability,
+        "stable_vs_previous": stable,
     })
 
 

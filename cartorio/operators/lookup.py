@@ -1,8 +1,8 @@
 """Crossing registry rows with the city lookup.
 
 No join here is forced to broadcast. The lookup is a few thousand rows, so the optimizer broadcasts
-it by its measured size (``spark.sql.autoBroadcastJoinThreshold``); a lookup beyond that goes through
-a shuffle join, where adaptive execution splits the partitions of crowded cities.
+it by its measured size (``spark.sql.autoBroadcastJoinThreshold``); a lookup beyond that goes
+through a shuffle join, where adaptive execution splits the partitions of crowded cities.
 """
 
 from __future__ import annotations

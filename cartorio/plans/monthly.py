@@ -106,9 +106,9 @@ def load_bronze(
 ) -> DataFrame:
     """Raw files into one bronze month; damaged lines into quarantine; too much damage: nothing.
 
-    The verdict is a plain aggregate over the staged table, exact whatever tasks were rerun, and what
-    was judged is what is published. Publishing reads the staged files packed into scan partitions of the usual size, which evens
-    out file sizes without a shuffle.
+    The verdict is a plain aggregate over the staged table, exact whatever tasks were rerun, and
+    what was judged is what is published. Publishing reads the staged files packed into scan
+    partitions of the usual size, which evens out file sizes without a shuffle.
     """
     check_snapshot(month)
     staged = stage_extract(spark, paths, _stage_folder(spark, layers.bronze, month))

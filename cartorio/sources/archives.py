@@ -15,14 +15,14 @@ import sys
 import uuid
 import zipfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from typing import IO
 
-import pandas as pd
 import pyarrow as pa
 from pyarrow import fs as arrow_fs
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartorio.fixed import ANY_CASE_SUFFIX, EXACT_SUFFIX
@@ -30,14 +30,14 @@ from cartorio.sources.scratch import fresh_folder
 
 CHUNK = 1 << 20
 NOT_A_ZIP = "not a readable zip archive"
-DAMAGE = (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError)
+# The last: an encrypted entry, or one packed by a method unknown here.
+DAMAGE = (zipfile.BadZipFile, zlib.error, EOFError, RuntimeError)
 
-ENTRIES = "archive string, file_exists boolean, is_zip boolean, number int, entry string, bytes bigint"
-TESTED = "archive string, file_exists boolean, is_zip boolean, entry string, intact boolean"
+ENTRIES = "archive string, file_exists boolean, is_zip boolean, number int, entry string"
 EXPANDED = "archive string, entry string, path string, bytes bigint, problem string"
 
 
-def _locate(uri: str) -> tuple[arrow_fs.FileSystem, str]:
+def locate(uri: str) -> tuple[arrow_fs.FileSystem, str]:
     """File system and path of a path as Spark spells it."""
     plain = re.sub(r"^file:/+", "/", uri)
     if plain.startswith("/"):
@@ -76,7 +76,7 @@ class _Stream(io.RawIOBase):
 
 @contextmanager
 def _open(uri: str) -> Iterator[zipfile.ZipFile]:
-    files, path = _locate(uri)
+    files, path = locate(uri)
     with (
         io.BufferedReader(_Stream(files.open_input_file(path)), CHUNK) as stream,
         zipfile.ZipFile(stream) as opened,
@@ -84,122 +84,111 @@ def _open(uri: str) -> Iterator[zipfile.ZipFile]:
         yield opened
 
 
-def _list_entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Reads the directory at the end of each archive; an archive without entries gives one row."""
-    columns = [part.split()[0] for part in ENTRIES.split(", ")]
-    for batch in batches:
-        for archive in batch["archive"]:
-            try:
-                with _open(archive) as opened:
-                    rows = [
-                        (archive, True, True, number, info.filename, info.file_size)
-                        for number, info in enumerate(opened.infolist())
-                    ]
-                rows = rows or [(archive, True, True, None, None, None)]
-            except FileNotFoundError:
-                rows = [(archive, False, False, None, None, None)]
-            except DAMAGE:
-                rows = [(archive, True, False, None, None, None)]
-            yield pd.DataFrame(rows, columns=columns)
-
-
-def _intact(archive: str, number: int) -> bool:
-    try:
-        with _open(archive) as opened, opened.open(opened.infolist()[number]) as stream:
-            while stream.read(CHUNK):
-                pass
-    except DAMAGE:
-        return False
-    return True
-
-
-def _test_entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        kept = batch[["archive", "file_exists", "is_zip", "entry"]]
-        verdicts = [
-            _intact(row.archive, int(row.number)) if pd.notna(row.number) else None
-            for row in batch.itertuples()
-        ]
-        yield kept.assign(intact=pd.Series(verdicts, index=batch.index, dtype="object"))
-
-
-def _copy_entry(archive: str, number: int, entry: str, target: str) -> tuple[str, int]:
-    """Streams one entry out. The final name appears only once the copy is whole and its checksum
-    holds, so a task that is lost or run twice leaves nothing half-written under it."""
-    files, folder = _locate(target)
-    mark = hashlib.md5(archive.encode()).hexdigest()[:12]
-    stem = archive.rsplit("/", 1)[-1].removesuffix(".zip")
-    home = f"{stem}-{mark}"
-    name = f"{home}/{number:06d}-{entry.rsplit('/', 1)[-1]}"
-    partial = f"{folder}/{home}/_{uuid.uuid4().hex}"
-    files.create_dir(f"{folder}/{home}", recursive=True)
+def flat_map(rows: DataFrame, function: Callable[[dict], list[dict]], columns: str) -> DataFrame:
+    """What ``function`` makes of each row. A row is a file or an entry to stream, which takes long:
+    rows are dealt out evenly, one by one, and results leave as they come."""
+    kinds = {"string": pa.string(), "boolean": pa.bool_(), "int": pa.int32(), "bigint": pa.int64()}
+    fields = [column.split() for column in columns.split(", ")]
+    schema = pa.schema([(name, kinds[kind]) for name, kind in fields])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                yield pa.RecordBatch.from_pylist(function(row), schema=schema)
+
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(tasks).mapInArrow(work, columns)
+
+
+def _entries_of(row: dict) -> list[dict]:
+    """From the directory at the end of an archive; one row without entry if there is none."""
+    found = {"archive": row["archive"], "file_exists": True, "is_zip": True}
     try:
-        with _open(archive) as opened, opened.open(opened.infolist()[number]) as source:
-            with files.open_output_stream(partial) as sink:
-                shutil.copyfileobj(source, sink, CHUNK)
-                size = sink.tell()
+        with _open(row["archive"]) as opened:
+            return [
+                {**found, "number": number, "entry": info.filename}
+                for number, info in enumerate(opened.infolist())
+            ] or [found]
+    except FileNotFoundError:
+        return [{**found, "file_exists": False, "is_zip": False}]
     except DAMAGE:
-        files.delete_file(partial)
-        raise
-    files.move(partial, f"{folder}/{name}")
-    return f"{target}/{name}", size
+        return [{**found, "is_zip": False}]
 
 
-def _expander(target: str):
-    def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = [part.split()[0] for part in EXPANDED.split(", ")]
-        for batch in batches:
-            for row in batch.itertuples():
-                if pd.isna(row.number):
-                    result = (row.archive, None, None, None, NOT_A_ZIP)
-                else:
-                    try:
-                        path, size = _copy_entry(row.archive, int(row.number), row.entry, target)
-                        result = (row.archive, row.entry, path, size, None)
-                    except DAMAGE as error:
-                        result = (row.archive, row.entry, None, None, str(error))
-                yield pd.DataFrame([result], columns=columns)
-    return expand
-
+def _tested(row: dict) -> list[dict]:
+    """Reads an entry to its end, where its checksum is compared."""
+    if row["number"] is None:
+        return [row]
+    try:
+        with _open(row["archive"]) as opened, _entry(opened, row) as stream:
+            while stream.read(CHUNK):
+                pass
+        return [{**row, "intact": True}]
+    except DAMAGE:
+        return [{**row, "intact": False}]
+
+
+def _entry(opened: zipfile.ZipFile, row: dict) -> IO[bytes]:
+    return opened.open(opened.infolist()[row["number"]])
+
+
+def _expander(target: str) -> Callable[[dict], list[dict]]:
+    def expanded(row: dict) -> list[dict]:
+        """Streams one entry out. The final name appears only once the copy is whole and its
+        checksum holds, so a task lost or run twice leaves nothing half-written under it."""
+        result = {"archive": row["archive"], "entry": row["entry"]}
+        if row["number"] is None:
+            return [{**result, "problem": NOT_A_ZIP}]
+        files, folder = locate(target)
+        mark = hashlib.md5(row["archive"].encode()).hexdigest()[:12]
+        home = f"{row['archive'].rsplit('/', 1)[-1].removesuffix('.zip')}-{mark}"
+        name = f"{home}/{row['number']:06d}-{row['entry'].rsplit('/', 1)[-1]}"
+        partial = f"{folder}/{home}/_{uuid.uuid4().hex}"
+        files.create_dir(f"{folder}/{home}", recursive=True)
+        try:
+            with _open(row["archive"]) as opened, _entry(opened, row) as source:
+                with files.open_output_stream(partial) as sink:
+                    shutil.copyfileobj(source, sink, CHUNK)
+                    size = sink.tell()
+        except DAMAGE as error:
+            return [{**result, "problem": str(error)}]
+        files.move(partial, f"{folder}/{name}")
+        return [{**result, "path": f"{target}/{name}", "bytes": size}]
 
-def _spread(df: DataFrame) -> DataFrame:
-    """A row here is a file or an entry to stream: deal them out evenly, one by one."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return expanded
 
 
 def list_entries(archives: DataFrame) -> DataFrame:
     """One row per entry of each archive (column ``archive``: its path)."""
-    return _spread(archives.select("archive")).mapInPandas(_list_entries, ENTRIES)
-
-
-def _wanted() -> Column:
-    return F.col("entry").endswith(EXACT_SUFFIX) | F.upper("entry").endswith(ANY_CASE_SUFFIX)
+    return flat_map(archives.select("archive"), _entries_of, ENTRIES)
 
 
 def check_archives(archives: DataFrame) -> DataFrame:
     """One row per archive: it exists, every entry's checksum holds, it has entries."""
-    tested = _spread(list_entries(archives)).mapInPandas(_test_entries, TESTED)
-    return tested.groupBy("archive").agg(
+    tested = flat_map(list_entries(archives), _tested, f"{ENTRIES}, intact boolean")
+    valid = F.bool_and("is_zip") & F.coalesce(F.bool_and("intact"), F.lit(True))
+    verdicts = tested.groupBy("archive").agg(
         F.bool_and("file_exists").alias("file_exists"),
-        (F.bool_and("is_zip") & F.coalesce(F.bool_and("intact"), F.lit(True))).alias("is_valid_zip"),
-        F.count("entry").alias("entries"),
-    ).select(
-        "archive",
-        "file_exists",
-        "is_valid_zip",
-        (F.col("is_valid_zip") & (F.col("entries") > 0)).alias("has_content"),
-    ).withColumn("all_checks_passed", F.col("has_content"))
+        valid.alias("is_valid_zip"),
+        (valid & (F.count("entry") > 0)).alias("has_content"),
+    )
+    return verdicts.withColumn(
+        "all_checks_passed", F.expr("file_exists AND is_valid_zip AND has_content")
+    )
 
 
 def expand_archives(archives: DataFrame, target: str) -> DataFrame:
     """Expands the data entries under ``target`` and returns the manifest of what came out.
 
-    Damaged archives and entries are listed with their problem and do not stop the others. The
-    manifest is a written table, so reading it never expands anything a second time.
+    Damaged archives and entries are listed with their problem and do not stop the others; what is
+    left of a damaged entry keeps a hidden name that scans pass over. The manifest is a written
+    table, so reading it never expands anything a second time.
     """
-    entries = list_entries(archives).filter(_wanted() | ~F.col("is_zip"))
+    name = F.col("entry")
+    wanted = name.endswith(EXACT_SUFFIX) | F.upper(name).endswith(ANY_CASE_SUFFIX)
+    entries = list_entries(archives).filter(wanted | ~F.col("is_zip"))
     manifest = fresh_folder(archives.sparkSession, "manifest")
-    _spread(entries).mapInPandas(_expander(target), EXPANDED).write.parquet(manifest)
+    flat_map(entries, _expander(target), EXPANDED).write.parquet(manifest)
     return archives.sparkSession.read.schema(EXPANDED).parquet(manifest)
 
 

@@ -73,7 +73,7 @@ def write_month(
     execution even out sizes after a strong filter, shuffling only the rows that are left;
     ``one`` is for tables bounded to a few rows.
     """
-    rows = df.select(*schema.fieldNames())
+    rows = df.select(*schema.fieldNames()).to(schema)
     if files == "rebalanced":
         rows = rows.hint("rebalance")
     elif files == "one":

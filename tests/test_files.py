@@ -25,7 +25,7 @@ from cartorio.sources.layers import EmptyMonth, has_month, read_month, write_mon
 from cartorio.sources.layouts import BRONZE, GOLD, RAW_NAMES, SILVER
 from cartorio.sources.manifest import classified, expected_files, landed_files, missing_files
 from cartorio.sources.scratch import shared_folder
-from support import plan_of, raw_rows, sound
+from support import plan_of, sound
 
 SHORT = T.StructType().add("id", "string").add("st", T.IntegerType()).add("nm", "string")
 LINES = [
@@ -304,13 +304,16 @@ def test_expand_archives(spark, archives, tmp_path):
     assert all(r.bytes == 2 and r.path.startswith(target) for r in good.values())
     bad = {(Path(r.archive).name, r.entry) for r in rows if r.problem}
     assert bad == {("text.zip", None), ("damaged.zip", "d.csv"), ("none.zip", None)}
-    assert len(list(Path(target).rglob("*.*"))) == 5
+    # What a damaged entry or a lost task leaves behind has a hidden name and is not scanned.
+    assert len(list(Path(target).rglob("0*"))) == 5
+    assert len(list(Path(target).rglob("_*"))) == 1
     assert spark.read.option("recursiveFileLookup", "true").text(target).count() == 5
+    assert scan_extract(spark, target, SHORT).count() == 5
     with pytest.raises(ValueError, match="not expanded"):
         require_expanded(manifest)
     # A second expansion, as after a lost task, ends in the same files.
     expand_archives(archives, target)
-    assert len(list(Path(target).rglob("*.*"))) == 5
+    assert len(list(Path(target).rglob("0*"))) == 5
 
 
 def land(folder: Path, rows) -> None:
@@ -348,7 +351,8 @@ def test_manifest(spark, tmp_path):
     kinds = {r.file_name: r.file_type for r in landed.collect()}
     assert kinds["Municipios.zip"] == "municipios" and kinds["Empresas0.zip"] is None
     assert kinds["Estabelecimentos9.zip"] == "estabelecimentos" and len(kinds) == 12
-    months = spark.createDataFrame([("2026-01",), ("2026-02",), ("2026-01",)], "dt_ingestion string")
+    names = [("2026-01",), ("2026-02",), ("2026-01",)]
+    months = spark.createDataFrame(names, "dt_ingestion string")
     expected = expected_files(months)
     assert expected.count() == 22
     assert expected_files(months, ["municipios"]).count() == 2
