@@ -118,10 +118,12 @@ def load_bronze(
     if not verdict.acceptable:
         raise checks.CheckFailed(f"too many damaged lines for {month}: {verdict.asDict()}")
 
-    # Written even when empty: the quarantine of an earlier run of the month must not stay.
+    log.info("bronze %s: %s", month, verdict.asDict())
+    # Written even when empty: the quarantine of an earlier run of the month must not stay. Few lines
+    # out of many files: rebalanced, or each file would leave one of its own.
     (
         staged.filter(is_corrupt())
-        .select(F.col(CORRUPT_FIELD).alias("raw_line"), "source_file")
+        .select(F.col(CORRUPT_FIELD).alias("raw_line"), "source_file").hint("rebalance")
         .write.mode("overwrite").parquet(month_path(layers.quarantine, month))
     )
     good = staged.filter(~is_corrupt()).drop(CORRUPT_FIELD, "source_file")
@@ -183,6 +185,7 @@ def build_gold(spark: SparkSession, layers: Layers, month: str) -> DataFrame:
         raise EmptyMonth(f"no rows: silver {month}")
     if not sums.matches:
         raise checks.CheckFailed(f"gold {month} does not add up: {sums.asDict()}")
+    log.info("gold %s: %s", month, sums.asDict())
     return write_month(
         stamped(counts, month, "ts_aggregation"), layers.gold, month, GOLD, files="one"
     )

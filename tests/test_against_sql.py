@@ -7,7 +7,13 @@ from pathlib import Path
 import duckdb
 import pytest
 
+from pyspark.sql import functions as F
+
 from __spark_entry__ import entry, oracle_sql, queries
+from cartorio.operators.conform import curated
+from cartorio.operators.measures import type_status_counts
+from cartorio.operators.report import compare
+from cartorio.plans.registry import registry
 
 SF = "/root/testdata/sf0.01"
 
@@ -49,6 +55,21 @@ def test_entry(spark):
     assert rows["Matriz", "ATIVA"] == 9 and rows["Filial", "ATIVA"] == 2
 
 
+def test_golden_snapshots(spark):
+    """All rows, then those left when one record in thirteen is gone: just over ten percent less."""
+    rows = registry(spark, SF)
+    months = {"2026-01": F.lit(True), "2026-02": F.col("record_no") % 13 != 0}
+    parts = [
+        type_status_counts(curated(rows.filter(kept))).withColumn("dt_ingestion", F.lit(month))
+        for month, kept in months.items()
+    ]
+    row = compare(parts[0].unionByName(parts[1]), "2026-02", "2026-01").first()
+    assert (row.previous_total, row.current_total) == (363, 326)
+    assert (row.current_summary.matriz_active, row.current_summary.filial_active) == (263, 63)
+    assert (row.variance, row.variance_pct, row.within_threshold) == (-0.1019, -10.19, False)
+    assert row.previous_summary.ratio_filial_matriz == 0.24
+
+
 def test_golden_numbers(spark):
     rows = queries()["gold_counts"](spark, SF).collect()
     found = {(r.establishment_type, r.registration_status): r["count"] for r in rows}
