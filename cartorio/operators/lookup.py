@@ -18,8 +18,16 @@ def in_named_city(rows: DataFrame, lookup: DataFrame, name: str) -> DataFrame:
 
 
 def with_city_name(rows: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Rows of listed cities with the city's name; one name per code, so no row is doubled."""
-    names = lookup.groupBy(F.col("code").alias("municipio")).agg(F.min("name").alias("city_name"))
+    """Rows of listed cities with the city's name.
+
+    A code listed twice would double its rows and is refused. Folding the lookup to one row per code
+    inside the query would do as well, but puts an aggregate between the join and its shuffle, and
+    then adaptive execution no longer splits crowded cities.
+    """
+    twice = lookup.groupBy("code").count().filter("count > 1").first()
+    if twice:
+        raise ValueError(f"city code listed {twice['count']} times: {twice.code}")
+    names = lookup.select(F.col("code").alias("municipio"), F.col("name").alias("city_name"))
     return rows.join(names, "municipio")
 
 

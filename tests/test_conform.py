@@ -98,11 +98,13 @@ def towns(spark):
 
 
 def test_named_city(towns, lookup):
-    # A code listed twice does not double its rows; a name may stand for two codes.
+    # A code listed twice does not double rows of a semi join; a name may stand for two codes.
     assert in_named_city(towns, lookup, "SAO PAULO").count() == 2
     assert in_named_city(towns, lookup, "SANTA LUZIA").count() == 2
     assert in_named_city(towns, lookup, "NOWHERE").count() == 0
-    named = with_city_name(towns, lookup)
+    with pytest.raises(ValueError, match="7107"):
+        with_city_name(towns, lookup)
+    named = with_city_name(towns, lookup.distinct())
     assert {(r.cnpj_basico[-1], r.city_name) for r in named.collect()} == {
         ("1", "SAO PAULO"), ("2", "SAO PAULO"), ("3", "SANTA LUZIA"), ("4", "SANTA LUZIA"),
     }

@@ -9,6 +9,8 @@ import zipfile
 from pathlib import Path
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,6 +64,29 @@ def test_scan_of_several_files_and_of_none(spark, short_csv, tmp_path):
         scan_extract(spark, [])
 
 
+TEXT = st.text(
+    st.characters(codec="latin-1", exclude_characters="\r\n\x00", min_codepoint=32), max_size=12
+)
+
+
+@given(st.lists(TEXT, min_size=1, max_size=40))
+@settings(
+    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+def test_any_quoted_text_survives(spark, tmp_path, texts):
+    """Quotes, separators, backslashes and accents inside quoted fields come back as they were."""
+    lines = [
+        f'"{number}";"1";"{text.replace(chr(34), chr(34) * 2)}"' for number, text in enumerate(texts)
+    ]
+    path = tmp_path / "texts.csv"
+    path.write_bytes("\n".join(lines).encode("latin-1"))
+    rows = scan_extract(spark, str(path), SHORT).collect()
+    assert all(row._corrupt_record is None for row in rows)
+    assert {int(row.id): row.nm for row in rows} == {
+        number: text or None for number, text in enumerate(texts)
+    }
+
+
 def line_of(row: dict) -> str:
     return ";".join(f'"{row[name]}"' if row.get(name) is not None else '""' for name in RAW_NAMES)
 
