@@ -98,6 +98,18 @@ def states_before(kinds: np.ndarray) -> np.ndarray:
     return before.T.reshape(-1)[:n]
 
 
+def codepoints(
+    data: np.ndarray, offsets: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of every codepoint its first byte, value, class, and whether a text opens there (also at the end)."""
+    at = np.flatnonzero((data & 0xC0) != 0x80)
+    points = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
+    opens = np.zeros(len(points) + 1, bool)
+    opens[np.searchsorted(at, offsets[:-1])] = True  # an empty text opens where the next one does
+    opens[-1] = True
+    return at, points, _class_of_codepoint()[points], opens
+
+
 def pretoken_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """The byte at which each pre-token begins; none spans two texts.
 
@@ -105,12 +117,7 @@ def pretoken_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """
     if not len(data):
         return np.zeros(0, np.int64)
-    at = np.flatnonzero((data & 0xC0) != 0x80)
-    points = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
-    kinds = _class_of_codepoint()[points]
-    opens = np.zeros(len(points) + 1, bool)
-    opens[np.searchsorted(at, offsets[:-1])] = True  # an empty text opens where the next one does
-    opens[-1] = True
+    at, points, kinds, opens = codepoints(data, offsets)
 
     quotes = np.flatnonzero(points == ord("'"))
     if len(quotes):

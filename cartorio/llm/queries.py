@@ -11,6 +11,7 @@ import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from cartorio.llm import corpus_queries, url_queries
 from cartorio.llm.byte_bpe import Vocabulary, decoded_texts, encode
 from cartorio.llm.ragged import taken
 from cartorio.llm.token_counts import token_counts
@@ -72,6 +73,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+for _module in (url_queries, corpus_queries):
+    _QUERIES.update({name: f for name, f in vars(_module).items() if name.startswith("op")})
+    _SQL.update(getattr(_module, "SQL", {}))
+
+
 def registered() -> dict[str, Query]:
     return dict(_QUERIES)
 
