@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from cartorio.llm.sampling import hash_sample
 from cartorio.sources.scratch import fresh_folder
 
 
@@ -112,7 +113,7 @@ def fit(vectors: DataFrame, settings: SearchSettings) -> Index | None:
     ).first()
     if not facts.n:
         return None
-    rows = vectors.orderBy(F.xxhash64("id", "vector"), "id").limit(settings.sample).collect()
+    rows = hash_sample(vectors, settings.sample, "id", "vector").collect()
     sample = np.array([row.vector for row in rows], np.float64)
     rng = np.random.default_rng(settings.seed)
     size = sample.shape[1] + 1

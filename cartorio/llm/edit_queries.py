@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cartorio.llm.edit_embedding import bands, ended, flat_codes, likeness, walk
 from cartorio.llm.in_order import descending_runs, successors
 
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 6 << 20
 
 FIELDS = (
     "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "

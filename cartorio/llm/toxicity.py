@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 
 from cartorio.llm.pretokens import LETTER, codepoints
 from cartorio.llm.ragged import bytes_of, groups, slice_hashes
+from cartorio.llm.sampling import hash_sample
 
 
 @dataclass(frozen=True)
@@ -189,10 +190,10 @@ def train(
 ) -> Chain:
     """The chain for the label columns ``categories`` (0 or 1), in that order."""
     marks = [f"__mark{place}" for place in range(len(categories))]
-    known = (
+    known = hash_sample(
         labels.select(F.col(key).alias("__key"), *(F.col(c).cast("int").alias(m) for c, m in zip(categories, marks)))
-        .dropna().groupBy("__key").agg(*(F.max(m).alias(m) for m in marks))
-        .orderBy(F.xxhash64("__key"), "__key").limit(settings.sample)
+        .dropna().groupBy("__key").agg(*(F.max(m).alias(m) for m in marks)),
+        settings.sample, "__key",
     )
     rows = docs.select(F.col(key).alias("__key"), _lowered(text)).join(F.broadcast(known), "__key")
 
@@ -243,15 +244,16 @@ def scored(
     categories: Sequence[str],
     text: str = "text",
     keep: Sequence[str] | None = None,
+    into: str = "probabilities",
 ) -> DataFrame:
-    """The columns ``keep`` (all but one of the new name) and a struct of probabilities."""
+    """The columns ``keep`` (all but one of the new name) and a struct ``into`` of the probabilities."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(chain)
     inner = T.StructType([T.StructField(c, T.DoubleType()) for c in categories])
-    names = [name for name in docs.columns if name != "probabilities"] if keep is None else keep
+    names = [name for name in docs.columns if name != into] if keep is None else keep
     whole = F.struct(*(F.col(f"`{name}`") for name in names)).alias("__row")
     rows = docs.select(whole, _lowered(text))
-    schema = T.StructType([rows.schema["__row"], T.StructField("probabilities", inner)])
+    schema = T.StructType([rows.schema["__row"], T.StructField(into, inner)])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -271,10 +273,10 @@ def scored(
             yield pa.RecordBatch.from_arrays(
                 [group.column("__row"), pa.StructArray.from_arrays(
                     [pa.array(column) for column in found.T], names=list(categories)
-                )], names=["__row", "probabilities"],
+                )], names=["__row", into],
             )
 
-    return rows.mapInArrow(task, schema).select("__row.*", "probabilities")
+    return rows.mapInArrow(task, schema).select("__row.*", into)
 
 
 def judged(
