@@ -7,39 +7,41 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.sql import types as T
+
 # --- Fixed values: the raw extract, field by field, in file order ---------------------------------
-RAW_FIELDS = """
-    cnpj_basico                string  required,
-    cnpj_ordem                 string  required,
-    cnpj_dv                    string  required,
-    identificador_matriz_filial int,
-    nome_fantasia              string,
-    situacao_cadastral         int,
-    data_situacao_cadastral    string,
-    motivo_situacao_cadastral  int,
-    nome_cidade_exterior       string,
-    pais                       string,
-    data_inicio_atividade      string,
-    cnae_fiscal_principal      string,
-    cnae_fiscal_secundaria     string,
-    tipo_logradouro            string,
-    logradouro                 string,
-    numero                     string,
-    complemento                string,
-    bairro                     string,
-    cep                        string,
-    uf                         string,
-    municipio                  string,
-    ddd_1                      string,
-    telefone_1                 string,
-    ddd_2                      string,
-    telefone_2                 string,
-    ddd_fax                    string,
-    fax                        string,
-    correio_eletronico         string,
-    situacao_especial          string,
-    data_situacao_especial     string
-"""
+RAW = T.StructType([
+    T.StructField("cnpj_basico", T.StringType(), nullable=False),
+    T.StructField("cnpj_ordem", T.StringType(), nullable=False),
+    T.StructField("cnpj_dv", T.StringType(), nullable=False),
+    T.StructField("identificador_matriz_filial", T.IntegerType()),
+    T.StructField("nome_fantasia", T.StringType()),
+    T.StructField("situacao_cadastral", T.IntegerType()),
+    T.StructField("data_situacao_cadastral", T.StringType()),
+    T.StructField("motivo_situacao_cadastral", T.IntegerType()),
+    T.StructField("nome_cidade_exterior", T.StringType()),
+    T.StructField("pais", T.StringType()),
+    T.StructField("data_inicio_atividade", T.StringType()),
+    T.StructField("cnae_fiscal_principal", T.StringType()),
+    T.StructField("cnae_fiscal_secundaria", T.StringType()),
+    T.StructField("tipo_logradouro", T.StringType()),
+    T.StructField("logradouro", T.StringType()),
+    T.StructField("numero", T.StringType()),
+    T.StructField("complemento", T.StringType()),
+    T.StructField("bairro", T.StringType()),
+    T.StructField("cep", T.StringType()),
+    T.StructField("uf", T.StringType()),
+    T.StructField("municipio", T.StringType()),
+    T.StructField("ddd_1", T.StringType()),
+    T.StructField("telefone_1", T.StringType()),
+    T.StructField("ddd_2", T.StringType()),
+    T.StructField("telefone_2", T.StringType()),
+    T.StructField("ddd_fax", T.StringType()),
+    T.StructField("fax", T.StringType()),
+    T.StructField("correio_eletronico", T.StringType()),
+    T.StructField("situacao_especial", T.StringType()),
+    T.StructField("data_situacao_especial", T.StringType()),
+])
 ID_PARTS = ("cnpj_basico", "cnpj_ordem", "cnpj_dv")
 CRITICAL_FIELDS = ("cnpj_basico", "cnpj_ordem", "cnpj_dv", "municipio")
 REQUIRED_FIELDS = ("cnpj_basico", "cnpj_ordem", "cnpj_dv", "municipio", "situacao_cadastral")
@@ -84,18 +86,28 @@ ANY_CASE_SUFFIX = ".ESTABELE"
 
 # --- Fixed values: snapshot names and report formats ----------------------------------------------
 SNAPSHOT_FORMATS = ("%Y-%m", "%Y-%m-%d")
-MONTH_PATTERN = r"^\d{4}-(0[1-9]|1[0-2])$"
+MONTH_PATTERN = r"\d{4}-(0[1-9]|1[0-2])"
 ISO_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss"
 PARTITION = "dt_ingestion"
 
 
+# --- Fixed values: names of checks and of headline figures ----------------------------------------
+INPUT_CHECKS = ("has_minimum_records", "has_required_fields", "null_rate_acceptable")
+BUSINESS_CHECKS = (
+    "only_sao_paulo", "valid_types", "valid_statuses", "valid_cnpj_format", "record_count_in_range",
+    "ratio_in_range",
+)
+OUTPUT_CHECKS = ("sum_matches_silver", "no_null_keys", "has_active_records", "stable_vs_previous")
+HEADLINES = ("matriz_active", "filial_active", "total_active", "ratio_filial_matriz")
+
+
 @dataclass(frozen=True)
 class Rules:
     """Target cities and the limits of every check; fixed published values as defaults."""
 
     cities: tuple[str, ...] = (TARGET_CITY,)
     max_corrupt_rate: float = 0.01
-    max_report_rows: int = 10_000
+    max_misfit_share: float = 0.5
     min_bronze_rows: int = 10_000_000
     max_null_rate: float = 0.05
     min_silver_rows: int = 1_000_000
@@ -103,5 +115,5 @@ class Rules:
     min_ratio: float = 0.01
     max_ratio: float = 1.0
     stability: float = 0.10
-    # Curated files: 256 MB at about 0.5 KB a row.
-    max_rows_per_file: int = 524_288
+    # Curated files: about 256 MB.
+    file_bytes: int = 256 << 20

@@ -19,16 +19,16 @@ from cartorio.fixed import (
 )
 
 
-def curated_scope(cities: Iterable[str]) -> Column:
+def curated_scope(cities: Iterable[str] | None) -> Column:
     """Rows of the curated layer: in a target city, with a status, headquarters or branch.
 
-    Written on the raw codes, so that all three conditions reach the Parquet scan.
+    Written on the raw codes, so that all conditions reach the Parquet scan. Without cities, those
+    are told elsewhere (by a join with the lookup).
     """
-    return (
-        F.col("municipio").isin(list(cities))
-        & F.col("situacao_cadastral").isNotNull()
-        & F.col("identificador_matriz_filial").isin(list(TYPE_LABELS))
+    known = F.col("situacao_cadastral").isNotNull() & F.col("identificador_matriz_filial").isin(
+        list(TYPE_LABELS)
     )
+    return known if cities is None else F.col("municipio").isin(list(cities)) & known
 
 
 def is_active() -> Column:
@@ -55,11 +55,11 @@ def wrong_length(column: str = "cnpj_completo", length: int = ID_LENGTH) -> Colu
 
 
 def _parses(text: str, layout: str) -> bool:
+    """A date in the layout, and spelled as the layout spells it (one name for each snapshot)."""
     try:
-        datetime.strptime(text, layout)
+        return datetime.strptime(text, layout).strftime(layout) == text
     except ValueError:
         return False
-    return True
 
 
 def check_snapshot(text: str) -> str:
@@ -71,6 +71,6 @@ def check_snapshot(text: str) -> str:
 
 def check_month(text: str) -> str:
     """The name of a month as the run parameters accept it."""
-    if not re.match(MONTH_PATTERN, text):
+    if not re.fullmatch(MONTH_PATTERN, text):
         raise ValueError(f"not a month (YYYY-MM): {text!r}")
     return text

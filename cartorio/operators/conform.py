@@ -12,7 +12,7 @@ from cartorio.functions.columns import label_of, registry_id
 from cartorio.functions.predicates import curated_scope, is_active
 
 
-def in_scope(bronze: DataFrame, cities: Iterable[str] = (TARGET_CITY,)) -> DataFrame:
+def in_scope(bronze: DataFrame, cities: Iterable[str] | None = (TARGET_CITY,)) -> DataFrame:
     return bronze.filter(curated_scope(cities))
 
 
@@ -25,7 +25,7 @@ def labelled(rows: DataFrame) -> DataFrame:
     })
 
 
-def curated(bronze: DataFrame, cities: Iterable[str] = (TARGET_CITY,)) -> DataFrame:
+def curated(bronze: DataFrame, cities: Iterable[str] | None = (TARGET_CITY,)) -> DataFrame:
     """Curated rows without load metadata. One scan, no shuffle."""
     return labelled(in_scope(bronze, cities)).select(*CURATED_OUTPUT)
 

@@ -13,38 +13,31 @@ from pyspark.sql import functions as F
 
 def in_named_city(rows: DataFrame, lookup: DataFrame, name: str) -> DataFrame:
     """Rows of the cities with this name; a city listed twice does not double them."""
-    codes = lookup.filter(F.col("name") == name).select(F.col("code").alias("municipio"))
-    return rows.join(codes, "municipio", "left_semi")
+    return rows.join(cities_named(lookup, name), "municipio", "left_semi")
 
 
 def with_city_name(rows: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Rows of listed cities with the city's name.
+    """All rows with the city's name; null for an unlisted or unknown city.
 
-    A code listed twice would double its rows and is refused. Folding the lookup to one row per code
-    inside the query would do as well, but puts an aggregate between the join and its shuffle, and
-    then adaptive execution no longer splits crowded cities.
+    A code listed twice doubles its rows; ``codes_listed_twice`` tells, and a run refuses such a
+    lookup. Folding the lookup to one row per code inside the query would put an aggregate between
+    the join and its shuffle, and then adaptive execution no longer splits crowded cities.
     """
-    twice = lookup.groupBy("code").count().filter("count > 1").first()
-    if twice:
-        raise ValueError(f"city code listed {twice['count']} times: {twice.code}")
     names = lookup.select(F.col("code").alias("municipio"), F.col("name").alias("city_name"))
-    return rows.join(names, "municipio")
+    return rows.join(names, "municipio", "left")
+
+
+def codes_listed_twice(lookup: DataFrame) -> DataFrame:
+    """City codes with more than one row in the lookup."""
+    return lookup.groupBy("code").count().filter("count > 1")
+
+
+def cities_named(lookup: DataFrame, name: str) -> DataFrame:
+    """The codes behind a city name, as a table to join with."""
+    return lookup.filter(F.col("name") == name).select(F.col("code").alias("municipio")).distinct()
 
 
 def unlisted_cities(rows: DataFrame, lookup: DataFrame) -> DataFrame:
     """City codes absent from the lookup, with their rows; counted first, so few rows are joined."""
     totals = rows.groupBy("municipio").agg(F.count(F.lit(1)).alias("count"))
     return totals.join(lookup.select(F.col("code").alias("municipio")), "municipio", "left_anti")
-
-
-def city_codes(lookup: DataFrame, name: str, limit: int = 1_000) -> list[str]:
-    """The codes behind a city name, for a filter that reaches the Parquet scan.
-
-    A name stands for a handful of codes. More than ``limit`` is refused: use ``in_named_city``.
-    """
-    rows = lookup.filter(F.col("name") == name).select("code").distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} codes named {name!r}; join with in_named_city")
-    if not rows:
-        raise ValueError(f"no city named {name!r} in the lookup")
-    return sorted(row.code for row in rows)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartorio.fixed import BRANCH, HEADQUARTERS, Rules
@@ -66,51 +66,29 @@ def corrupt_rate(scanned: DataFrame, rules: Rules = Rules()) -> DataFrame:
     ).withColumn("acceptable", F.col("corrupt_rate") <= rules.max_corrupt_rate)
 
 
-def at_most(rows: DataFrame, limit: int) -> DataFrame:
-    """The same rows, cut one past the limit: enough to notice that there are too many."""
-    return rows.limit(limit + 1)
-
-
-def refuse_above(aggregated: DataFrame, limit: int, rows: str = "rows") -> DataFrame:
-    """Fails the query where a group was built from more rows than allowed.
-
-    A filter, because an unused column would be pruned away and the refusal with it.
-    """
-    message = F.lit(f"more than {limit} rows to report on")
-    return aggregated.filter(F.assert_true(F.col(rows) <= limit, message).isNull())
-
-
-def _distribution(key: str) -> Column:
-    """[(label, count)] out of the collected (type, status, count) cells."""
-    labels = F.array_sort(F.array_distinct(F.transform("cells", lambda cell: cell[key])))
-    return F.transform(labels, lambda label: F.struct(
-        label.alias("label"),
-        F.aggregate(
-            F.filter("cells", lambda cell: cell[key].eqNullSafe(label)),
-            F.lit(0).cast("bigint"),
-            lambda total, cell: total + cell["count"],
-        ).alias("count"),
-    ))
-
-
-def quality_metrics(silver: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """Totals, ratio and both distributions, all from one count by type and status."""
-    cells = at_most(type_status_counts(silver), rules.max_report_rows)
+def quality_metrics(silver: DataFrame) -> DataFrame:
+    """Total, headquarters, branches, their ratio and the active rows: one row, from the counts."""
     kind, count = F.col("establishment_type"), F.col("count")
-    summed = cells.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum("count"), F.lit(0).cast("bigint")).alias("total_records"),
+    return type_status_counts(silver).agg(
+        sum_where(F.lit(True), count).alias("total_records"),
         sum_where(kind == HEADQUARTERS, count).alias("matriz_count"),
         sum_where(kind == BRANCH, count).alias("filial_count"),
         sum_where(is_active(), count).alias("active_count"),
-        F.collect_list(F.struct(*GROUP_KEYS, "count")).alias("cells"),
-    )
-    return refuse_above(summed, rules.max_report_rows).select(
-        "total_records",
-        "matriz_count",
-        "filial_count",
+    ).select(
+        "total_records", "matriz_count", "filial_count",
         ratio(F.col("filial_count"), F.col("matriz_count")).alias("filial_matriz_ratio"),
         "active_count",
-        _distribution("registration_status").alias("status_distribution"),
-        _distribution("establishment_type").alias("type_distribution"),
+    )
+
+
+def quality_distributions(silver: DataFrame) -> DataFrame:
+    """Rows by status and rows by type, both from one count by type and status; a row for each label."""
+    by_type, by_status = GROUP_KEYS
+    sums = type_status_counts(silver).groupingSets(
+        [[by_status], [by_type]], *GROUP_KEYS
+    ).agg(F.sum("count").alias("count"), F.grouping(by_status).alias("_by_type"))
+    return sums.select(
+        F.when(F.col("_by_type") == 1, "type").otherwise("status").alias("dimension"),
+        F.when(F.col("_by_type") == 1, F.col(by_type)).otherwise(F.col(by_status)).alias("label"),
+        "count",
     )

@@ -6,12 +6,9 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartorio.fixed import BRANCH, HEADQUARTERS, PARTITION, Rules
+from cartorio.fixed import BRANCH, HEADLINES, HEADQUARTERS, PARTITION, Rules
 from cartorio.functions.columns import change, half_even, iso_timestamp, ratio, sum_where
 from cartorio.functions.predicates import is_active
-from cartorio.operators.measures import at_most, refuse_above
-
-HEADLINES = ("matriz_active", "filial_active", "total_active", "ratio_filial_matriz")
 
 
 def printable(gold: DataFrame) -> DataFrame:
@@ -23,64 +20,56 @@ def printable(gold: DataFrame) -> DataFrame:
     })
 
 
-def _sums(gold: DataFrame) -> list[Column]:
-    kind, count = F.col("establishment_type"), F.col("count")
+def _active(kind: str, condition: Column) -> Column:
+    return sum_where(condition & is_active() & (F.col("establishment_type") == kind), F.col("count"))
+
+
+def _figures(condition: Column, prefix: str = "") -> list[Column]:
     return [
-        F.count(F.lit(1)).alias("rows"),
-        sum_where(is_active() & (kind == HEADQUARTERS), count).alias("matriz_active"),
-        sum_where(is_active() & (kind == BRANCH), count).alias("filial_active"),
-        F.sort_array(F.collect_list(F.struct(*gold.columns))).alias("all_status_breakdown"),
+        _active(HEADQUARTERS, condition).alias(f"{prefix}matriz_active"),
+        _active(BRANCH, condition).alias(f"{prefix}filial_active"),
     ]
 
 
-def _finish(summed: DataFrame, rules: Rules) -> DataFrame:
-    headquarters, branches = F.col("matriz_active"), F.col("filial_active")
-    return (
-        refuse_above(summed, rules.max_report_rows)
-        .withColumn("total_active", headquarters + branches)
-        .withColumn("ratio_filial_matriz", half_even(ratio(branches, headquarters), 2))
-        # Judged after rounding; the business check judges the exact ratio.
-        .withColumn(
-            "ratio_expected",
-            F.col("ratio_filial_matriz").between(rules.min_ratio, rules.max_ratio),
-        )
-    )
+def _ratio(prefix: str = "") -> Column:
+    return half_even(ratio(F.col(f"{prefix}filial_active"), F.col(f"{prefix}matriz_active")), 2)
+
+
+def _total(prefix: str = "") -> Column:
+    return F.col(f"{prefix}matriz_active") + F.col(f"{prefix}filial_active")
 
 
 def summary(gold: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """One row: active counts, their ratio, whether the ratio is as expected, and all groups."""
-    rows = printable(at_most(gold, rules.max_report_rows))
-    return _finish(rows.agg(*_sums(rows)), rules).select(
-        *HEADLINES, "ratio_expected", "all_status_breakdown"
+    """One row: active counts, their ratio, and whether the ratio is as expected.
+
+    All groups are the rows of ``gold`` itself; ``printable`` makes them ready to print.
+    """
+    # Judged after rounding; the business check judges the exact ratio.
+    expected = F.col("ratio_filial_matriz").between(rules.min_ratio, rules.max_ratio)
+    return (
+        gold.agg(*_figures(F.lit(True)))
+        .withColumn("total_active", _total()).withColumn("ratio_filial_matriz", _ratio())
+        .select(*HEADLINES, expected.alias("ratio_expected"))
     )
 
 
 def compare(gold: DataFrame, current: str, previous: str, rules: Rules = Rules()) -> DataFrame:
-    """One row: change of the active total between two snapshots, with both summaries.
+    """One row: change of the active total between two snapshots, with the headline figures of both.
 
     Both snapshots are read in one pass. A snapshot without rows fails the query: a change against
     nothing would look like a real one.
     """
-    months = (current, previous)
-    wanted = gold.filter(F.col(PARTITION).isin(*months))
-    # Two snapshots: more than twice the limit means that one of them is past it.
-    rows = printable(at_most(wanted, 2 * rules.max_report_rows))
-    by_month = _finish(rows.groupBy(PARTITION).agg(*_sums(rows)), rules)
-
-    def of(month: str, value: Column) -> Column:
-        return F.first(F.when(F.col(PARTITION) == month, value), ignorenulls=True)
-
-    whole = F.struct(*HEADLINES, "ratio_expected", "all_status_breakdown")
-    paired = by_month.agg(
-        of(current, F.col("total_active")).alias("current_total"),
-        of(previous, F.col("total_active")).alias("previous_total"),
-        of(current, whole).alias("current_summary"),
-        of(previous, whole).alias("previous_summary"),
-    )
-    both = F.col("current_total").isNotNull() & F.col("previous_total").isNotNull()
+    months = {"current": F.col(PARTITION) == current, "previous": F.col(PARTITION) == previous}
+    wanted = gold.filter(F.col(PARTITION).isin(current, previous))
+    summed = wanted.agg(
+        *[F.count_if(month).alias(f"{side}_rows") for side, month in months.items()],
+        *[figure for side, month in months.items() for figure in _figures(month, f"{side}_")],
+    ).withColumns({f"{side}_total": _total(f"{side}_") for side in months})
+    both = (F.col("current_rows") > 0) & (F.col("previous_rows") > 0)
     absent = F.lit(f"nothing to compare: {current} or {previous} has no rows")
     moved = change(F.col("current_total"), F.col("previous_total"))
-    return paired.filter(F.assert_true(both, absent).isNull()).select(
+    # A filter, because an unused column would be pruned away and the refusal with it.
+    return summed.filter(F.assert_true(both, absent).isNull()).select(
         F.lit(current).alias("current_date"),
         F.lit(previous).alias("previous_date"),
         "current_total",
@@ -88,8 +77,14 @@ def compare(gold: DataFrame, current: str, previous: str, rules: Rules = Rules()
         half_even(moved, 4).alias("variance"),
         half_even(moved * 100, 2).alias("variance_pct"),
         (F.abs(moved) <= rules.stability).alias("within_threshold"),
-        "current_summary",
-        "previous_summary",
+        *[
+            column
+            for side in months
+            for column in (
+                F.col(f"{side}_matriz_active"), F.col(f"{side}_filial_active"),
+                _ratio(f"{side}_").alias(f"{side}_ratio_filial_matriz"),
+            )
+        ],
     )
 
 

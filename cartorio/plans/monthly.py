@@ -2,35 +2,44 @@
 
 from __future__ import annotations
 
-import hashlib
 import logging
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartorio.fixed import CORRUPT_FIELD, CURATED_INPUT, PARTITION, REQUIRED_FIELDS, Rules
-from cartorio.functions.predicates import check_month, check_snapshot, is_corrupt
+from cartorio.functions.predicates import check_month, check_snapshot
 from cartorio.operators import checks
 from cartorio.operators.conform import curated, stamped
-from cartorio.operators.lookup import city_codes
+from cartorio.operators.lookup import cities_named, codes_listed_twice
 from cartorio.operators.measures import corrupt_rate, type_status_counts
 from cartorio.operators.report import compare, console_text, summary
 from cartorio.sources.archives import expand_archives, require_expanded
-from cartorio.sources.delimited import read_lookup, stage_extract
+from cartorio.sources.delimited import misfit_files, read_lookup, stage_extract
 from cartorio.sources.layers import (
     EmptyMonth,
-    has_month,
     month_path,
     read_month,
     require_rows,
+    stage_rows,
     write_month,
 )
 from cartorio.sources.layouts import BRONZE, GOLD, QUARANTINE, SILVER
-from cartorio.sources.manifest import classified, expected_files, landed_files, missing_files
-from cartorio.sources.scratch import fresh_folder, shared_folder
+from cartorio.sources.ledger import Record, enter, published, published_months
+from cartorio.sources.manifest import (
+    classified,
+    doubled_files,
+    expected_of,
+    landed_files,
+    missing_files,
+)
+from cartorio.sources.scratch import fresh_folder, remove_folder
 
 log = logging.getLogger(__name__)
 
@@ -49,6 +58,13 @@ JOBS = {
 }
 
 
+SCHEMAS = {"bronze": BRONZE, "silver": SILVER, "gold": GOLD}
+
+
+class StaleMonth(checks.CheckFailed):
+    """A layer wasn't built from what the layer below holds now."""
+
+
 @dataclass(frozen=True)
 class Layers:
     """One root for all tables, local or on an object store."""
@@ -58,43 +74,154 @@ class Layers:
     def __post_init__(self) -> None:
         object.__setattr__(self, "root", self.root.rstrip("/"))
 
+    def of(self, layer: str) -> str:
+        return f"{self.root}/{layer}"
+
     @property
     def bronze(self) -> str:
-        return f"{self.root}/bronze"
+        return self.of("bronze")
 
     @property
     def silver(self) -> str:
-        return f"{self.root}/silver"
+        return self.of("silver")
 
     @property
     def gold(self) -> str:
-        return f"{self.root}/gold"
+        return self.of("gold")
 
     @property
     def quarantine(self) -> str:
-        return f"{self.root}/quarantine"
+        return self.of("quarantine")
+
+    @property
+    def refused(self) -> str:
+        """Damaged lines of months that were not published, by month and run."""
+        return self.of("refused")
+
+
+@contextmanager
+def _staging(spark: SparkSession, layers: Layers) -> Iterator[str]:
+    """A folder of one run under the layers' root; gone when the run has published or failed."""
+    folder = f"{layers.root}/_staging/{uuid.uuid4().hex}"
+    try:
+        yield folder
+    finally:
+        remove_folder(spark, folder)
+
+
+# --- what a month was built from ------------------------------------------------------------------
+
+
+def _record(spark: SparkSession, layers: Layers, layer: str, month: str) -> Record | None:
+    return published(spark, layers.root, layer, check_snapshot(month))
 
 
-def unpack(spark: SparkSession, landing: str, month: str, kind: str) -> str:
+def _publish(
+    rows: DataFrame, layers: Layers, layer: str, month: str, record: Record, files: str, rules: Rules
+) -> DataFrame:
+    """Puts rows in the place of the month; until that is done no record vouches for the month."""
+    spark = rows.sparkSession
+    enter(spark, layers.root, layer, month, replace(record, done=False))
+    table = write_month(rows, layers.of(layer), month, SCHEMAS[layer], files, rules.file_bytes)
+    enter(spark, layers.root, layer, month, replace(record, done=True))
+    return table
+
+
+def scope_of(rules: Rules, cities: DataFrame | None = None) -> str:
+    """What rows the curated layer was asked for, as text that is the same for the same cities."""
+    if cities is None:
+        return "codes " + ",".join(sorted(rules.cities))
+    mark = cities.agg(F.count("*").alias("n"), F.sum(F.xxhash64("municipio") % (1 << 40)).alias("mark")).first()
+    return f"lookup {mark.n} {mark.mark}"
+
+
+def _stale(
+    spark: SparkSession, layers: Layers, layer: str, month: str, scope: str | None = None
+) -> str | None:
+    """Why a layer's month must be built (again); None if it rests on what the layer below holds."""
+    record = _record(spark, layers, layer, month)
+    if record is None:
+        return f"{layer} {month} is not published"
+    if layer == "bronze":
+        return None
+    below = {"silver": "bronze", "gold": "silver"}[layer]
+    if reason := _stale(spark, layers, below, month, scope):
+        return reason
+    source = _record(spark, layers, below, month)
+    if record.source != source.run:
+        return f"{layer} {month} was built from another {below}"
+    if scope is not None and record.rules != scope:
+        return f"{layer} {month} holds {record.rules}, asked for are {scope}"
+    return None
+
+
+def require_fresh(
+    spark: SparkSession, layers: Layers, month: str, scope: str | None = None
+) -> None:
+    """Refuses a month of which some layer is missing or doesn't rest on the one below."""
+    if reason := _stale(spark, layers, "gold", month, scope):
+        raise StaleMonth(reason)
+
+
+def latest_before(spark: SparkSession, layers: Layers, month: str) -> str | None:
+    """The last month before this one with published counts."""
+    return max((m for m in published_months(spark, layers.root, "gold") if m < month), default=None)
+
+
+# --- stages ---------------------------------------------------------------------------------------
+
+
+def unpack(
+    spark: SparkSession, landing: str, month: str, kind: str, folder: str | None = None
+) -> str:
     """The month's archives of one file type, under ``landing/<month>``, expanded into one folder.
 
-    Refused when an expected archive has not arrived or one cannot be expanded whole.
+    Exactly the expected files are expanded. Refused when one of them has not arrived, has arrived
+    twice, or cannot be expanded whole.
     """
-    landed = classified(landed_files(spark, f"{landing.rstrip('/')}/{check_snapshot(month)}"))
-    expected = expected_files(landed.select(F.lit(month).alias(PARTITION)), [kind])
+    place = f"{landing.rstrip('/')}/{check_snapshot(month)}"
+    try:
+        landed = classified(landed_files(spark, place))
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            raise FileNotFoundError(f"not landed for {month}: {place}") from error
+        raise
+    expected = expected_of(spark, month, [kind])
     gap = missing_files(expected, landed).first()
     if gap:
         raise FileNotFoundError(f"not landed for {month}: {gap.file_name}")
-    folder = fresh_folder(spark, f"{month}-{kind}")
-    archives = landed.filter(F.col("file_type") == kind).select(F.col("path").alias("archive"))
-    require_expanded(expand_archives(archives, folder))
+    twice = doubled_files(expected, landed).first()
+    if twice:
+        raise ValueError(f"landed {twice.copies} times for {month}: {twice.file_name}")
+    folder = folder or fresh_folder(spark, f"{month}-{kind}")
+    archives = landed.join(expected.drop("file_type"), [PARTITION, "file_name"], "left_semi")
+    require_expanded(expand_archives(archives.select(F.col("path").alias("archive")), folder))
     return folder
 
 
-def _stage_folder(spark: SparkSession, target: str, month: str) -> str:
-    """Where a month waits for its verdict: one place per target, so reruns reuse the space."""
-    mark = hashlib.md5(f"{target}\n{month}".encode()).hexdigest()
-    return f"{shared_folder(spark)}/cartorio/stage-{mark}"
+def _set_aside(staged: DataFrame, folder: str) -> None:
+    """The damaged lines of a staged extract. Few lines out of many files: rebalanced, or each file
+    would leave one of its own."""
+    (
+        staged.filter("damaged").select(F.col(CORRUPT_FIELD).alias("raw_line"), "source_file")
+        .hint("rebalance").write.mode("overwrite").parquet(folder)
+    )
+
+
+def _judge_extract(staged: DataFrame, good: DataFrame, month: str, rules: Rules, check_input: bool) -> None:
+    verdict = corrupt_rate(staged, rules).first()
+    if verdict.total == verdict.corrupt:
+        raise EmptyMonth(f"no usable rows for {month}: {verdict.asDict()}")
+    misfit = misfit_files(staged, rules.max_misfit_share).first()
+    if misfit:
+        raise checks.CheckFailed(f"schema mismatch for {month}: {misfit.asDict()}")
+    if not verdict.acceptable:
+        raise checks.CheckFailed(f"too many damaged lines for {month}: {verdict.asDict()}")
+    if check_input:
+        # On the required fields: others are empty by nature (fax, second telephone).
+        checks.require(checks.input_checks(good, rules, REQUIRED_FIELDS), f"bronze {month}")
+        checks.require(checks.id_checks(good), f"bronze {month}")
+    log.info("bronze %s: %s", month, verdict.asDict())
 
 
 def load_bronze(
@@ -103,37 +230,50 @@ def load_bronze(
     layers: Layers,
     month: str,
     rules: Rules = Rules(),
+    check_input: bool = True,
 ) -> DataFrame:
     """Raw files into one bronze month; damaged lines into quarantine; too much damage: nothing.
 
-    The verdict is a plain aggregate over the staged table, exact whatever tasks were rerun, and
-    what was judged is what is published. Publishing reads the staged files packed into scan
-    partitions of the usual size, which evens out file sizes without a shuffle.
+    The verdicts are plain aggregates over the staged table, exact whatever tasks were rerun, and what
+    was judged is what is published. Publishing reads the staged files packed into scan partitions of
+    the usual size, which evens out file sizes without a shuffle. The damaged lines of a month that is
+    refused are kept too, under the run's own name.
     """
     check_snapshot(month)
-    staged = stage_extract(spark, paths, _stage_folder(spark, layers.bronze, month))
-    verdict = corrupt_rate(staged, rules).first()
-    if verdict.total == verdict.corrupt:
-        raise EmptyMonth(f"no usable rows for {month}: {verdict.asDict()}")
-    if not verdict.acceptable:
-        raise checks.CheckFailed(f"too many damaged lines for {month}: {verdict.asDict()}")
-
-    log.info("bronze %s: %s", month, verdict.asDict())
-    # Written even when empty: the quarantine of an earlier run of the month must not stay. Few lines
-    # out of many files: rebalanced, or each file would leave one of its own.
-    (
-        staged.filter(is_corrupt())
-        .select(F.col(CORRUPT_FIELD).alias("raw_line"), "source_file").hint("rebalance")
-        .write.mode("overwrite").parquet(month_path(layers.quarantine, month))
+    run = uuid.uuid4().hex
+    with _staging(spark, layers) as folder:
+        staged = stage_extract(spark, paths, f"{folder}/extract")
+        good = staged.filter("NOT damaged").drop(CORRUPT_FIELD, "source_file", "damaged")
+        try:
+            _judge_extract(staged, good, month, rules, check_input)
+        except (checks.CheckFailed, EmptyMonth):
+            _set_aside(staged, f"{month_path(layers.refused, month)}/run={run}")
+            raise
+        table = publish_bronze(good, layers, month, rules, run)
+        # After bronze, and even when empty: the quarantine of an earlier run must not stay.
+        _set_aside(staged, month_path(layers.quarantine, month))
+    return table
+
+
+def publish_bronze(
+    rows: DataFrame, layers: Layers, month: str, rules: Rules = Rules(), run: str | None = None
+) -> DataFrame:
+    """Raw rows, already judged, as one bronze month."""
+    record = Record(run or uuid.uuid4().hex, None, "")
+    return _publish(
+        stamped(rows, month, "ts_ingestion"), layers, "bronze", month, record, "as read", rules
     )
-    good = staged.filter(~is_corrupt()).drop(CORRUPT_FIELD, "source_file")
-    return write_month(stamped(good, month, "ts_ingestion"), layers.bronze, month, BRONZE)
 
 
 def read_quarantine(spark: SparkSession, layers: Layers, month: str) -> DataFrame:
     return read_month(spark, layers.quarantine, month, QUARANTINE)
 
 
+def read_refused(spark: SparkSession, layers: Layers, month: str) -> DataFrame:
+    """Damaged lines of refused runs of the month, with the run."""
+    return read_month(spark, layers.refused, month, T.StructType([*QUARANTINE, T.StructField("run", T.StringType())]))
+
+
 def read_bronze(
     spark: SparkSession, layers: Layers, month: str, columns: Sequence[str] | None = None
 ) -> DataFrame:
@@ -154,41 +294,59 @@ def build_silver(
     month: str,
     rules: Rules = Rules(),
     show_plan: bool = False,
+    cities: DataFrame | None = None,
 ) -> DataFrame:
-    """One curated month from the ten columns it needs.
+    """One curated month from the ten columns it needs; of ``cities`` or else of the rules' codes.
 
-    The city filter keeps a few rows of each file, so the result is rebalanced before writing: the
-    shuffle moves those rows only, and saves thousands of tiny files.
+    The city filter keeps a few rows of each file, so the result is rebalanced when it is staged: the
+    shuffle moves those rows only, and saves thousands of tiny files. Whether there are any is read off
+    the staged files, so bronze is scanned once.
     """
+    source = _record(spark, layers, "bronze", month)
+    if source is None:
+        raise StaleMonth(f"bronze {month} is not published")
     bronze = read_bronze(spark, layers, month, CURATED_INPUT)
-    rows = stamped(curated(bronze, rules.cities), month, "ts_transform")
+    if cities is None:
+        rows = curated(bronze, rules.cities)
+    else:
+        rows = curated(bronze.join(cities.select("municipio").distinct(), "municipio", "left_semi"), None)
+    rows = stamped(rows, month, "ts_transform")
     if show_plan:
         rows.explain("formatted")
-    if rows.isEmpty():
-        require_rows(bronze, f"bronze {month}")
-        raise EmptyMonth(f"no rows of {month} in cities {rules.cities}")
-    return write_month(
-        rows, layers.silver, month, SILVER, "rebalanced", rules.max_rows_per_file
-    )
-
-
-def build_gold(spark: SparkSession, layers: Layers, month: str) -> DataFrame:
+    scope = scope_of(rules, cities)
+    with _staging(spark, layers) as folder:
+        stage_rows(rows, folder, SILVER, rules.file_bytes)
+        staged = spark.read.schema(SILVER).parquet(folder)
+        count = staged.count()
+        if not count:
+            require_rows(bronze, f"bronze {month}")
+            raise EmptyMonth(f"no rows of {month} for {scope}")
+        record = Record(uuid.uuid4().hex, source.run, scope, count)
+        return _publish(staged, layers, "silver", month, record, "as read", rules)
+
+
+def build_gold(spark: SparkSession, layers: Layers, month: str, rules: Rules = Rules()) -> DataFrame:
     """Counts of one month, published only if they add up to the curated rows.
 
-    Two scans of two dictionary-encoded columns, one to reconcile and one to write; the curated rows
-    themselves are counted from the file footers.
+    The counts are staged, judged as they lie there against the rows of silver (counted from the file
+    footers), and those counts are published: silver is aggregated once.
     """
+    reason = _stale(spark, layers, "silver", month)
+    if reason:
+        raise StaleMonth(reason)
+    source = _record(spark, layers, "silver", month)
     silver = read_silver(spark, layers, month)
-    counts = type_status_counts(silver)
-    sums = checks.reconcile(silver, counts).first()
-    if not sums.silver_rows:
-        raise EmptyMonth(f"no rows: silver {month}")
-    if not sums.matches:
-        raise checks.CheckFailed(f"gold {month} does not add up: {sums.asDict()}")
-    log.info("gold %s: %s", month, sums.asDict())
-    return write_month(
-        stamped(counts, month, "ts_aggregation"), layers.gold, month, GOLD, files="one"
-    )
+    with _staging(spark, layers) as folder:
+        stamped(type_status_counts(silver), month, "ts_aggregation").repartition(1).write.parquet(folder)
+        staged = spark.read.schema(GOLD).parquet(folder)
+        sums = checks.reconcile(silver, staged).first()
+        if not sums.silver_rows:
+            raise EmptyMonth(f"no rows: silver {month}")
+        if not sums.matches:
+            raise checks.CheckFailed(f"gold {month} does not add up: {sums.asDict()}")
+        log.info("gold %s: %s", month, sums.asDict())
+        record = Record(uuid.uuid4().hex, source.run, source.rules, sums.gold_sum)
+        return _publish(staged, layers, "gold", month, record, "one", rules)
 
 
 def validate(
@@ -197,18 +355,25 @@ def validate(
     month: str,
     previous: str | None = None,
     rules: Rules = Rules(),
+    cities: DataFrame | None = None,
 ) -> DataFrame:
-    """Business and output checks of a written month as one row; compares with a previous month."""
+    """Business and output checks of a written month as one row; compares with a previous month.
+
+    A month whose layers don't rest on each other is refused before anything is judged.
+    """
+    require_fresh(spark, layers, month)
     silver, gold = read_silver(spark, layers, month), read_gold(spark, layers, month)
     before = read_gold(spark, layers, previous) if previous else None
     return checks.run_gate(
-        checks.business_checks(silver, rules), checks.output_checks(silver, gold, before, rules)
+        checks.business_checks(silver, rules, cities),
+        checks.output_checks(silver, gold, before, rules),
     )
 
 
 def report(
     spark: SparkSession, layers: Layers, month: str, rules: Rules = Rules()
 ) -> Row:
+    require_fresh(spark, layers, month)
     figures = summary(read_gold(spark, layers, month), rules).first()
     if not figures.ratio_expected:
         log.warning("branches per headquarters unusual: %s", figures.ratio_filial_matriz)
@@ -221,6 +386,17 @@ def compare_months(
     return compare(read_gold(spark, layers, [current, previous]), current, previous, rules)
 
 
+def named_cities(lookup: DataFrame, name: str) -> DataFrame:
+    """The codes of a city name; refuses a lookup that lists a code twice or not the name."""
+    twice = codes_listed_twice(lookup).first()
+    if twice:
+        raise ValueError(f"city code listed {twice['count']} times: {twice.code}")
+    cities = cities_named(lookup, name)
+    if cities.isEmpty():
+        raise ValueError(f"no city named {name!r} in the lookup")
+    return cities
+
+
 def run(
     spark: SparkSession,
     root: str,
@@ -233,48 +409,49 @@ def run(
     previous: str | None = None,
     city_name: str | None = None,
     lookup: DataFrame | None = None,
-    check_input: bool = False,
+    check_input: bool = True,
+    check_stability: bool = True,
     rules: Rules = Rules(),
     show_plan: bool = False,
 ) -> Row | None:
     """The stages a job name stands for, in order; returns the report row if it was asked for.
 
     Text comes from ``paths`` or from the archives in ``landing``, where the city lookup lies too. A
-    layer that already holds the month is kept unless ``force`` is set; once one layer has been
-    rebuilt, those after it are rebuilt too, so that no layer is older than its source.
+    layer is built when the month isn't published in it, when it was built from something else than
+    the layer below holds now, when other cities are asked for, or when ``force`` is set; whatever
+    jobs were run before, and wherever they broke off. The month is compared with ``previous``, or
+    else with the last month before it that has counts.
     """
     check_month(month)
     stages, layers = JOBS[job], Layers(root)
-    rebuild = force
-    if city_name:
-        if lookup is None:
-            if not landing:
-                raise ValueError("a city name needs the city lookup, or a landing folder with it")
-            lookup = read_lookup(spark, unpack(spark, landing, month, "municipios"))
-        rules = replace(rules, cities=tuple(city_codes(lookup, city_name)))
-
-    def due(layer: str, schema: T.StructType) -> bool:
-        return rebuild or not has_month(spark, layer, month, schema)
-
-    if "bronze" in stages and not skip_ingest and due(layers.bronze, BRONZE):
-        source = unpack(spark, landing, month, "estabelecimentos") if landing else paths or []
-        load_bronze(spark, source, layers, month, rules)
-        rebuild = True
-    if "bronze" in stages and check_input:
-        # Judged on the required fields: others are empty by nature (fax, second telephone).
-        bronze = read_bronze(spark, layers, month)
-        verdict = checks.input_checks(bronze, rules, REQUIRED_FIELDS)
-        checks.require(verdict, f"bronze {month}")
-    if "silver" in stages and due(layers.silver, SILVER):
-        build_silver(spark, layers, month, rules, show_plan)
-        rebuild = True
-    if "gold" in stages and due(layers.gold, GOLD):
-        build_gold(spark, layers, month)
-    if "validate" in stages:
-        verdict = validate(spark, layers, month, previous, rules)
-        checks.require(verdict, f"month {month}", "all_passed")
-    if "report" not in stages:
-        return None
-    figures = report(spark, layers, month, rules)
-    print(console_text(month, figures))
-    return figures
+    if city_name and lookup is None and not landing:
+        raise ValueError("a city name needs the city lookup, or a landing folder with it")
+    with _staging(spark, layers) as folder:
+        cities = None
+        if city_name:
+            if lookup is None:
+                text = unpack(spark, landing, month, "municipios", f"{folder}/municipios")
+                lookup = read_lookup(spark, text)
+            cities = named_cities(lookup, city_name)
+        scope = scope_of(rules, cities)
+        if "bronze" in stages and not skip_ingest and (force or _stale(spark, layers, "bronze", month)):
+            source = paths or []
+            if landing:
+                source = unpack(spark, landing, month, "estabelecimentos", f"{folder}/extract")
+            load_bronze(spark, source, layers, month, rules, check_input)
+        if "silver" in stages and (force or _stale(spark, layers, "silver", month, scope)):
+            build_silver(spark, layers, month, rules, show_plan, cities)
+        if "gold" in stages and (force or _stale(spark, layers, "gold", month, scope)):
+            build_gold(spark, layers, month, rules)
+        if "validate" in stages:
+            require_fresh(spark, layers, month, scope)
+            if previous is None and check_stability:
+                previous = latest_before(spark, layers, month)
+            verdict = validate(spark, layers, month, previous, rules, cities)
+            checks.require(verdict, f"month {month}", "all_passed")
+        if "report" not in stages:
+            return None
+        require_fresh(spark, layers, month, scope)
+        figures = report(spark, layers, month, rules)
+        print(console_text(month, figures))
+        return figures

@@ -49,6 +49,18 @@ gold_{side} AS (
 )""" for side, month in (("previous", PREVIOUS), ("current", CURRENT)))
 
 
+# Curated rows that come through the text files whole, and their counts.
+SOUND_ROWS = SILVER + """,
+sound AS (SELECT s.* FROM silver s JOIN registry r ON s.cnpj_basico = r.cnpj_basico
+          AND s.cnpj_ordem = r.cnpj_ordem AND s.cnpj_dv = r.cnpj_dv
+          WHERE r.record_no % 499 NOT IN (1, 2, 3))"""
+SOUND_GOLD = SOUND_ROWS + """,
+gold AS (
+  SELECT establishment_type, registration_status, count(*) AS "count"
+  FROM sound GROUP BY establishment_type, registration_status
+)"""
+
+
 def _with(views: str, body: str) -> str:
     return f"WITH {views}\n{body}"
 
@@ -85,12 +97,12 @@ def _per_field(select: str) -> str:
     )
 
 
-def _input_checks(fields) -> str:
+def _input_checks(fields, present: str = "true") -> str:
     return _with(REGISTRY, f"""
 SELECT *, has_minimum_records AND has_required_fields AND null_rate_acceptable AS all_checks_passed
 FROM (
   SELECT record_count, worst_null_rate, record_count >= 10000000 AS has_minimum_records,
-         true AS has_required_fields, worst_null_rate <= 0.05 AS null_rate_acceptable
+         {present} AS has_required_fields, worst_null_rate <= 0.05 AS null_rate_acceptable
   FROM (SELECT count(*) AS record_count,
                greatest({", ".join(_rate(name) for name in fields)}) AS worst_null_rate
         FROM registry))""")
@@ -235,6 +247,9 @@ SELECT establishment_type, registration_status, "count", '{CURRENT}' AS dt_inges
     "compare_snapshots": COMPARISON,
     "input_checks": _input_checks(RAW_NAMES),
     "input_checks_required": _input_checks(REQUIRED_FIELDS),
+    "input_checks_absent": _input_checks(
+        [name for name in REQUIRED_FIELDS if name != "municipio"], "false"
+    ),
     "id_checks": _with(REGISTRY, """
 SELECT *, null_cnpj_basico = 0 AS has_cnpj_basico, null_cnpj_ordem = 0 AS has_cnpj_ordem,
        null_cnpj_dv = 0 AS has_cnpj_dv,
@@ -259,7 +274,8 @@ WHERE municipio IN (SELECT CAST(7100 + n_nationkey AS VARCHAR) FROM nation
                     WHERE n_name = '{CITY_NAME}')"""),
     "city_lookup_named": _with(REGISTRY, f"""
 SELECT {', '.join(CURATED_INPUT)}, n_name AS city_name
-FROM registry JOIN nation ON municipio = CAST(7100 + n_nationkey AS VARCHAR)"""),
+FROM registry LEFT JOIN nation
+  ON municipio = CAST(7100 + n_nationkey AS VARCHAR) AND n_name <> '{UNLISTED_NAME}'"""),
     "city_lookup_counts": _with(GOLD, "SELECT * FROM gold"),
     "unknown_city_codes": _with(REGISTRY, f"""
 SELECT municipio, count(*) AS "count" FROM registry
@@ -272,6 +288,11 @@ SELECT * FROM expected e
 WHERE NOT EXISTS (SELECT 1 FROM orders
                   WHERE strftime(o_orderdate, '%Y-%m') = e.dt_ingestion
                     AND 'Estabelecimentos' || (o_orderkey % 10) || '.zip' = e.file_name)"""),
+    "manifest_doubled": _with(EXPECTED, """
+SELECT dt_ingestion, file_type, file_name, copies FROM expected JOIN (
+  SELECT strftime(o_orderdate, '%Y-%m') AS dt_ingestion,
+         'Estabelecimentos' || (o_orderkey % 10) || '.zip' AS file_name, count(*) AS copies
+  FROM orders GROUP BY 1, 2 HAVING count(*) > 1) USING (dt_ingestion, file_name)"""),
     "corrupt_rate": _with(REGISTRY, f"""
 SELECT *, CASE WHEN total > 0 THEN corrupt / total ELSE 0.0 END AS corrupt_rate,
        CASE WHEN total > 0 THEN corrupt / total ELSE 0.0 END <= 0.01 AS acceptable
@@ -285,10 +306,19 @@ FROM registry WHERE {DAMAGED}"""),
     "layer_roundtrip": _with(SNAPSHOTS, """
 SELECT * FROM gold_previous UNION ALL SELECT * FROM gold_current"""),
     "layer_comparison": COMPARISON,
-    "monthly_run": _with(SILVER + """,
-sound AS (SELECT s.* FROM silver s JOIN registry r ON s.cnpj_basico = r.cnpj_basico
-          AND s.cnpj_ordem = r.cnpj_ordem AND s.cnpj_dv = r.cnpj_dv
-          WHERE r.record_no % 499 NOT IN (1, 2, 3))""", _business(rows="sound", least=0)),
+    "monthly_run": _with(SOUND_ROWS, _business(rows="sound", least=0)),
+    "monthly_full": _with(SOUND_GOLD, f"""
+SELECT *, business_passed AND output_passed AS all_passed,
+       ratio_filial_matriz BETWEEN 0.01 AND 1.0 AS ratio_expected
+FROM (SELECT *, matriz_active + filial_active AS total_active,
+             round_even({RATIO.format(m="matriz_active", f="filial_active")}, 2)
+               AS ratio_filial_matriz
+      FROM (SELECT (SELECT all_checks_passed FROM ({_business(rows="sound", least=0)})) AS business_passed,
+                   (SELECT all_checks_passed FROM ({_output("sound", "gold", None)})) AS output_passed,
+                   (SELECT CAST(sum("count") AS BIGINT) FROM gold) AS total,
+                   (SELECT count(*) FROM gold) AS groups, {_summary("gold")}))"""),
+    "monthly_rerun": _with(SOUND_GOLD, f"""
+SELECT *, '{CURRENT}' AS dt_ingestion FROM gold"""),
     "archive_manifest": _with(REGISTRY, f"""
 SELECT true AS all_exist, true AS all_valid, true AS all_filled, true AS all_passed,
        CAST(sum(length({WRITTEN}) + 1) AS BIGINT) AS bytes, CAST(0 AS BIGINT) AS problems

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from cartorio.fixed import CORRUPT_FIELD, CSV_FORMAT
 from cartorio.sources.layouts import RAW, check_names, scan_schema
 
-STAGED = scan_schema().add("source_file", "string")
+STAGED = scan_schema().add("source_file", "string").add("damaged", "boolean")
 LOOKUP = T.StructType([
     T.StructField("code", T.StringType()),
     T.StructField("name", T.StringType()),
@@ -44,15 +44,27 @@ def stage_extract(spark: SparkSession, paths: str | Sequence[str], folder: str)
     """The scan, all fields of it, as a written table with the file each row came from.
 
     The text is parsed once. Everything after reads this table: the verdict on damage sees whole
-    lines, later aggregates read single columns, and a lost executor costs no second parse.
+    lines, later aggregates read single columns, and a lost executor costs no second parse. Sound and
+    damaged rows lie apart (``damaged``), so neither is filtered out of the other again.
     """
     scanned = scan_extract(spark, paths)
     check_names(scanned.columns)
     (
         scanned.withColumn("source_file", F.col("_metadata.file_path"))
-        .write.mode("overwrite").parquet(folder)
+        # Cached parse results would be judged on the columns in use; all of them are written here.
+        .withColumn("damaged", F.col(CORRUPT_FIELD).isNotNull())
+        .write.mode("overwrite").partitionBy("damaged").parquet(folder)
     )
-    return spark.read.schema(STAGED).parquet(folder)
+    return spark.read.schema(STAGED).option("basePath", folder).parquet(folder)
+
+
+def misfit_files(staged: DataFrame, most: float) -> DataFrame:
+    """Files of which more than that share of the lines doesn't fit the layout: another layout, not
+    damage. One row a file, from one pass over two columns."""
+    share = F.avg(F.col("damaged").cast("int"))
+    return staged.groupBy("source_file").agg(
+        F.count(F.lit(1)).alias("lines"), share.alias("misfit_share")
+    ).filter(F.col("misfit_share") > most)
 
 
 def read_lookup(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -56,13 +57,34 @@ def require_rows(df: DataFrame, what: str) -> None:
         raise EmptyMonth(f"no rows: {what}")
 
 
+@contextmanager
+def _file_size(spark: SparkSession, target: int) -> Iterator[None]:
+    """While inside, rebalanced partitions aim at so many bytes."""
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(target))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+def stage_rows(df: DataFrame, folder: str, schema: T.StructType, file_bytes: int) -> None:
+    """Rows of a layer in files of about ``file_bytes`` (as shuffled), to be judged and published."""
+    with _file_size(df.sparkSession, file_bytes):
+        df.select(*schema.fieldNames()).to(schema).hint("rebalance").write.parquet(folder)
+
+
 def write_month(
     df: DataFrame,
     root: str,
     month: str,
     schema: T.StructType,
     files: str = "as read",
-    max_rows_per_file: int = 0,
+    file_bytes: int = 256 << 20,
 ) -> DataFrame:
     """Replace one snapshot of a layer, leave the others alone, and return what was written.
 
@@ -70,20 +92,20 @@ def write_month(
     It would also leave the old one when the new result is empty; callers check for rows first.
 
     ``files``: ``as read`` keeps the scan's partitions (no shuffle); ``rebalanced`` lets adaptive
-    execution even out sizes after a strong filter, shuffling only the rows that are left;
-    ``one`` is for tables bounded to a few rows.
+    execution cut files of about ``file_bytes`` (as shuffled) after a strong filter, shuffling only
+    the rows that are left; ``one`` is for tables bounded to a few rows.
     """
     rows = df.select(*schema.fieldNames()).to(schema)
     if files == "rebalanced":
         rows = rows.hint("rebalance")
     elif files == "one":
-        rows = rows.coalesce(1)
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "snappy")
-        .option("maxRecordsPerFile", max_rows_per_file)
-        .partitionBy(PARTITION)
-        .parquet(root)
-    )
+        rows = rows.repartition(1)
+    with _file_size(df.sparkSession, file_bytes):
+        (
+            rows.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("compression", "snappy")
+            .partitionBy(PARTITION)
+            .parquet(root)
+        )
     return read_month(df.sparkSession, root, month, schema)

@@ -14,23 +14,11 @@ from cartorio.fixed import (
     CRITICAL_FIELDS,
     CURATED_OUTPUT,
     PARTITION,
-    RAW_FIELDS,
+    RAW,
 )
 
 log = logging.getLogger(__name__)
 
-_TYPES = {"string": T.StringType(), "int": T.IntegerType()}
-
-
-def _raw_schema() -> T.StructType:
-    schema = T.StructType()
-    for line in RAW_FIELDS.split(","):
-        name, kind, *required = line.split()
-        schema.add(name, _TYPES[kind], nullable=not required)
-    return schema
-
-
-RAW = _raw_schema()
 RAW_NAMES = RAW.fieldNames()
 
 

@@ -1,0 +1,71 @@
+"""Which run published a month of a layer, and from what.
+
+One small table under the root, a partition for each layer and month. A record is written before the
+data is touched (``done`` false) and again when it is published, so a run that breaks off in between
+leaves a record that nobody trusts.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import SparkSession
+from pyspark.sql import types as T
+
+from cartorio.fixed import PARTITION
+from cartorio.functions.predicates import check_snapshot
+
+SCHEMA = T.StructType([
+    T.StructField("run", T.StringType()),
+    T.StructField("source", T.StringType()),
+    T.StructField("rules", T.StringType()),
+    T.StructField("rows", T.LongType()),
+    T.StructField("done", T.BooleanType()),
+])
+
+
+@dataclass(frozen=True)
+class Record:
+    """``source`` is the run that published the layer below; ``rules`` what the rows were chosen by."""
+
+    run: str
+    source: str | None
+    rules: str
+    rows: int | None = None
+    done: bool = False
+
+
+def _path(root: str, layer: str, month: str) -> str:
+    return f"{root}/ledger/layer={layer}/{PARTITION}={check_snapshot(month)}"
+
+
+def enter(spark: SparkSession, root: str, layer: str, month: str, record: Record) -> None:
+    row = (record.run, record.source, record.rules, record.rows, record.done)
+    spark.createDataFrame([row], SCHEMA).coalesce(1).write.mode("overwrite").parquet(
+        _path(root, layer, month)
+    )
+
+
+def published(spark: SparkSession, root: str, layer: str, month: str) -> Record | None:
+    """The record of a month that was published whole; None if there is none."""
+    try:
+        row = spark.read.schema(SCHEMA).parquet(_path(root, layer, month)).first()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return Record(**row.asDict()) if row and row.done else None
+
+
+def published_months(spark: SparkSession, root: str, layer: str) -> list[str]:
+    """Months (not single days) that a layer has published; a record each."""
+    folder = f"{root}/ledger/layer={layer}"
+    schema = T.StructType([*SCHEMA, T.StructField(PARTITION, T.StringType())])
+    try:
+        rows = spark.read.schema(schema).parquet(folder).filter("done").select(PARTITION).collect()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
+    return sorted(row[0] for row in rows if len(row[0]) == len("YYYY-MM"))

@@ -46,6 +46,17 @@ def classified(landed: DataFrame) -> DataFrame:
     })
 
 
+def expected_of(spark: SparkSession, month: str, kinds: Iterable[str] = tuple(ARCHIVES)) -> DataFrame:
+    """The files that one month needs, whether or not anything of it has landed."""
+    return expected_files(spark.range(1).select(F.lit(month).alias(PARTITION)), kinds)
+
+
+def doubled_files(expected: DataFrame, landed: DataFrame) -> DataFrame:
+    """Expected files that are there more than once, with the number of times."""
+    copies = landed.groupBy(PARTITION, "file_name").agg(F.count(F.lit(1)).alias("copies"))
+    return expected.join(copies.filter("copies > 1"), [PARTITION, "file_name"])
+
+
 def missing_files(expected: DataFrame, landed: DataFrame) -> DataFrame:
     """Expected files that are not there."""
     return expected.join(

@@ -2,32 +2,28 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import SparkSession
 
 
-@cache
-def _private_folder() -> str:
-    return tempfile.mkdtemp(prefix="cartorio-")
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
+    """The folder the cluster names in ``spark.checkpoint.dir``, or else a part of the warehouse.
 
-    Every executor must see it. A private folder stands in only on a single machine (tests);
-    on a cluster without the setting the job stops here.
+    Every executor must see it, as it must see the warehouse.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if spark.conf.get("spark.master", "").startswith("local"):
-        return _private_folder()
-    raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def fresh_folder(spark: SparkSession, purpose: str) -> str:
     """A folder of its own for one run."""
     return f"{shared_folder(spark)}/cartorio/{purpose}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder that this library wrote, on whatever file system it lies."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -68,9 +68,9 @@ def test_golden_snapshots(spark):
     ]
     row = compare(parts[0].unionByName(parts[1]), "2026-02", "2026-01").first()
     assert (row.previous_total, row.current_total) == (363, 326)
-    assert (row.current_summary.matriz_active, row.current_summary.filial_active) == (263, 63)
+    assert (row.current_matriz_active, row.current_filial_active) == (263, 63)
     assert (row.variance, row.variance_pct, row.within_threshold) == (-0.1019, -10.19, False)
-    assert row.previous_summary.ratio_filial_matriz == 0.24
+    assert row.previous_ratio_filial_matriz == 0.24
 
 
 def test_golden_numbers(spark):

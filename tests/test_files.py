@@ -6,6 +6,7 @@ import os
 import subprocess
 import sys
 import zipfile
+from dataclasses import replace
 from pathlib import Path
 
 import pytest
@@ -21,7 +22,13 @@ from cartorio.operators.conform import stamped
 from cartorio.operators.measures import corrupt_rate
 from cartorio.plans import monthly
 from cartorio.plans.registry import registry
-from cartorio.sources.archives import check_archives, expand_archives, require_expanded
+from cartorio.sources.archives import (
+    check_archives,
+    expand_archives,
+    locate,
+    require_expanded,
+    s3_options,
+)
 from cartorio.sources.delimited import read_lookup, scan_extract, stage_extract
 from cartorio.sources.layers import EmptyMonth, has_month, read_month, write_month
 from cartorio.sources.layouts import BRONZE, GOLD, RAW_NAMES, SILVER
@@ -104,7 +111,9 @@ CLEAN = [
     sound(11, municipio="6001"),
     sound(12, situacao_cadastral=None),
 ]
-RULES = Rules(min_bronze_rows=1, min_silver_rows=1, max_corrupt_rate=0.5)
+RULES = Rules(
+    min_bronze_rows=1, min_silver_rows=1, max_corrupt_rate=0.5, max_misfit_share=0.9, max_null_rate=0.1
+)
 
 
 def test_damage_is_judged_on_whole_lines(spark, tmp_path):
@@ -259,7 +268,8 @@ def test_run_stops_on_failed_checks(spark, tmp_path):
     with pytest.raises(CheckFailed, match="2026-01"):
         monthly.run(spark, root, "2026-01", path, rules=RULES)
     with pytest.raises(CheckFailed, match="bronze"):
-        monthly.run(spark, root, "2026-01", path, job="bronze_only", rules=RULES, check_input=True)
+        thin = replace(RULES, max_null_rate=0.01)
+        monthly.run(spark, root, "2026-01", path, job="bronze_only", rules=thin, force=True)
     with pytest.raises(ValueError):
         monthly.run(spark, root, "2026-1", path)
     with pytest.raises(KeyError):
@@ -277,6 +287,138 @@ def test_stability_is_part_of_the_run(spark, tmp_path):
                     previous="2026-01")
 
 
+def active(spark, root) -> int:
+    rows = monthly.read_gold(spark, monthly.Layers(root), "2026-01").collect()
+    return sum(r["count"] for r in rows if r.registration_status == "ATIVA")
+
+
+def test_a_refused_layer_does_not_leave_the_month_valid(spark, tmp_path):
+    """Bronze anew without a row of the city, silver refused: the old silver doesn't pass for it."""
+    root = str(tmp_path / "lake")
+    monthly.run(spark, root, "2026-01", write_csv(tmp_path / "a.csv", CLEAN), rules=RULES)
+    away = write_csv(tmp_path / "b.csv", [sound(n, municipio="6001") for n in range(9)])
+    for force in (True, False):
+        with pytest.raises(EmptyMonth):
+            monthly.run(spark, root, "2026-01", away, rules=RULES, force=force)
+    for job in ("validate_only", "gold_only"):
+        with pytest.raises(monthly.StaleMonth):
+            monthly.run(spark, root, "2026-01", job=job, rules=RULES)
+
+
+def test_stages_as_separate_jobs_follow_their_source(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    monthly.run(spark, root, "2026-01", write_csv(tmp_path / "a.csv", CLEAN), rules=RULES)
+    more = write_csv(tmp_path / "b.csv", [*CLEAN, sound(50), sound(51)])
+    monthly.run(spark, root, "2026-01", more, job="bronze_only", rules=RULES, force=True)
+    assert active(spark, root) == 10
+    figures = monthly.run(spark, root, "2026-01", rules=RULES, skip_ingest=True)
+    assert figures.total_active == active(spark, root) == 12
+    stamp = monthly.read_silver(spark, monthly.Layers(root), "2026-01").first().ts_transform
+    monthly.run(spark, root, "2026-01", rules=RULES, skip_ingest=True)  # nothing is due
+    assert monthly.read_silver(spark, monthly.Layers(root), "2026-01").first().ts_transform == stamp
+
+
+def test_another_city_is_another_month(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    lookup = spark.createDataFrame([("7107", "SP"), ("6001", "RIO")], "code string, name string")
+    path = write_csv(tmp_path / "a.csv", [*CLEAN, sound(60, municipio="6001"), sound(61, municipio="6001", identificador_matriz_filial=2)])
+    rules = replace(RULES, stability=9.0)
+    monthly.run(spark, root, "2026-01", path, rules=rules, city_name="SP", lookup=lookup)
+    assert active(spark, root) == 10
+    with pytest.raises(monthly.StaleMonth, match="asked for"):
+        monthly.run(spark, root, "2026-01", job="validate_only", rules=rules, city_name="RIO", lookup=lookup)
+    monthly.run(spark, root, "2026-01", job="silver_only", rules=rules, city_name="RIO", lookup=lookup)
+    with pytest.raises(monthly.StaleMonth):
+        monthly.report(spark, monthly.Layers(root), "2026-01")
+    wide = replace(rules, max_ratio=9.0)
+    monthly.run(spark, root, "2026-01", rules=wide, skip_ingest=True, city_name="RIO", lookup=lookup)
+    assert active(spark, root) == 3
+    with pytest.raises(ValueError, match="listed 2 times"):
+        monthly.run(spark, root, "2026-01", path, city_name="SP", lookup=lookup.union(lookup))
+    with pytest.raises(ValueError, match="no city"):
+        monthly.run(spark, root, "2026-01", path, city_name="NOWHERE", lookup=lookup)
+
+
+def test_a_run_that_breaks_off_is_not_trusted(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "lake")
+    path = write_csv(tmp_path / "a.csv", CLEAN)
+    monthly.run(spark, root, "2026-01", path, rules=RULES)
+    layers = monthly.Layers(root)
+
+    def broken(*_, **__):
+        raise OSError("lost")
+
+    monkeypatch.setattr(monthly, "write_month", broken)
+    with pytest.raises(OSError):
+        monthly.build_silver(spark, layers, "2026-01", RULES)
+    monkeypatch.undo()
+    with pytest.raises(monthly.StaleMonth, match="not published"):
+        monthly.report(spark, layers, "2026-01")
+    assert not list((tmp_path / "lake/_staging").iterdir())
+    assert monthly.run(spark, root, "2026-01", rules=RULES).total_active == 10
+
+
+def test_runs_of_one_month_do_not_share_their_staging(spark, tmp_path, monkeypatch):
+    """Another run of the month publishes between the verdict and the publishing of the first."""
+    layers = monthly.Layers(str(tmp_path / "lake"))
+    first = write_csv(tmp_path / "a.csv", CLEAN)
+    second = write_csv(tmp_path / "b.csv", [sound(n) for n in range(3)])
+    publish = monthly.publish_bronze
+
+    def between(*given):
+        monkeypatch.undo()
+        monthly.load_bronze(spark, second, layers, "2026-01", RULES)
+        return publish(*given)
+
+    monkeypatch.setattr(monthly, "publish_bronze", between)
+    assert monthly.load_bronze(spark, first, layers, "2026-01", RULES).count() == len(CLEAN)
+    assert not list((tmp_path / "lake/_staging").iterdir())
+
+
+def test_gold_is_judged_as_staged(spark, lake, monkeypatch):
+    monthly.build_silver(spark, lake, "2026-01", RULES)
+    whole = monthly.type_status_counts
+    monkeypatch.setattr(monthly, "type_status_counts", lambda silver: whole(silver).limit(2))
+    with pytest.raises(CheckFailed, match="add up"):
+        monthly.build_gold(spark, lake, "2026-01")
+    assert not has_month(spark, lake.gold, "2026-01", GOLD)
+
+
+def test_damaged_lines_of_a_refused_month_are_kept(spark, tmp_path):
+    layers = monthly.Layers(str(tmp_path / "lake"))
+    monthly.load_bronze(spark, write_csv(tmp_path / "a.csv", CLEAN), layers, "2026-01", RULES)
+    worse = write_csv(tmp_path / "b.csv", CLEAN, ['"1";"2"'])
+    with pytest.raises(CheckFailed, match="damaged"):
+        monthly.load_bronze(spark, worse, layers, "2026-01", replace(RULES, max_corrupt_rate=0.01))
+    assert [r.raw_line for r in monthly.read_refused(spark, layers, "2026-01").collect()] == ['"1";"2"']
+    assert monthly.read_quarantine(spark, layers, "2026-01").count() == 0
+
+
+def test_a_file_of_another_layout_is_named(spark, tmp_path):
+    layers = monthly.Layers(str(tmp_path / "lake"))
+    (tmp_path / "in").mkdir()
+    write_csv(tmp_path / "in/a.csv", [sound(n) for n in range(99)])
+    (tmp_path / "in/cities.csv").write_text('"7107";"SAO PAULO"\n')
+    with pytest.raises(CheckFailed, match="schema mismatch.*cities.csv"):
+        monthly.load_bronze(spark, str(tmp_path / "in"), layers, "2026-01", replace(RULES, max_corrupt_rate=0.9))
+
+
+def test_input_and_stability_are_judged_by_default(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    path = write_csv(tmp_path / "a.csv", CLEAN)
+    with pytest.raises(CheckFailed, match="has_minimum_records"):
+        monthly.run(spark, root, "2026-01", path, rules=replace(RULES, min_bronze_rows=10_000_000))
+    with pytest.raises(CheckFailed, match="null_cnpj_dv"):
+        nameless = write_csv(tmp_path / "c.csv", [*CLEAN, *CLEAN, sound(70, cnpj_dv=None)])
+        monthly.run(spark, root, "2026-01", nameless, rules=RULES)
+    monthly.run(spark, root, "2026-01", path, rules=RULES)
+    grown = write_csv(tmp_path / "b.csv", [*CLEAN, *[sound(n) for n in range(70, 80)]])
+    with pytest.raises(CheckFailed, match="2026-02"):
+        monthly.run(spark, root, "2026-02", grown, rules=RULES)
+    figures = monthly.run(spark, root, "2026-02", grown, rules=RULES, check_stability=False)
+    assert figures.total_active == 20
+
+
 # --- archives -------------------------------------------------------------------------------------
 
 
@@ -328,10 +470,11 @@ def test_expand_archives(spark, archives, tmp_path):
     assert set(good) == {b"1\n", b"2\n", b"4\n", b"6\n", b"7\n"}
     assert all(r.bytes == 2 and r.path.startswith(target) for r in good.values())
     bad = {(Path(r.archive).name, r.entry) for r in rows if r.problem}
-    assert bad == {("text.zip", None), ("damaged.zip", "d.csv"), ("none.zip", None)}
-    # What a damaged entry or a lost task leaves behind has a hidden name and is not scanned.
+    assert bad == {
+        ("text.zip", None), ("damaged.zip", "d.csv"), ("none.zip", None), ("empty.zip", None)
+    }
     assert len(list(Path(target).rglob("0*"))) == 5
-    assert len(list(Path(target).rglob("_*"))) == 1
+    assert not list(Path(target).rglob("_*"))  # a damaged entry leaves nothing
     assert spark.read.option("recursiveFileLookup", "true").text(target).count() == 5
     assert scan_extract(spark, target, SHORT).count() == 5
     with pytest.raises(ValueError, match="not expanded"):
@@ -368,6 +511,39 @@ def test_incomplete_landing_is_refused(spark, tmp_path):
     assert monthly.unpack(spark, str(tmp_path / "landing"), "2026-01", "municipios")
 
 
+def test_nothing_landed_is_said_so(spark, tmp_path):
+    with pytest.raises(FileNotFoundError, match="not landed for 2026-01"):
+        monthly.unpack(spark, str(tmp_path / "landing"), "2026-01", "estabelecimentos")
+    (tmp_path / "landing/2026-01").mkdir(parents=True)
+    with pytest.raises(FileNotFoundError, match="not landed for 2026-01: Estabelecimentos"):
+        monthly.unpack(spark, str(tmp_path / "landing"), "2026-01", "estabelecimentos")
+
+
+def test_copies_of_archives_are_refused_or_ignored(spark, tmp_path):
+    folder = tmp_path / "landing/2026-01"
+    land(folder, CLEAN)
+    copy = (folder / "Estabelecimentos0.zip").read_bytes()
+    (folder / "old").mkdir()
+    (folder / "old/Estabelecimentos0.zip").write_bytes(copy)
+    root = str(tmp_path / "lake")
+    monthly.run(spark, root, "2026-01", landing=str(tmp_path / "landing"), job="bronze_only", rules=RULES)
+    assert monthly.read_bronze(spark, monthly.Layers(root), "2026-01").count() == len(CLEAN)
+    assert not list((tmp_path / "lake/_staging").iterdir())
+    (folder / "2026-01").mkdir()
+    (folder / "2026-01/Estabelecimentos0.zip").write_bytes(copy)
+    with pytest.raises(ValueError, match="landed 2 times"):
+        monthly.unpack(spark, str(tmp_path / "landing"), "2026-01", "estabelecimentos")
+
+
+def test_an_archive_without_data_is_refused(spark, tmp_path):
+    folder = tmp_path / "landing/2026-01"
+    land(folder, CLEAN)
+    make_zip(folder / "Estabelecimentos3.zip", {"LEIAME.txt": b"none"})
+    with pytest.raises(ValueError, match="no data entry"):
+        monthly.run(spark, str(tmp_path / "lake"), "2026-01", landing=str(tmp_path / "landing"),
+                    job="bronze_only", rules=RULES)
+
+
 def test_manifest(spark, tmp_path):
     land(tmp_path / "landing/2026-01", CLEAN)
     (tmp_path / "landing/2026-01/Empresas0.zip").write_text("x")
@@ -397,16 +573,26 @@ def test_shared_folder_is_the_session_s(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
 
 
-def test_a_cluster_without_shared_folder_is_refused():
+def test_without_a_shared_folder_the_warehouse_serves():
     class Conf:
         def get(self, name, default=None):
-            return {"spark.master": "spark://cluster:7077"}.get(name, default)
+            return {"spark.sql.warehouse.dir": "hdfs://lake/warehouse/"}.get(name, default)
 
     class Session:
         conf = Conf()
 
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_folder(Session())
+    assert shared_folder(Session()) == "hdfs://lake/warehouse/_scratch"
+
+
+def test_object_store_settings_reach_the_archive_reader():
+    store = {"access.key": "a", "secret.key": "s", "endpoint": "http://store:9000", "path.style.access": "true"}
+    assert s3_options(store) == {
+        "access_key": "a", "secret_key": "s", "endpoint_override": "store:9000", "scheme": "http",
+        "force_virtual_addressing": False,
+    }
+    files, path = locate("s3a://lake/a.zip", store)
+    assert files.type_name == "s3" and path == "lake/a.zip"
+    assert locate("file:///tmp/a.zip", store)[1] == "/tmp/a.zip"
 
 
 def test_command_line(tmp_path):
@@ -414,7 +600,8 @@ def test_command_line(tmp_path):
     home = Path(__file__).resolve().parent.parent
     done = subprocess.run(
         [sys.executable, "-m", "cartorio", "extract", "--month", "2026-01",
-         "--root", str(tmp_path / "lake"), "--paths", path],
+         "--root", str(tmp_path / "lake"), "--paths", path, "--min-bronze-rows", "1",
+         "--max-null-rate", "0.1"],
         cwd=home, capture_output=True, text=True, timeout=300,
     )
     assert done.returncode == 0, done.stderr[-2000:]
