@@ -37,9 +37,9 @@ class ChainSettings:
 
     sample: int = 10_000
     words: int = 160
-    association: float = 20.0
+    association: float = 15.0
     folds: int = 5
-    ridge: float = 1.0
+    ridge: float = 0.1
     threshold: float = 0.5
 
 
