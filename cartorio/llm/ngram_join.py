@@ -42,7 +42,7 @@ class JoinSettings:
     trees: int = 12
     longest: int = 8
     recall: float = 0.995
-    block: int = 1000
+    block: int = 400
 
     def recall_at(self, prefix: int) -> float:
         """How likely a pair at the threshold shares a prefix of that length in some tree."""
