@@ -47,7 +47,7 @@ def _coins(block: int) -> np.ndarray:
     """Move or stay, by step of the block and code; the code after the end stays."""
     words = _random(block * STRIDE, STRIDE, 1)
     coins = (words[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)
-    return np.hstack([coins, np.zeros((STRIDE, 1), np.uint64)]).astype(np.intp)
+    return np.hstack([coins, np.zeros((STRIDE, 1), np.uint64)]).astype(np.uint8)
 
 
 @cache

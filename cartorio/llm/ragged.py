@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text worked on at once inside a task; one longer text is a group of its own.
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 2 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
