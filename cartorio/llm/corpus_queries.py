@@ -42,6 +42,42 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _ngram_sql() -> str:
+    """All pairs of documents that share a shingle, and the groups they link."""
+    settings = ngram_join.JoinSettings()
+    width = settings.shingle
+    run = " || ' ' || ".join(f"w[p + {step}]" for step in range(width))
+    return f"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')),
+                '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents
+        ), shingles AS (
+            SELECT DISTINCT doc_id,
+                CASE WHEN len(w) < {width} THEN array_to_string(w, ' ') ELSE {run} END AS s
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {width - 2}, 2))) AS p
+                  FROM words WHERE len(w) > 0)
+        ), sizes AS (
+            SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+        ), pairs AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+            FROM shingles a JOIN shingles b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY ALL
+        ), near AS (
+            SELECT x, y, c = p.n AND c = q.n AS same
+            FROM pairs JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+            WHERE c / (p.n + q.n - c) >= {settings.threshold}
+        ), reach AS (
+            SELECT doc_id, doc_id AS r FROM documents
+            UNION SELECT reach.doc_id, near.y FROM reach JOIN near ON near.x = reach.r
+        )
+        SELECT doc_id, min(r) AS group_id,
+            least(doc_id, (SELECT min(y) FROM near WHERE x = doc_id AND same)) AS copy_id,
+            (SELECT count(*) FROM near WHERE x = doc_id) AS n_links
+        FROM reach GROUP BY doc_id"""
+
+
+SQL = {"op7_ngram_join": _ngram_sql()}
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = toxicity.judged(
         _documents(spark, sf_dir), labels(spark, sf_dir), CATEGORIES, "toxic", keep=["doc_id"]

@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from cartorio.llm.sampling import hash_sample
 
-#: Keys in the sample for the limits, bytes of text aimed at for a run, and runs at most.
-SAMPLE, RUN_BYTES, RUNS = 20_000, 4 << 20, 4_000
+#: Bytes of text aimed at for a run, runs at most, and keys in the sample for each limit.
+RUN_BYTES, RUNS, SAMPLED = 4 << 20, 20_000, 10
 
 ORDER = ("none", "down", "mark")
 DEALT = "run int, none boolean, down bigint, mark bigint, extra boolean, key bigint, packed binary"
@@ -37,7 +37,7 @@ def descending_runs(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     )
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     runs = int(min(max(total // RUN_BYTES, 1), RUNS))
-    sample = hash_sample(rows.select(*ORDER), SAMPLE, *ORDER).collect() if runs > 1 else []
+    sample = hash_sample(rows.select(*ORDER), SAMPLED * runs, *ORDER).collect() if runs > 1 else []
     keys = sorted(tuple(row) for row in sample)
     limits = sorted({keys[len(keys) * at // runs] for at in range(1, runs)}) if keys else []
 

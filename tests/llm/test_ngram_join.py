@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import duckdb
 import numpy as np
 import pytest
 
@@ -105,6 +106,16 @@ def test_query_against_all_pairs(spark):
     assert got == _brute([d.doc_id for d in docs], [d.text for d in docs])
 
 
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
+def test_same_as_sql(spark, folder):
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
+    query = duck.sql(corpus_queries.SQL["op7_ngram_join"])
+    ours = corpus_queries.op7_ngram_join(spark, folder)
+    assert ours.columns == query.columns
+    assert sorted(map(tuple, ours.collect())) == sorted(query.fetchall())
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert similar(docs).collect() == [] and deduplicated(docs).collect() == []

@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import random
 import re
 from datetime import date
 
