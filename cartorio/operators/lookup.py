@@ -33,8 +33,11 @@ def codes_listed_twice(lookup: DataFrame) -> DataFrame:
 
 
 def cities_named(lookup: DataFrame, name: str) -> DataFrame:
-    """The codes behind a city name, as a table to join with."""
-    return lookup.filter(F.col("name") == name).select(F.col("code").alias("municipio")).distinct()
+    """The codes behind a city name, as a table to semi-join with; a code may be there twice.
+
+    Not made distinct: an aggregate before the join would keep crowded cities from being split.
+    """
+    return lookup.filter(F.col("name") == name).select(F.col("code").alias("municipio"))
 
 
 def unlisted_cities(rows: DataFrame, lookup: DataFrame) -> DataFrame:

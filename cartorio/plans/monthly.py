@@ -309,7 +309,7 @@ def build_silver(
     if cities is None:
         rows = curated(bronze, rules.cities)
     else:
-        rows = curated(bronze.join(cities.select("municipio").distinct(), "municipio", "left_semi"), None)
+        rows = curated(bronze.join(cities.select("municipio"), "municipio", "left_semi"), None)
     rows = stamped(rows, month, "ts_transform")
     if show_plan:
         rows.explain("formatted")

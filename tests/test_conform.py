@@ -120,6 +120,7 @@ def test_unlisted(towns, lookup):
 
 def test_any_number_of_codes_of_a_name(spark, towns, lookup):
     assert sorted(r.municipio for r in cities_named(lookup, "SANTA LUZIA").collect()) == ["1", "2"]
+    assert [r.municipio for r in cities_named(lookup, "SAO PAULO").collect()] == ["7107", "7107"]
     many = spark.range(3000).selectExpr("CAST(id AS STRING) code", "'A' name")
     assert in_named_city(towns, many, "A").count() == 2
 
