@@ -4,8 +4,8 @@ A text is read by a walk: step ``j`` puts out the character under the pointer an
 or leaves it, as a coin of ``j`` and the character says. All texts share the coins, so after an
 insertion or deletion two walks soon run in step again, and edit distance becomes Hamming distance
 between the outputs. Of the steps a shared sample is kept, the thinner the longer the text; thinner
-samples are part of denser ones, so any two fingerprints compare. Bands of sampled steps find candidates,
-the likeness of whole fingerprints verifies them.
+samples are part of denser ones, so any two fingerprints compare. Bands of steps drawn from the whole
+sample find candidates, the likeness of whole fingerprints verifies them.
 
 Defined results: a null or empty text has the fingerprint of the empty text, which is fully like itself
 and not at all like others; equal texts have equal fingerprints, whatever batch or task they are in;
@@ -31,10 +31,9 @@ from cartorio.sources.scratch import fresh_folder
 SAMPLE = 128
 #: The walk looks up every so many steps whether a text has ended; its length counts in these.
 STRIDE = 64
-BANDS, BAND_STEPS = 10, 6
+BANDS, BAND_STEPS = 20, 6
 END = 64  # the code after the last character; its pointer stays
 _PLACES = np.arange(BAND_STEPS, dtype=np.uint64) * np.uint64(8)
-_NUMBERS = np.arange(BANDS, dtype=np.uint64) << np.uint64(52)
 _HEX = np.frombuffer(b"0123456789abcdef", np.uint8)
 
 
@@ -147,22 +146,45 @@ def likeness(one: str, other: str) -> float:
     return float((first == second)[counted].mean()) if counted.any() else 0.0
 
 
+@cache
+def _drawn(level: int, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the first ``count`` sampled steps of a level those of each band, by place, and a number of each band.
+
+    Every place of a band draws the step of smallest hash, so texts of other lengths draw the same
+    step as often as it lies within both.
+    """
+    blocks = 1
+    while len(sampled_steps(level, blocks)) < count:
+        blocks *= 2
+    steps = sampled_steps(level, blocks)[:count].astype(np.uint64)
+    salts = _random(0, BANDS * BAND_STEPS, 3 + level)
+    drawn = mixed(mixed(steps)[None, :] + salts[:, None]).argmin(1).reshape(BANDS, BAND_STEPS)
+    numbers = mixed(np.arange(BANDS, dtype=np.uint64) + np.uint64(BANDS * level))
+    for place in range(BAND_STEPS):
+        numbers = mixed(numbers + steps[drawn[:, place]])
+    return drawn, numbers
+
+
 def bands(fingerprint: str) -> list[int]:
     """Keys of the bands of a text: hashes of the symbols at shared steps, of its level and the next.
 
-    Texts nearly alike have levels that differ by one at most, so they share a level.
+    Texts nearly alike have levels that differ by one at most, so they share a level. The steps of a
+    band are drawn independently from the whole walk: texts of likeness s share a band with probability
+    s**BAND_STEPS, and some band of a level (s = 0.8) with probability 0.997. Bands of even levels come
+    first, so a band that two texts share has the same place in both.
     """
     blocks, level, symbols = _parts(fingerprint)
-    out = []
+    out: list[list[int]] = [[], []]
     for at in (level, level + 1):
-        there = _at_level(blocks, level, symbols, at, blocks)[: BANDS * BAND_STEPS]
-        padded = np.full(BANDS * BAND_STEPS, _HEX[0], np.uint8)
-        padded[: len(there)] = there
-        # Every tenth of them in a band: a change of one place spoils neighbouring steps.
-        spread = padded.reshape(BAND_STEPS, BANDS).T.astype(np.uint64)
-        keys = (spread << _PLACES).sum(1, dtype=np.uint64) + _NUMBERS + np.uint64(BANDS * at << 52)
-        out += mixed(keys).view(np.int64).tolist()
-    return out
+        there = _at_level(blocks, level, symbols, at, blocks)
+        count = int((there != _HEX[0]).sum())  # ends come last
+        if count:
+            drawn, numbers = _drawn(at, count)
+            keys = (there[drawn].astype(np.uint64) << _PLACES).sum(1, dtype=np.uint64) + numbers
+        else:
+            keys = np.arange(BANDS, dtype=np.uint64) + np.uint64(BANDS * at)
+        out[at % 2] = mixed(keys).view(np.int64).tolist()
+    return out[0] + out[1]
 
 
 def flat_codes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -83,6 +83,23 @@ def test_bands_find_near_texts():
     assert found >= 58
 
 
+@pytest.mark.parametrize("place", [0.0, 0.45, 0.9])
+def test_bands_find_edits_anywhere(place):
+    """A twelfth of the text is replaced; pairs of likeness 0.8 or more share a band."""
+    rng = random.Random(11)
+    alike = found = chance = 0
+    for _ in range(220):
+        letters = [rng.choice("abcdefghijklmnop ") for _ in range(rng.randrange(150, 6000))]
+        at, n = int(place * len(letters)), len(letters) // 12
+        other = letters[:at] + [rng.choice("qrstuvwxyz") for _ in range(n)] + letters[at + n :]
+        a, b, c = _fingerprints(["".join(x) for x in (letters, other, rng.sample(letters, len(letters)))])
+        chance += not set(bands(a)).isdisjoint(bands(c))
+        if likeness(a, b) >= 0.8:
+            alike += 1
+            found += not set(bands(a)).isdisjoint(bands(b))
+    assert alike >= 100 and found >= 0.99 * alike and chance <= 2
+
+
 def _edited(rows):
     """Plain pairing of (key, text): descending keys, null last."""
     order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0)))
