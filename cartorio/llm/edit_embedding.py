@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartorio.llm.components import components
+from cartorio.llm.ngram_join import _forest, _judged_here, _pieces
 from cartorio.llm.ragged import bytes_of, groups, mixed
 from cartorio.sources.scratch import fresh_folder
 
@@ -32,6 +33,8 @@ SAMPLE = 128
 #: The walk looks up every so many steps whether a text has ended; its length counts in these.
 STRIDE = 64
 BANDS, BAND_STEPS = 20, 6
+#: Fingerprints of a bucket that are compared in one piece.
+BLOCK = 400
 END = 64  # the code after the last character; its pointer stays
 _PLACES = np.arange(BAND_STEPS, dtype=np.uint64) * np.uint64(8)
 _HEX = np.frombuffer(b"0123456789abcdef", np.uint8)
@@ -240,43 +243,129 @@ def likeness_of(one: str | Column, other: str | Column) -> Column:
 def near_documents(
     docs: DataFrame, least: float = 0.8, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """``key``, ``fingerprint`` and ``group_key``: the smallest key of the texts that are linked.
+    """``key``, ``fingerprint``, ``group_key``: the smallest key of the texts that are linked, and ``n_links``."""
+    folder = fresh_folder(docs.sparkSession, "fingerprints")
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    marked = written(fingerprinted(rows, ["key"], "text").drop("bands"), folder, "marked")
+    found = linked(marked, least, folder)
+    return marked.withColumn("class", class_of("fingerprint")).join(found, "class").select(
+        "key", "fingerprint", "group_key", "n_links"
+    )
+
+
+def class_of(fingerprint: str) -> Column:
+    return F.unhex(F.md5(fingerprint))
 
-    Within a band's bucket a fingerprint is compared with the bucket's leaders, in order, and joins
-    those it is like; one that is like none becomes a leader. Equal fingerprints are compared once.
+
+def linked(marked: DataFrame, least: float, folder: str, key: str = "key") -> DataFrame:
+    """Of every ``class_of`` a fingerprint: ``group_key``, the smallest key of the texts linked to it, directly or by
+    others, and ``n_links``, the number of other rows like it. ``marked`` is a written table.
+
+    Equal fingerprints are compared once. All pairs of fingerprints that share a band are judged, in the
+    first band they share and nowhere else; crowded buckets are cut into blocks, and every pair of
+    blocks is a piece of work of its own. Tasks return counts and spanning forests, never pairs.
     """
-    spark = docs.sparkSession
-    folder = fresh_folder(spark, "fingerprints")
-    marked = fingerprinted(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), ["key"], "text")
-    marked.write.parquet(f"{folder}/marked")
-    marked = spark.read.schema(marked.schema).parquet(f"{folder}/marked")
-    distinct = marked.groupBy("fingerprint").agg(F.min("key").alias("least"), F.first("bands").alias("bands"))
-    entries = distinct.select("fingerprint", F.explode(F.array_distinct("bands")).alias("band"))
-    crowded = entries.groupBy("band").agg(F.count("*").alias("held")).filter("held > 1")
-
-    def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        band, leaders = None, []
+    marks = written(
+        _banded(marked.groupBy("fingerprint").agg(F.min(key).alias("key"), F.count("*").alias("copies")))
+        .withColumn("class", class_of("fingerprint")), folder, "marks",
+    )
+    # Two numbers an entry are shuffled; the rest is joined to what shares a bucket.
+    entries = marks.select(F.xxhash64("class").alias("id"), F.explode("trees").alias("bucket"))
+    crowded = entries.groupBy("bucket").agg(F.count("*").alias("held")).filter("held > 1")
+    blocks = F.ceil(F.col("held") / BLOCK)
+    block = F.pmod("id", blocks).cast("int")
+    members = entries.join(crowded, "bucket").select(
+        "id", "bucket", block.alias("block"),
+        F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))).alias("other"),
+    ).withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("other")
+    whole = marks.select(F.xxhash64("class").alias("id"), "class", "fingerprint", "copies", "trees")
+    tree = (F.array_position("trees", F.col("bucket")) - 1).cast("int")
+    members = members.join(whole, "id").drop("id").withColumn("tree", tree).filter("tree >= 0")
+    work = ("bucket", "low", "high")
+    links = written(
+        members.repartition(*work).sortWithinPartitions(*work).mapInArrow(
+            lambda batches: _links(batches, least), "class binary, links bigint, other binary"
+        ), folder, "links",
+    )
+    counted = links.filter("other is null").groupBy("class").agg(F.sum("links").alias("links"))
+    roots = components(links.filter("other is not null").select("class", "other"), "class", "other", folder)
+    known = (
+        marks.select("class", "key", "copies").join(counted, "class", "left")
+        .join(roots.select(F.col("node").alias("class"), "root"), "class", "left")
+        .withColumn("root", F.coalesce("root", "class"))
+    )
+    known = written(known, folder, "known")
+    heads = known.groupBy("root").agg(F.min("key").alias("group_key"))
+    return known.join(heads, "root").select(
+        "class", "group_key", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
+    )
+
+
+def written(df: DataFrame, folder: str, name: str) -> DataFrame:
+    """The shuffles behind the table are let go with it: Spark's cleaner follows the driver's collector."""
+    df.write.parquet(f"{folder}/{name}")
+    df.sparkSession._jvm.System.gc()
+    return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+
+def _banded(rows: DataFrame) -> DataFrame:
+    """``rows`` with the bands of their fingerprint as ``trees``."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pairs = []
-            for now, mark in zip(batch.column("band").to_pylist(), batch.column("fingerprint").to_pylist()):
-                if now != band:
-                    band, leaders = now, []
-                like = [leader for leader in leaders if likeness(leader, mark) >= least]
-                pairs += [(mark, leader) for leader in like]
-                if not like:
-                    leaders.append(mark)
+            found = [bands(fingerprint) for fingerprint in batch.column("fingerprint").to_pylist()]
+            yield batch.append_column("trees", pa.array(found, pa.list_(pa.int64())))
+
+    out = T.StructType([*rows.schema, T.StructField("trees", T.ArrayType(T.LongType()))])
+    return rows.mapInArrow(task, out)
+
+
+def _links(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+    """Of each piece how many rows each fingerprint is like (no other), and its forest (no links)."""
+    for table in _pieces(batches, 4_000):
+        marks, names = table["fingerprint"].to_pylist(), table["class"].to_pylist()
+        copies = table["copies"].to_numpy()
+        out: tuple[list[bytes], list[int], list[bytes | None]] = ([], [], [])
+        for piece in _judged_here(table):
+            rows = piece.rows.tolist()
+            pairs = _alike([marks[row] for row in rows], piece.asked, least)
+            if not len(pairs):
+                continue
+            links = np.zeros(len(rows), np.int64)
+            np.add.at(links, pairs[:, 0], copies[piece.rows][pairs[:, 1]])
+            np.add.at(links, pairs[:, 1], copies[piece.rows][pairs[:, 0]])
+            for place in np.flatnonzero(links).tolist():
+                out[0].append(names[rows[place]])
+                out[1].append(int(links[place]))
+                out[2].append(None)
+            for place, root in _forest(pairs, len(rows)):
+                out[0].append(names[rows[place]])
+                out[1].append(0)
+                out[2].append(names[rows[root]])
+        if out[0]:
             yield pa.RecordBatch.from_arrays(
-                [pa.array([p[i] for p in pairs], pa.string()) for i in (0, 1)], names=["one", "other"]
+                [pa.array(out[0], pa.binary()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary())],
+                names=["class", "links", "other"],
             )
 
-    linked = (
-        entries.join(crowded, "band", "left_semi").repartition("band")
-        .sortWithinPartitions("band", "fingerprint").mapInArrow(edges, "one string, other string")
-    )
-    roots = components(linked, "one", "other", folder)
-    known = distinct.drop("bands").join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
-    known = known.withColumn("root", F.coalesce("root", "fingerprint"))
-    heads = known.groupBy("root").agg(F.min("least").alias("group_key"))
-    return marked.drop("bands").join(known.join(heads, "root"), "fingerprint").select(
-        "key", "fingerprint", "group_key"
-    )
+
+def _alike(marks: list[str], asked: np.ndarray, least: float) -> np.ndarray:
+    """The asked pairs whose likeness is enough, at the thinner level of the two as in ``likeness``."""
+    if len(marks) == 2:
+        return np.array([[0, 1]] if likeness(*marks) >= least else [], int).reshape(-1, 2)
+    parts = [_parts(mark) for mark in marks]
+    levels = np.array([level for _, level, _ in parts])
+    upto = max(blocks for blocks, _, _ in parts)
+    found = []
+    for at in np.unique(levels).tolist():
+        rows = np.flatnonzero(levels <= at)
+        symbols = np.stack([_at_level(*parts[row], at, upto) for row in rows.tolist()])
+        inked = symbols != _HEX[0]
+        counts = inked.sum(1)  # ends come last
+        for place, row in enumerate(rows.tolist()):
+            others = np.flatnonzero(asked[row, rows] & (np.maximum(levels[row], levels[rows]) == at))
+            if len(others):
+                same = ((symbols[others] == symbols[place]) & inked[place]).sum(1)
+                good = others[same / np.maximum(np.maximum(counts[others], counts[place]), 1) >= least]
+                found.append(np.column_stack([np.full(len(good), row), rows[good]]))
+    return np.concatenate([*found, np.zeros((0, 2), int)]).astype(int)

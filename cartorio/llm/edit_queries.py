@@ -9,10 +9,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from cartorio.llm.edit_embedding import bands, ended, flat_codes, likeness, walk
+from cartorio.llm.edit_embedding import bands, class_of, ended, flat_codes, likeness, linked, walk, written
 from cartorio.llm.in_order import descending_runs, successors
+from cartorio.sources.scratch import fresh_folder
 
 GROUP_BYTES = 4 << 20
+#: From this likeness on documents are linked.
+LEAST = 0.8
 
 FIELDS = (
     "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
@@ -22,9 +25,16 @@ FIELDS = (
 
 def op4_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document beside its edited text (the last third gives way to the beginning of the next
-    document) and the next document; ``edited_found``: a band leads from one to the other."""
+    document) and the next document; ``edited_found``: a band leads from one to the other.
+    ``group_key`` and ``n_links``: the group of documents linked by their fingerprints, and the number of
+    other documents like this one."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return with_edits(docs)
+    folder = fresh_folder(spark, "edits")
+    made = written(with_edits(docs), folder, "made")
+    found = linked(made, LEAST, folder, "doc_id")
+    return made.withColumn("class", class_of("fingerprint")).join(found, "class").select(
+        *made.columns, "group_key", "n_links"
+    )
 
 
 def with_edits(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cartorio.llm import edit_queries, in_order
+from cartorio.llm import edit_embedding, edit_queries, in_order
 from cartorio.llm.edit_embedding import (
     STRIDE, bands, ended, fingerprinted, flat_codes, likeness, likeness_of, near_documents,
     sampled_steps, walk, _coins, _levels,
@@ -153,6 +153,43 @@ def test_groups_of_near_documents(spark):
     assert [r.x for r in pairs.collect()] == [1.0, 1.0]
 
 
+@pytest.mark.parametrize("block", [400, 7])
+def test_links_against_all_pairs(spark, monkeypatch, block):
+    """Chains of copies, each a little further from the first: no link of a shared band is lost."""
+    monkeypatch.setattr(edit_embedding, "BLOCK", block)
+    rng = random.Random(12)
+    rows = [(900, None), (901, ""), (902, ""), (None, "a text without a key")]
+    for chain in range(4):
+        letters = [rng.choice("abcdefghijklmnop ") for _ in range(900 + 60 * chain)]
+        for k in range(25):
+            at = rng.randrange(len(letters) - 45)
+            letters[at : at + 45] = [rng.choice("qrstuvwxyz") for _ in range(45)]
+            rows += [(100 * chain + k, "".join(letters))] * (1 + k % 2)
+    marks = _fingerprints([text or "" for _, text in rows])
+    root, links = list(range(len(rows))), [0] * len(rows)
+    for i, one in enumerate(marks):
+        for j, other in enumerate(marks[:i]):
+            if not set(bands(one)).isdisjoint(bands(other)) and likeness(one, other) >= 0.8:
+                links[i] += 1
+                links[j] += 1
+                a, b = root[i], root[j]
+                root = [b if r == a else r for r in root]
+    least = {}
+    for (key, _), r in zip(rows, root):
+        least[r] = min(x for x in (key, least.get(r)) if x is not None) if key is not None else least.get(r)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted(((r.key, r.group_key, r.n_links) for r in near_documents(docs).collect()), key=str)
+    assert got == sorted(((key, least[r], n) for (key, _), r, n in zip(rows, root, links)), key=str)
+
+
+def test_query_groups(spark):
+    folder = "/root/testdata/sf0.001"
+    rows = edit_queries.op4_edit_fingerprints(spark, folder).collect()
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    want = {(r.key, r.group_key, r.n_links) for r in near_documents(docs).collect()}
+    assert {(r.doc_id, r.group_key, r.n_links) for r in rows} == want and len(rows) == docs.count()
+
+
 def test_query(spark):
     folder = "/root/testdata/sf0.01"
     docs = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
