@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 from cartorio.llm.ragged import bytes_of, groups
 
 ROUNDS = 10
+SECRET_PART = 256
 DIGITS = "0123456789"
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 HEX = DIGITS + "abcdef"
@@ -191,9 +192,18 @@ def _email(text: str, key: bytes) -> str | None:
 
 
 def _secret(text: str, key: bytes) -> str | None:
-    if all(c in HEX for c in text):
-        return permuted_text(text, [HEX] * len(text), "hex", key)
-    return by_class(text, "secret", key)
+    """Long values are permuted in parts, each under what stands before it, so the time is linear."""
+    hexed = all(c in HEX for c in text)
+    parts, before, tweak = [], hashlib.sha256(), ""
+    for at in range(0, len(text), SECRET_PART):
+        part = text[at : at + SECRET_PART]
+        if hexed:
+            parts.append(permuted_text(part, [HEX] * len(part), f"hex{tweak}", key))
+        else:
+            parts.append(by_class(part, f"secret{tweak}", key))
+        before.update(part.encode())
+        tweak = f" after {before.hexdigest()} "
+    return "".join(parts)
 
 
 def _key_id(text: str, key: bytes) -> str | None:
@@ -218,7 +228,7 @@ def _kind(name: str, pattern: str, renew: Callable[[str, bytes], str | None]) ->
 KINDS = (
     _kind("email", r"(?<![\w.+%-])[A-Za-z0-9](?:[\w.+%-]{0,63})@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}\b", _email),
     _kind("key id", r"\b(?:AKIA|ASIA)(?=[A-Z]*\d)[A-Z0-9]{16}\b", _key_id),
-    _kind("secret", r"(?i:\b(?:password|passwd|pwd|secret|token|api_?key)\b)[\"']?\s{0,3}[=:]\s{0,3}[\"']?(?P<value>[A-Za-z0-9+/_-]{6,256})", _secret),
+    _kind("secret", r"(?i:\b(?:password|passwd|pwd|secret|token|api_?key)\b)[\"']?\s{0,3}[=:]\s{0,3}[\"']?(?P<value>(?=(?:[\w+/~-]|\.(?=\.*[\w+/~-])){6})(?:[\w+/~-]++|\.++(?=[\w+/~-]))++)", _secret),
     _kind("iban", r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b", _iban),
     _kind("date", r"(?<![\w./-])(?:\d{4}-\d\d-\d\d|\d{4}/\d\d/\d\d|\d\d?/\d\d?/\d{4}|\d\d?\.\d\d?\.\d{4})(?![\w/-]|\.\d)", _date),
     _kind("ipv4", r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)", _ipv4),

@@ -102,6 +102,24 @@ def test_cards_stay_cards(body):
     assert kind == "card" and luhn_digit(new[:-1]) == new[-1] and new[0] == body[0]
 
 
+@pytest.mark.parametrize("value", [
+    "aB3" * 100, "0a9f" * 250, "xY7-" * 250, "eyJhbGci.eyJzdWIi0.s1g_N-x", "ab.cd.ef", "q" * 50_000 + "7",
+])
+def test_secrets_are_changed_to_their_end(value):
+    """The pseudonym has the value's length and form; nothing of its end stays."""
+    new, spans = pseudonymised(f"token={value}. End", KEY)
+    assert spans == [("secret", 6, 6 + len(value))] and new.endswith(". End") and len(new) == len(value) + 11
+    for at in range(0, len(value), 20):
+        part = value[at : at + 20]
+        assert len(part) < 5 or new[6 + at : 6 + at + len(part)] != part
+    assert pseudonymised(f'"token": "{value}"', KEY)[0] == f'"token": "{new[6:-5]}"'
+
+
+def test_secrets_that_differ_late_stay_different():
+    found = {pseudonymised(f"token={'a1' * 200}{end}", KEY)[0] for end in ("x1", "y1", "z1", "x2")}
+    assert len(found) == 4
+
+
 def test_table(spark):
     card = "4111111111111111"
     docs = spark.createDataFrame(
