@@ -136,6 +136,30 @@ def _iban(text: str, key: bytes) -> str | None:
     return "".join(c if c == " " else next(rest) for c in text)
 
 
+#: How long an IBAN of a country is.
+IBAN_LENGTHS = dict(
+    item.split(":") for item in (
+        "AD:24 AE:23 AL:28 AT:20 AZ:28 BA:20 BE:16 BG:22 BH:22 BI:27 BR:29 BY:28 CH:21 CR:22 CY:28 CZ:24 DE:22 "
+        "DJ:27 DK:18 DO:28 EE:20 EG:29 ES:24 FI:18 FK:18 FO:18 FR:27 GB:22 GE:22 GI:23 GL:18 GR:27 GT:28 HN:28 "
+        "HR:21 HU:28 IE:22 IL:23 IQ:23 IS:26 IT:27 JO:30 KW:30 KZ:20 LB:28 LC:32 LI:21 LT:20 LU:20 LV:21 LY:25 "
+        "MC:27 MD:24 ME:22 MK:19 MN:20 MR:27 MT:31 MU:30 NI:28 NL:18 NO:15 OM:23 PK:24 PL:28 PS:29 PT:25 QA:29 "
+        "RO:24 RS:22 RU:33 SA:24 SC:31 SD:18 SE:24 SI:19 SK:24 SM:27 SO:23 ST:25 SV:28 TL:23 TN:24 TR:26 UA:29 "
+        "VA:22 VG:24 XK:20 YE:30"
+    ).split()
+)
+
+
+def _iban_ends(text: str) -> Iterator[int]:
+    """Words after an IBAN look like groups of it: the whole, then what ends at a space, the longest first.
+
+    A shorter part of a known country has that country's length.
+    """
+    yield len(text)
+    for end in range(len(text) - 1, 0, -1):
+        if text[end] == " " and IBAN_LENGTHS.get(text[:2], n := str(end - text.count(" ", 0, end))) == n:
+            yield end
+
+
 def _ipv4(text: str, key: bytes) -> str | None:
     parts = text.split(".")
     if any(int(part) > 255 or (len(part) > 1 and part[0] == "0") for part in parts):
@@ -212,15 +236,42 @@ def _key_id(text: str, key: bytes) -> str | None:
 
 @dataclass(frozen=True)
 class Kind:
-    """``pattern``: its group named value, or else the whole match, is the value."""
+    """``pattern``: its group named value, or else the whole match, is the value.
+
+    ``ends``: where the value may end in that, if it isn't at the end only; the search then goes on after
+    the value, or after the first character of what holds none.
+    """
 
     name: str
     pattern: re.Pattern[str]
     renew: Callable[[str, bytes], str | None]
-
-
-def _kind(name: str, pattern: str, renew: Callable[[str, bytes], str | None]) -> Kind:
-    return Kind(name, re.compile(pattern, re.ASCII), renew)
+    ends: Callable[[str], Iterator[int]] | None = None
+
+    def values(self, text: str, key: bytes) -> Iterator[tuple[int, int, str]]:
+        """Begin, end and pseudonym of every valid value."""
+        if self.ends is None:
+            group = "value" if "value" in self.pattern.groupindex else 0
+            for match in self.pattern.finditer(text):
+                begin, end = match.span(group)
+                if (new := self.renew(text[begin:end], key)) is not None:
+                    yield begin, end, new
+            return
+        at = 0
+        while match := self.pattern.search(text, at):
+            begin, whole = match.start(), match[0]
+            at = begin + 1
+            for end in self.ends(whole):
+                if (new := self.renew(whole[:end], key)) is not None:
+                    yield begin, begin + end, new
+                    at = begin + end
+                    break
+
+
+def _kind(
+    name: str, pattern: str, renew: Callable[[str, bytes], str | None],
+    ends: Callable[[str], Iterator[int]] | None = None,
+) -> Kind:
+    return Kind(name, re.compile(pattern, re.ASCII), renew, ends)
 
 
 #: In order: a place that one kind has taken is not looked at by those after it. Up to six characters of
@@ -229,8 +280,8 @@ KINDS = (
     _kind("email", r"(?<![\w.+%-])[A-Za-z0-9](?:[\w.+%-]{0,63})@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}\b", _email),
     _kind("key id", r"\b(?:AKIA|ASIA)(?=[A-Z]*\d)[A-Z0-9]{16}\b", _key_id),
     _kind("secret", r"(?i:\b(?:password|passwd|pwd|secret|token|api_?key)\b)[\"']?\s{0,3}[=:]\s{0,3}[\"']?(?P<value>(?=(?:[\w+/~-]|\.(?=\.*[\w+/~-])){6})(?:[\w+/~-]++|\.++(?=[\w+/~-]))++)", _secret),
-    _kind("iban", r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b", _iban),
-    _kind("date", r"(?<![\w./-])(?:\d{4}-\d\d-\d\d|\d{4}/\d\d/\d\d|\d\d?/\d\d?/\d{4}|\d\d?\.\d\d?\.\d{4})(?![\w/-]|\.\d)", _date),
+    _kind("iban", r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b", _iban, _iban_ends),
+    _kind("date", r"(?<![\w./-])(?:\d{4}-\d\d-\d\d|\d{4}/\d\d/\d\d|\d\d?/\d\d?/\d{4}|\d\d?\.\d\d?\.\d{4})(?!(?![Tt]\d)[\w/-]|\.\d)", _date),
     _kind("ipv4", r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)", _ipv4),
     _kind("ssn", r"(?<![\w-])\d{3}[- ]\d{2}[- ]\d{4}(?![\w-])", _ssn),
     _kind("card", r"(?<!\w)(?<!\d\.)\d{13,19}(?!\w)", _card),
@@ -250,12 +301,8 @@ def pseudonymised(text: str, key: bytes, kinds: Sequence[Kind] = KINDS) -> tuple
     found: list[tuple[int, int, str, str]] = []
     taken = bytearray(len(text))
     for kind in kinds:
-        for match in kind.pattern.finditer(text):
-            begin, end = match.span("value" if "value" in kind.pattern.groupindex else 0)
-            if any(taken[begin:end]):
-                continue
-            new = kind.renew(text[begin:end], key)
-            if new is not None:
+        for begin, end, new in kind.values(text, key):
+            if not any(taken[begin:end]):
                 taken[begin:end] = b"\1" * (end - begin)
                 found.append((begin, end, kind.name, new))
     if not found:

@@ -102,6 +102,33 @@ def test_cards_stay_cards(body):
     assert kind == "card" and luhn_digit(new[:-1]) == new[-1] and new[0] == body[0]
 
 
+@pytest.mark.parametrize("iban", [
+    "AT611904300234573201", "AT61 1904 3002 3457 3201", "BE68539007547034", "ES91 2100 0418 4502 0005 1332",
+    "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432",
+])
+@pytest.mark.parametrize("after", ["", " UND", " EN", " A B", " PAID", " PAID TODAY", " PAID MORE THAN"])
+def test_words_after_an_iban(iban, after):
+    new, spans = pseudonymised(f"IBAN {iban}{after} x", KEY)
+    assert spans == [("iban", 5, 5 + len(iban))]
+    assert iban not in new and new.endswith(f"{after} x") and _one(new) == _one(new)
+    assert new[5 : 5 + len(iban)] == pseudonymised(iban, KEY)[0]
+
+
+def test_ibans_after_what_is_none():
+    iban = "ES91 2100 0418 4502 0005 1332"
+    new, spans = pseudonymised(f"GB83 WEST {iban} {iban}", KEY)
+    assert [(kind, end - begin) for kind, begin, end in spans] == [("iban", 29)] * 2 and iban not in new
+    assert new.startswith("GB83 WEST ES")
+
+
+@pytest.mark.parametrize("rest", ["T12:00:00Z", "t08:15:00+01:00", "T1200", "", " 12:00"])
+def test_dates_in_timestamps(rest):
+    new, spans = pseudonymised(f"at 2024-05-01{rest}", KEY)
+    assert spans == [("date", 3, 13)] and new.endswith(rest)
+    assert new[3:13] == _one("2024-05-01")[1] != "2024-05-01"
+    assert pseudonymised("2024-05-01Tea 2024-05-01x", KEY)[1] == []
+
+
 @pytest.mark.parametrize("value", [
     "aB3" * 100, "0a9f" * 250, "xY7-" * 250, "eyJhbGci.eyJzdWIi0.s1g_N-x", "ab.cd.ef", "q" * 50_000 + "7",
 ])
