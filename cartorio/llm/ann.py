@@ -11,7 +11,7 @@ The centroids, the number of lists to scan (so many that the sample's own neighb
 target recall) and each query's bound come from a sample of at most ``sample`` vectors (those of smallest
 hash of the id); every vector is indexed. The bound is the ``k``-th distance to those of the sample that
 lie in the scanned lists, so at least ``k`` are found. Of equal vectors only the ``k + 1`` smallest ids can
-be an answer, so only those are indexed. Lists of more than ``block`` vectors are cut into blocks.
+be an answer, each at most ``k`` times, so only those are indexed. Lists of more than ``block`` vectors are cut into blocks.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components, or whose length
 isn't the most common one, take no part, neither as query nor as candidate; a null id neither; of a
@@ -197,11 +197,11 @@ def nearest(
     rows = rows.filter(F.size("vector") == (common.n if common else 0))
     empty = f"query_id bigint, rank int, {key} bigint, score double"
     # Equal vectors answer alike, so the smallest ids among them are enough: one more than k, as a query
-    # may be one of them.
-    alike = W.partitionBy("vector").orderBy("id")
-    candidates = rows.select("id", "vector").withColumn("place", F.row_number().over(alike)).filter(
+    # may be one of them, and k rows of each.
+    alike, own = W.partitionBy("vector").orderBy("id"), W.partitionBy("vector", "id").orderBy("id")
+    candidates = rows.select("id", "vector").withColumn("place", F.dense_rank().over(alike)).filter(
         F.col("place") <= settings.k + 1
-    ).drop("place")
+    ).withColumn("copy", F.row_number().over(own)).filter(F.col("copy") <= settings.k).drop("place", "copy")
     index = fit(candidates, settings)
     if index is None:
         return spark.createDataFrame([], empty)
@@ -240,7 +240,7 @@ def nearest(
                 )
 
     queries = (
-        rows.filter("asks").select("id", "vector")
+        rows.filter("asks").select("id", "vector").distinct()  # a repeated row asks once
         .mapInArrow(probed, f"id bigint, vector {kind}, bound double, lists array<int>")
         .select("id", "vector", "bound", F.explode("lists").alias("list"))
         .join(blocks, "list")

@@ -81,6 +81,22 @@ def test_fewer_candidates_than_asked(spark):
     assert none.columns == ["query_id", "rank", "vec_id", "score"] and none.collect() == []
 
 
+@pytest.mark.parametrize("times", [1, 2, 25])
+def test_repeated_query_rows(spark, times):
+    """Every copy of a query row has all its neighbours, also that of the same vector and another id."""
+    vectors = np.random.default_rng(4).normal(size=(80, 8))
+    vectors[79] = vectors[5]
+    once = _table(spark, vectors)
+    table = once.unionAll(once.filter("vec_id = 5").crossJoin(spark.range(times - 1)).drop("id")) if times > 1 else once
+    rows = [(r.vec_id, r.embedding) for r in once.collect()]
+    want = _brute(rows, [rows[5]], 20)[5]
+    exact = SearchSettings(lists=1, slack=100.0)
+    got = nearest(table, exact, F.col("vec_id") == 5).collect()
+    assert len(got) == 20 * times
+    for rank, (found, score) in enumerate(want, 1):
+        assert [(r.vec_id, r.score) for r in got if r.rank == rank] == [(found, score)] * times
+
+
 def test_hot_vector(spark):
     """A third of all rows near one vector, lists cut into small blocks."""
     rng = np.random.default_rng(3)
