@@ -1,9 +1,9 @@
-"""Similarity join on word shingles with a MinHash LSH forest (operator 7).
+"""Similarity join on word shingles with MinHash bands in place of an LSH forest (operator 7).
 
-Every set of shingles has one signature, cut into trees. A tree is a sorted trie of its part of all
-signatures; texts are candidates where they share a prefix in some tree. The prefix is shortened, from
-its longest, until pairs at the threshold would be found with the target probability. Candidates are
-verified exactly, on their whole shingle sets.
+Every set of shingles has one signature, cut into parts, the trees. Texts are candidates where they
+share the prefix of some tree. Its length is fixed by the settings: the longest at which pairs at the
+threshold would be found with the target probability. There are no tries, and no prefix is shortened by
+what was matched. Candidates are verified exactly, on their whole shingle sets.
 
 Texts with the same set form a class, represented once. A pair of classes is judged in the first tree
 in which it meets and nowhere else, so links are counted without listing pairs: tasks return how many
@@ -93,7 +93,7 @@ def _text(column: str) -> Column:
 
 
 def _buckets(signature: Column, settings: JoinSettings) -> Column:
-    """The bucket of each tree: a hash of the tree's number and the prefix of its trie."""
+    """The bucket of each tree: a hash of the tree's number and its prefix."""
     width = 4 * settings.prefix
     return F.transform(
         F.sequence(F.lit(0), F.lit(settings.trees - 1)),
