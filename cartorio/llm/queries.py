@@ -11,7 +11,10 @@ import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cartorio.llm import ann_queries, corpus_queries, edit_queries, license_queries, url_queries
+from cartorio.llm import (
+    ann_queries, corpus_queries, edit_queries, license_queries, negative_queries, quality_queries,
+    spelling_queries, url_queries,
+)
 from cartorio.llm.byte_bpe import Vocabulary, decoded_texts, encode
 from cartorio.llm.ragged import taken
 from cartorio.llm.token_counts import token_counts
@@ -73,7 +76,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-for _module in (license_queries, ann_queries, edit_queries, url_queries, corpus_queries):
+for _module in (
+    license_queries, ann_queries, edit_queries, url_queries, corpus_queries, negative_queries, quality_queries,
+    spelling_queries,
+):
     _QUERIES.update({name: f for name, f in vars(_module).items() if name.startswith("op")})
     _SQL.update(getattr(_module, "SQL", {}))
 
