@@ -6,7 +6,7 @@ import logging
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -25,13 +25,13 @@ from cartorio.sources.delimited import misfit_files, read_lookup, stage_extract
 from cartorio.sources.layers import (
     EmptyMonth,
     month_path,
+    read_folders,
     read_month,
     require_rows,
     stage_rows,
     write_month,
 )
 from cartorio.sources.layouts import BRONZE, GOLD, QUARANTINE, SILVER
-from cartorio.sources.ledger import Record, enter, published, published_months
 from cartorio.sources.manifest import (
     classified,
     doubled_files,
@@ -40,6 +40,7 @@ from cartorio.sources.manifest import (
     missing_files,
 )
 from cartorio.sources.scratch import fresh_folder, remove_folder
+from cartorio.sources.versions import Record, current, expire, months, pending
 
 log = logging.getLogger(__name__)
 
@@ -113,18 +114,7 @@ def _staging(spark: SparkSession, layers: Layers) -> Iterator[str]:
 
 
 def _record(spark: SparkSession, layers: Layers, layer: str, month: str) -> Record | None:
-    return published(spark, layers.root, layer, check_snapshot(month))
-
-
-def _publish(
-    rows: DataFrame, layers: Layers, layer: str, month: str, record: Record, files: str, rules: Rules
-) -> DataFrame:
-    """Puts rows in the place of the month; until that is done no record vouches for the month."""
-    spark = rows.sparkSession
-    enter(spark, layers.root, layer, month, replace(record, done=False))
-    table = write_month(rows, layers.of(layer), month, SCHEMAS[layer], files, rules.file_bytes)
-    enter(spark, layers.root, layer, month, replace(record, done=True))
-    return table
+    return current(spark, layers.of(layer), check_snapshot(month))
 
 
 def scope_of(rules: Rules, cities: DataFrame | None = None) -> str:
@@ -165,7 +155,7 @@ def require_fresh(
 
 def latest_before(spark: SparkSession, layers: Layers, month: str) -> str | None:
     """The last month before this one with published counts."""
-    return max((m for m in published_months(spark, layers.root, "gold") if m < month), default=None)
+    return max((m for m in months(spark, layers.gold) if m < month), default=None)
 
 
 # --- stages ---------------------------------------------------------------------------------------
@@ -232,52 +222,59 @@ def load_bronze(
     rules: Rules = Rules(),
     check_input: bool = True,
 ) -> DataFrame:
-    """Raw files into one bronze month; damaged lines into quarantine; too much damage: nothing.
+    """Raw files into a new version of one bronze month; damaged lines into quarantine; too much damage:
+    nothing.
 
-    The verdicts are plain aggregates over the staged table, exact whatever tasks were rerun, and what
-    was judged is what is published. Publishing reads the staged files packed into scan partitions of
-    the usual size, which evens out file sizes without a shuffle. The damaged lines of a month that is
-    refused are kept too, under the run's own name.
+    The text is parsed and written once, to the folder that becomes the version. The verdicts are plain
+    aggregates over what lies there, exact whatever tasks were rerun; if they hold, one record makes it
+    current, and with it the quarantine of the same run. The damaged lines of a month that is refused are
+    kept too, under the run's own name.
     """
-    check_snapshot(month)
-    run = uuid.uuid4().hex
-    with _staging(spark, layers) as folder:
-        staged = stage_extract(spark, paths, f"{folder}/extract")
-        good = staged.filter("NOT damaged").drop(CORRUPT_FIELD, "source_file", "damaged")
+    with pending(spark, layers.bronze, month) as version:
+        staged = stage_extract(spark, paths, version.path, "ts_ingestion")
+        good = staged.filter("NOT damaged").drop(CORRUPT_FIELD, "source_file", "damaged", "ts_ingestion")
+        run = f"run={version.run}"
         try:
             _judge_extract(staged, good, month, rules, check_input)
         except (checks.CheckFailed, EmptyMonth):
-            _set_aside(staged, f"{month_path(layers.refused, month)}/run={run}")
+            _set_aside(staged, f"{month_path(layers.refused, month)}/{run}")
             raise
-        table = publish_bronze(good, layers, month, rules, run)
-        # After bronze, and even when empty: the quarantine of an earlier run must not stay.
-        _set_aside(staged, month_path(layers.quarantine, month))
-    return table
+        _set_aside(staged, f"{month_path(layers.quarantine, month)}/{run}")
+        _publish(version, Record(version.run), "/damaged=false")
+    return read_bronze(spark, layers, month)
+
+
+def _publish(version, record: Record, within: str = "") -> None:
+    log.info("published %s", version.commit(record, within))
 
 
 def publish_bronze(
     rows: DataFrame, layers: Layers, month: str, rules: Rules = Rules(), run: str | None = None
 ) -> DataFrame:
     """Raw rows, already judged, as one bronze month."""
-    record = Record(run or uuid.uuid4().hex, None, "")
-    return _publish(
-        stamped(rows, month, "ts_ingestion"), layers, "bronze", month, record, "as read", rules
-    )
+    record = Record(run or uuid.uuid4().hex)
+    rows = stamped(rows, month, "ts_ingestion")
+    return write_month(rows, layers.bronze, month, BRONZE, "as read", rules.file_bytes, record)
 
 
 def read_quarantine(spark: SparkSession, layers: Layers, month: str) -> DataFrame:
-    return read_month(spark, layers.quarantine, month, QUARANTINE)
+    """The damaged lines of the run that the month holds now."""
+    record = _record(spark, layers, "bronze", month)
+    path = f"{month_path(layers.quarantine, month)}/run={record.run if record else 'none'}"
+    return read_folders(spark, layers.quarantine, [path], QUARANTINE)
 
 
 def read_refused(spark: SparkSession, layers: Layers, month: str) -> DataFrame:
     """Damaged lines of refused runs of the month, with the run."""
-    return read_month(spark, layers.refused, month, T.StructType([*QUARANTINE, T.StructField("run", T.StringType())]))
+    schema = T.StructType([*QUARANTINE, T.StructField("run", T.StringType())])
+    return read_folders(spark, layers.refused, [month_path(layers.refused, month)], schema)
 
 
 def read_bronze(
-    spark: SparkSession, layers: Layers, month: str, columns: Sequence[str] | None = None
+    spark: SparkSession, layers: Layers, month: str, columns: Sequence[str] | None = None,
+    version: int | None = None,
 ) -> DataFrame:
-    return read_month(spark, layers.bronze, month, BRONZE, columns)
+    return read_month(spark, layers.bronze, month, BRONZE, columns, version)
 
 
 def read_silver(spark: SparkSession, layers: Layers, month: str) -> DataFrame:
@@ -298,14 +295,14 @@ def build_silver(
 ) -> DataFrame:
     """One curated month from the ten columns it needs; of ``cities`` or else of the rules' codes.
 
-    The city filter keeps a few rows of each file, so the result is rebalanced when it is staged: the
+    The city filter keeps a few rows of each file, so the result is rebalanced when it is written: the
     shuffle moves those rows only, and saves thousands of tiny files. Whether there are any is read off
-    the staged files, so bronze is scanned once.
+    the written files before they become the month, so bronze is scanned once.
     """
     source = _record(spark, layers, "bronze", month)
     if source is None:
         raise StaleMonth(f"bronze {month} is not published")
-    bronze = read_bronze(spark, layers, month, CURATED_INPUT)
+    bronze = read_bronze(spark, layers, month, CURATED_INPUT, source.version)
     if cities is None:
         rows = curated(bronze, rules.cities)
     else:
@@ -314,39 +311,47 @@ def build_silver(
     if show_plan:
         rows.explain("formatted")
     scope = scope_of(rules, cities)
-    with _staging(spark, layers) as folder:
-        stage_rows(rows, folder, SILVER, rules.file_bytes)
-        staged = spark.read.schema(SILVER).parquet(folder)
-        count = staged.count()
+    with pending(spark, layers.silver, month) as version:
+        stage_rows(rows, version.path, SILVER, rules.file_bytes)
+        count = spark.read.schema(SILVER).parquet(version.path).count()
         if not count:
             require_rows(bronze, f"bronze {month}")
             raise EmptyMonth(f"no rows of {month} for {scope}")
-        record = Record(uuid.uuid4().hex, source.run, scope, count)
-        return _publish(staged, layers, "silver", month, record, "as read", rules)
+        _publish(version, Record(version.run, source.run, scope, count))
+    return read_silver(spark, layers, month)
 
 
 def build_gold(spark: SparkSession, layers: Layers, month: str, rules: Rules = Rules()) -> DataFrame:
     """Counts of one month, published only if they add up to the curated rows.
 
-    The counts are staged, judged as they lie there against the rows of silver (counted from the file
-    footers), and those counts are published: silver is aggregated once.
+    The counts are written, judged as they lie there against the rows of silver (counted from the file
+    footers), and those counts become the month: silver is aggregated once.
     """
     reason = _stale(spark, layers, "silver", month)
     if reason:
         raise StaleMonth(reason)
     source = _record(spark, layers, "silver", month)
-    silver = read_silver(spark, layers, month)
-    with _staging(spark, layers) as folder:
-        stamped(type_status_counts(silver), month, "ts_aggregation").repartition(1).write.parquet(folder)
-        staged = spark.read.schema(GOLD).parquet(folder)
-        sums = checks.reconcile(silver, staged).first()
+    silver = read_month(spark, layers.silver, month, SILVER, version=source.version)
+    with pending(spark, layers.gold, month) as version:
+        stage_rows(stamped(type_status_counts(silver), month, "ts_aggregation"), version.path, GOLD, rules.file_bytes, "one")
+        sums = checks.reconcile(silver, spark.read.schema(GOLD).parquet(version.path)).first()
         if not sums.silver_rows:
             raise EmptyMonth(f"no rows: silver {month}")
         if not sums.matches:
             raise checks.CheckFailed(f"gold {month} does not add up: {sums.asDict()}")
         log.info("gold %s: %s", month, sums.asDict())
-        record = Record(uuid.uuid4().hex, source.run, source.rules, sums.gold_sum)
-        return _publish(staged, layers, "gold", month, record, "one", rules)
+        _publish(version, Record(version.run, source.run, source.rules, sums.gold_sum))
+    return read_gold(spark, layers, month)
+
+
+def expire_versions(spark: SparkSession, layers: Layers, month: str, keep: int = 2) -> list[str]:
+    """Removes all but the last ``keep`` versions of a month from every layer; returns the folders."""
+    gone = []
+    for layer in SCHEMAS:
+        gone += expire(spark, layers.of(layer), month, keep)
+    for folder in [folder for folder in gone if folder.startswith(f"{layers.bronze}/")]:
+        remove_folder(spark, f"{month_path(layers.quarantine, month)}/{folder.rsplit('/', 1)[1]}")
+    return gone
 
 
 def validate(

@@ -305,6 +305,14 @@ SELECT {WRITTEN} AS raw_line,
 FROM registry WHERE {DAMAGED}"""),
     "layer_roundtrip": _with(SNAPSHOTS, """
 SELECT * FROM gold_previous UNION ALL SELECT * FROM gold_current"""),
+    "month_versions": _with(SNAPSHOTS + """,
+gold_all AS (
+  SELECT establishment_type, registration_status, count(*) AS "count"
+  FROM silver GROUP BY establishment_type, registration_status
+)""", f"""
+SELECT '{CURRENT}' AS dt_ingestion, establishment_type, registration_status, "count", 3 AS version FROM gold_all
+UNION ALL
+SELECT '{CURRENT}', establishment_type, registration_status, "count", 2 FROM gold_current"""),
     "layer_comparison": COMPARISON,
     "monthly_run": _with(SOUND_ROWS, _business(rows="sound", least=0)),
     "monthly_full": _with(SOUND_GOLD, f"""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ from cartorio.plans.registry import (
 )
 from cartorio.sources.archives import check_archives, expand_archives, require_expanded
 from cartorio.sources.delimited import read_lookup, stage_extract
-from cartorio.sources.layers import write_month
+from cartorio.sources.layers import read_month, write_month
 from cartorio.sources.layouts import GOLD, RAW, RAW_NAMES, describe, pick
 from cartorio.sources.manifest import (
     doubled_files,
@@ -32,6 +33,7 @@ from cartorio.sources.manifest import (
     missing_files,
 )
 from cartorio.sources.scratch import fresh_folder, remove_folder
+from cartorio.sources.versions import current
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -323,6 +325,22 @@ def layer_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monthly.read_gold(spark, layers, [PREVIOUS, CURRENT]).drop("ts_aggregation")
 
 
+@_query
+def month_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A month written three times, its current and its previous version read back side by side."""
+    layers = _fresh_layers(spark)
+    rows = silver(spark, sf_dir)
+    for held in (opened_by(LAST_DAY[PREVIOUS]), opened_by(LAST_DAY[CURRENT]), F.lit(True)):
+        counts = stamped(measures.type_status_counts(rows.filter(held)), CURRENT, "ts_aggregation")
+        write_month(counts, layers.gold, CURRENT, GOLD, files="one")
+    newest = current(spark, layers.gold, CURRENT).version
+    return reduce(DataFrame.unionAll, [
+        read_month(spark, layers.gold, CURRENT, GOLD, version=number).drop("ts_aggregation").withColumn(
+            "version", F.lit(number)
+        ) for number in (newest, newest - 1)
+    ])
+
+
 @_query
 def layer_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two months of counts, written and compared."""

@@ -40,8 +40,11 @@ def scan_extract(
     )
 
 
-def stage_extract(spark: SparkSession, paths: str | Sequence[str], folder: str) -> DataFrame:
-    """The scan, all fields of it, as a written table with the file each row came from.
+def stage_extract(
+    spark: SparkSession, paths: str | Sequence[str], folder: str, stamp: str | None = None
+) -> DataFrame:
+    """The scan, all fields of it, as a written table with the file each row came from, and the time of
+    loading as ``stamp``.
 
     The text is parsed once. Everything after reads this table: the verdict on damage sees whole
     lines, later aggregates read single columns, and a lost executor costs no second parse. Sound and
@@ -49,13 +52,16 @@ def stage_extract(spark: SparkSession, paths: str | Sequence[str], folder: str)
     """
     scanned = scan_extract(spark, paths)
     check_names(scanned.columns)
+    if stamp:
+        scanned = scanned.withColumn(stamp, F.current_timestamp())
     (
         scanned.withColumn("source_file", F.col("_metadata.file_path"))
         # Cached parse results would be judged on the columns in use; all of them are written here.
         .withColumn("damaged", F.col(CORRUPT_FIELD).isNotNull())
         .write.mode("overwrite").partitionBy("damaged").parquet(folder)
     )
-    return spark.read.schema(STAGED).option("basePath", folder).parquet(folder)
+    schema = T.StructType([*STAGED, *([T.StructField(stamp, T.TimestampType())] if stamp else [])])
+    return spark.read.schema(schema).option("basePath", folder).parquet(folder)
 
 
 def misfit_files(staged: DataFrame, most: float) -> DataFrame:

@@ -30,10 +30,11 @@ from cartorio.sources.archives import (
     s3_options,
 )
 from cartorio.sources.delimited import read_lookup, scan_extract, stage_extract
-from cartorio.sources.layers import EmptyMonth, has_month, read_month, write_month
+from cartorio.sources.layers import EmptyMonth, has_month, read_month, stage_rows, write_month
 from cartorio.sources.layouts import BRONZE, GOLD, RAW_NAMES, SILVER
 from cartorio.sources.manifest import classified, expected_files, landed_files, missing_files
 from cartorio.sources.scratch import shared_folder
+from cartorio.sources.versions import MonthTaken
 from support import plan_of, sound
 
 SHORT = T.StructType().add("id", "string").add("st", T.IntegerType()).add("nm", "string")
@@ -208,7 +209,7 @@ def test_silver_and_gold(spark, lake):
     assert {tuple(r)[:3] for r in gold.collect()} == {
         ("Matriz", "ATIVA", 8), ("Filial", "ATIVA", 2), ("Matriz", "BAIXADA", 1),
     }
-    assert len(list(Path(lake.gold).glob("*/*.parquet"))) == 1
+    assert len(list(Path(lake.gold).glob("dt_ingestion=*/run=*/*.parquet"))) == 1
     # What is returned is what was written: the load time does not move between reads.
     assert gold.collect() == gold.collect()
     again = monthly.build_silver(spark, lake, "2026-01", RULES).drop("ts_transform").collect()
@@ -225,7 +226,7 @@ def test_silver_plan(spark, lake, capfd):
 
 def test_only_the_month_asked_for_is_listed(spark, lake):
     plan = plan_of(monthly.read_bronze(spark, lake, "2026-01"))
-    assert "1 paths" in plan or "dt_ingestion=2026-01]" in plan
+    assert "1 paths" in plan or "/dt_ingestion=2026-01/run=" in plan
 
 
 def test_compare_months(spark, lake, tmp_path):
@@ -339,40 +340,43 @@ def test_another_city_is_another_month(spark, tmp_path):
         monthly.run(spark, root, "2026-01", path, city_name="NOWHERE", lookup=lookup)
 
 
-def test_a_run_that_breaks_off_is_not_trusted(spark, tmp_path, monkeypatch):
+def test_a_run_that_breaks_off_changes_nothing(spark, tmp_path, monkeypatch):
     root = str(tmp_path / "lake")
     path = write_csv(tmp_path / "a.csv", CLEAN)
     monthly.run(spark, root, "2026-01", path, rules=RULES)
     layers = monthly.Layers(root)
 
-    def broken(*_, **__):
+    def broken(*given, **named):
+        stage_rows(*given, **named)
         raise OSError("lost")
 
-    monkeypatch.setattr(monthly, "write_month", broken)
-    with pytest.raises(OSError):
-        monthly.build_silver(spark, layers, "2026-01", RULES)
+    monkeypatch.setattr(monthly, "stage_rows", broken)
+    for build in (lambda: monthly.build_silver(spark, layers, "2026-01", RULES), lambda: monthly.build_gold(spark, layers, "2026-01")):
+        with pytest.raises(OSError):
+            build()
     monkeypatch.undo()
-    with pytest.raises(monthly.StaleMonth, match="not published"):
-        monthly.report(spark, layers, "2026-01")
-    assert not list((tmp_path / "lake/_staging").iterdir())
-    assert monthly.run(spark, root, "2026-01", rules=RULES).total_active == 10
+    assert monthly.report(spark, layers, "2026-01").total_active == 10
+    for layer in ("silver", "gold"):
+        assert len(list((tmp_path / f"lake/{layer}/dt_ingestion=2026-01").iterdir())) == 1
 
 
-def test_runs_of_one_month_do_not_share_their_staging(spark, tmp_path, monkeypatch):
+def test_of_two_runs_of_one_month_one_is_refused(spark, tmp_path, monkeypatch):
     """Another run of the month publishes between the verdict and the publishing of the first."""
     layers = monthly.Layers(str(tmp_path / "lake"))
     first = write_csv(tmp_path / "a.csv", CLEAN)
     second = write_csv(tmp_path / "b.csv", [sound(n) for n in range(3)])
-    publish = monthly.publish_bronze
+    publish = monthly._publish
 
     def between(*given):
         monkeypatch.undo()
         monthly.load_bronze(spark, second, layers, "2026-01", RULES)
         return publish(*given)
 
-    monkeypatch.setattr(monthly, "publish_bronze", between)
-    assert monthly.load_bronze(spark, first, layers, "2026-01", RULES).count() == len(CLEAN)
-    assert not list((tmp_path / "lake/_staging").iterdir())
+    monkeypatch.setattr(monthly, "_publish", between)
+    with pytest.raises(MonthTaken):
+        monthly.load_bronze(spark, first, layers, "2026-01", RULES)
+    assert monthly.read_bronze(spark, layers, "2026-01").count() == 3
+    assert len(list((tmp_path / "lake/bronze/dt_ingestion=2026-01").iterdir())) == 1
 
 
 def test_gold_is_judged_as_staged(spark, lake, monkeypatch):
