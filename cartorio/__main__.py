@@ -29,6 +29,7 @@ def main() -> None:
                         help="publish bronze without judging rows, nulls and ids")
     parser.add_argument("--no-check-stability", dest="check_stability", action="store_false",
                         help="don't look for a previous month to compare with")
+    parser.add_argument("--multiline", action="store_true", help="quoted fields may hold line breaks")
     parser.add_argument("--show-plan", action="store_true", help="print the plan of the filter")
     limits = parser.add_argument_group("limits of the checks")
     for limit in LIMITS:

@@ -6,7 +6,7 @@ import logging
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -21,6 +21,7 @@ from cartorio.operators.lookup import cities_named, codes_listed_twice
 from cartorio.operators.measures import corrupt_rate, type_status_counts
 from cartorio.operators.report import compare, console_text, summary
 from cartorio.sources.archives import expand_archives, require_expanded
+from cartorio.sources.clustering import folder_bytes, write_clustered
 from cartorio.sources.delimited import misfit_files, read_lookup, stage_extract
 from cartorio.sources.layers import (
     EmptyMonth,
@@ -221,6 +222,7 @@ def load_bronze(
     month: str,
     rules: Rules = Rules(),
     check_input: bool = True,
+    multiline: bool = False,
 ) -> DataFrame:
     """Raw files into a new version of one bronze month; damaged lines into quarantine; too much damage:
     nothing.
@@ -231,7 +233,7 @@ def load_bronze(
     kept too, under the run's own name.
     """
     with pending(spark, layers.bronze, month) as version:
-        staged = stage_extract(spark, paths, version.path, "ts_ingestion")
+        staged = stage_extract(spark, paths, version.path, "ts_ingestion", multiline)
         good = staged.filter("NOT damaged").drop(CORRUPT_FIELD, "source_file", "damaged", "ts_ingestion")
         run = f"run={version.run}"
         try:
@@ -257,6 +259,23 @@ def publish_bronze(
     return write_month(rows, layers.bronze, month, BRONZE, "as read", rules.file_bytes, record)
 
 
+def cluster_bronze(
+    spark: SparkSession, layers: Layers, month: str, rules: Rules = Rules(), group_bytes: int = 32 << 20
+) -> DataFrame:
+    """The rows of a bronze month as a new version, ordered by city: later stages of one city read a few
+    row groups. The rows stay those of their run, so nothing built from them grows stale, and a run that
+    publishes meanwhile wins."""
+    record = _record(spark, layers, "bronze", month)
+    if record is None:
+        raise StaleMonth(f"bronze {month} is not published")
+    rows = read_bronze(spark, layers, month, version=record.version)
+    ranges = -(-folder_bytes(spark, f"{layers.bronze}/{record.folder}") // rules.file_bytes)
+    with pending(spark, layers.bronze, month, record.version) as version:
+        write_clustered(rows, version.path, BRONZE, ranges, group_bytes)
+        _publish(version, replace(record, rules="clustered"))
+    return read_bronze(spark, layers, month)
+
+
 def read_quarantine(spark: SparkSession, layers: Layers, month: str) -> DataFrame:
     """The damaged lines of the run that the month holds now."""
     record = _record(spark, layers, "bronze", month)
@@ -418,6 +437,7 @@ def run(
     check_stability: bool = True,
     rules: Rules = Rules(),
     show_plan: bool = False,
+    multiline: bool = False,
 ) -> Row | None:
     """The stages a job name stands for, in order; returns the report row if it was asked for.
 
@@ -443,7 +463,7 @@ def run(
             source = paths or []
             if landing:
                 source = unpack(spark, landing, month, "estabelecimentos", f"{folder}/extract")
-            load_bronze(spark, source, layers, month, rules, check_input)
+            load_bronze(spark, source, layers, month, rules, check_input, multiline)
         if "silver" in stages and (force or _stale(spark, layers, "silver", month, scope)):
             build_silver(spark, layers, month, rules, show_plan, cities)
         if "gold" in stages and (force or _stale(spark, layers, "gold", month, scope)):

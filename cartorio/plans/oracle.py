@@ -11,7 +11,7 @@ from cartorio.plans.queries import (
     PREVIOUS,
     UNLISTED_NAME,
 )
-from cartorio.plans.registry import select_list
+from cartorio.plans.registry import BROKEN, select_list
 from cartorio.sources.layouts import RAW, RAW_NAMES
 
 REGISTRY = f"""
@@ -299,6 +299,9 @@ SELECT *, CASE WHEN total > 0 THEN corrupt / total ELSE 0.0 END AS corrupt_rate,
 FROM (SELECT count(*) AS total, count(*) FILTER ({DAMAGED}) AS corrupt FROM registry)"""),
     "csv_roundtrip": _with(REGISTRY, f"""
 SELECT {', '.join(RAW_NAMES)}, '{CURRENT}' AS dt_ingestion FROM registry WHERE {SOUND}"""),
+    "csv_multiline": _with(REGISTRY, f"""
+SELECT {', '.join(f"{BROKEN.get(name, name)} AS {name}" for name in RAW_NAMES)}, '{CURRENT}' AS dt_ingestion
+FROM registry WHERE {SOUND}"""),
     "csv_quarantine": _with(REGISTRY, f"""
 SELECT {WRITTEN} AS raw_line,
        '{CURRENT}' AS dt_ingestion
@@ -313,6 +316,7 @@ gold_all AS (
 SELECT '{CURRENT}' AS dt_ingestion, establishment_type, registration_status, "count", 3 AS version FROM gold_all
 UNION ALL
 SELECT '{CURRENT}', establishment_type, registration_status, "count", 2 FROM gold_current"""),
+    "clustered_city_rows": _with(SILVER, "SELECT * FROM silver"),
     "layer_comparison": COMPARISON,
     "monthly_run": _with(SOUND_ROWS, _business(rows="sound", least=0)),
     "monthly_full": _with(SOUND_GOLD, f"""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,7 @@ from cartorio.plans.registry import (
     opened_by,
     opening_months,
     registry,
+    write_broken_extract,
     write_extract,
 )
 from cartorio.sources.archives import check_archives, expand_archives, require_expanded
@@ -271,11 +273,13 @@ def manifest_doubled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @contextmanager
-def _extract(spark: SparkSession, rows: DataFrame) -> Iterator[str]:
+def _extract(
+    spark: SparkSession, rows: DataFrame, write: Callable[[DataFrame, str], None] = write_extract
+) -> Iterator[str]:
     """Rows as text files, which are gone when they have been loaded."""
     folder = fresh_folder(spark, "extract")
     try:
-        write_extract(rows, folder)
+        write(rows, folder)
         yield folder
     finally:
         remove_folder(spark, folder)
@@ -302,6 +306,14 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.drop("ts_ingestion")
 
 
+@_query
+def csv_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The extract with line breaks inside quotes, loaded as a month."""
+    with _extract(spark, registry(spark, sf_dir), write_broken_extract) as text:
+        bronze = monthly.load_bronze(spark, text, _fresh_layers(spark), CURRENT, SMALL, multiline=True)
+    return bronze.drop("ts_ingestion")
+
+
 @_query
 def csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = _fresh_layers(spark)
@@ -341,6 +353,15 @@ def month_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     ])
 
 
+@_query
+def clustered_city_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The curated rows of the target city, from a bronze month ordered by city."""
+    layers = _fresh_layers(spark)
+    monthly.publish_bronze(raw(spark, sf_dir), layers, CURRENT)
+    bronze = monthly.cluster_bronze(spark, layers, CURRENT, replace(SMALL, file_bytes=4 << 20), 1 << 20)
+    return curated(bronze)
+
+
 @_query
 def layer_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two months of counts, written and compared."""

@@ -142,3 +142,18 @@ def write_extract(rows: DataFrame, folder: str) -> None:
         )
         .csv(folder)
     )
+
+
+#: A field that holds line breaks, quotes and a separator, in SQL both engines read.
+BROKEN = {"complemento": "complemento || chr(10) || 'FUNDOS \"' || numero || '\";' || chr(10) || chr(10) || 'TERREO'"}
+
+
+def with_breaks(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({name: F.expr(value) for name, value in BROKEN.items()})
+
+
+def write_broken_extract(rows: DataFrame, folder: str) -> None:
+    """Like ``write_extract``, of rows whose fields hold line breaks: the bytes of each record as they are."""
+    extract_lines(with_breaks(rows)).select(
+        F.encode("line", "ISO-8859-1").cast("string").alias("value")
+    ).write.text(folder)

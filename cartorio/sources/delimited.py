@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from cartorio.fixed import CORRUPT_FIELD, CSV_FORMAT
 from cartorio.sources.layouts import RAW, check_names, scan_schema
+from cartorio.sources.multiline import cut_lines, joined, parsed
 
 STAGED = scan_schema().add("source_file", "string").add("damaged", "boolean")
 LOOKUP = T.StructType([
@@ -41,25 +42,31 @@ def scan_extract(
 
 
 def stage_extract(
-    spark: SparkSession, paths: str | Sequence[str], folder: str, stamp: str | None = None
+    spark: SparkSession, paths: str | Sequence[str], folder: str, stamp: str | None = None, multiline: bool = False
 ) -> DataFrame:
     """The scan, all fields of it, as a written table with the file each row came from, and the time of
-    loading as ``stamp``.
+    loading as ``stamp``. With ``multiline`` quoted fields may hold line breaks (``multiline``).
 
     The text is parsed once. Everything after reads this table: the verdict on damage sees whole
     lines, later aggregates read single columns, and a lost executor costs no second parse. Sound and
     damaged rows lie apart (``damaged``), so neither is filtered out of the other again.
     """
-    scanned = scan_extract(spark, paths)
-    check_names(scanned.columns)
-    if stamp:
-        scanned = scanned.withColumn(stamp, F.current_timestamp())
-    (
-        scanned.withColumn("source_file", F.col("_metadata.file_path"))
+
+    def stage(rows: DataFrame, mode: str) -> None:
+        check_names(name for name in rows.columns if name != "source_file")
+        if stamp:
+            rows = rows.withColumn(stamp, F.current_timestamp())
         # Cached parse results would be judged on the columns in use; all of them are written here.
-        .withColumn("damaged", F.col(CORRUPT_FIELD).isNotNull())
-        .write.mode("overwrite").partitionBy("damaged").parquet(folder)
-    )
+        rows = rows.withColumn("damaged", F.col(CORRUPT_FIELD).isNotNull())
+        rows.write.mode(mode).partitionBy("damaged").parquet(folder)
+
+    if multiline:
+        cut, parted = cut_lines(spark, paths)
+        stage(parsed(cut.filter("whole")), "overwrite")
+        if parted:
+            stage(parsed(joined(cut)), "append")
+    else:
+        stage(scan_extract(spark, paths).withColumn("source_file", F.col("_metadata.file_path")), "overwrite")
     schema = T.StructType([*STAGED, *([T.StructField(stamp, T.TimestampType())] if stamp else [])])
     return spark.read.schema(schema).option("basePath", folder).parquet(folder)
 
