@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from cartorio.llm.pairs import NONE, Memo, PairTable
 from cartorio.llm.pretokens import pretoken_starts
-from cartorio.llm.ragged import bytes_of, groups, run_sums, slice_hashes, taken
+from cartorio.llm.ragged import bytes_of, distinct_slices, groups, run_sums, slice_hashes, taken
 
 #: Slices of more bytes are merged one by one with a heap instead of side by side.
 LONG_SLICE = 64
@@ -170,16 +170,15 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.vocabulary, v = vocabulary, vocabulary
         tokens = slice_hashes(v.data, v.starts[v.ids], v.starts[v.ids] + v.lengths[v.ids])
-        self.memo = Memo(tokens, v.ids)  # a slice that is a token itself is never merged
+        # A slice that is a token itself is never merged.
+        self.memo = Memo(tokens, v.ids, v.data, v.starts[v.ids], v.starts[v.ids] + v.lengths[v.ids])
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and how many each text has."""
         starts = pretoken_starts(data, offsets)
         ends = np.append(starts[1:], len(data))
-        hashes, first, which = np.unique(
-            slice_hashes(data, starts, ends), return_index=True, return_inverse=True
-        )
-        at, known = self.memo.places(hashes)
+        hashes, first, which = distinct_slices(data, starts, ends)
+        at, known = self.memo.places(hashes, data, starts[first], ends[first])
         begins, counts, pool = self.memo.starts[at], self.memo.lengths[at], self.memo.pool
         if len(new := np.flatnonzero(~known)):
             length = (ends - starts)[first[new]]
@@ -187,7 +186,7 @@ class Encoder:
             runs, counts[new] = merge_slices(symbols, length, self.vocabulary.pairs)
             begins[new] = len(pool) + np.cumsum(counts[new]) - counts[new]
             pool = np.concatenate([pool, runs])
-            self.memo.add(hashes[new], runs, counts[new])
+            self.memo.add(hashes[new], runs, counts[new], data, starts[first[new]], ends[first[new]])
         begins, counts = begins[which], counts[which]
         return taken(pool, begins, counts), run_sums(counts, np.searchsorted(starts, offsets))
 

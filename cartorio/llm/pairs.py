@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 
+from cartorio.llm.ragged import same_slices, taken
+
 NONE = np.int64(1) << 30  # the rank of a pair that doesn't merge
 
 
@@ -45,33 +47,52 @@ class PairTable:
 
 
 class Memo:
-    """Runs of numbers by 64-bit key; starts again from its seed once it holds ``limit`` keys.
+    """Runs of numbers by slice: a 64-bit key finds a slice, its bytes tell that it is the one.
 
-    The limit bounds a task's memory only: a forgotten key is worked out again.
+    Of several slices with one key the first is kept. The memory starts again from its seed once it holds
+    ``limit`` keys: that bounds a task's memory only, a forgotten slice is worked out again.
     """
 
-    def __init__(self, keys: np.ndarray, runs: np.ndarray, limit: int = 1 << 19) -> None:
-        self.limit, self.seed = limit, (keys, runs, np.ones(len(keys), np.int64))
+    def __init__(
+        self, keys: np.ndarray, runs: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray,
+        limit: int = 1 << 19,
+    ) -> None:
+        self.limit, self.seed = limit, (keys, runs, np.ones(len(keys), np.int64), data, starts, ends)
         self._restart()
 
     def _restart(self) -> None:
-        self.keys, self.starts, self.lengths = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.pool = np.zeros(0, np.int64)
+        self.keys, self.pool, self.bytes = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint8)
+        self.starts, self.lengths, self.begins, self.ends = (np.zeros(0, np.int64) for _ in range(4))
         self.add(*self.seed)
 
-    def add(self, keys: np.ndarray, runs: np.ndarray, lengths: np.ndarray) -> None:
+    def add(
+        self, keys: np.ndarray, runs: np.ndarray, lengths: np.ndarray,
+        data: np.ndarray, starts: np.ndarray, ends: np.ndarray,
+    ) -> None:
         if len(self.keys) > len(self.seed[0]) and len(self.keys) + len(keys) > self.limit:
             self._restart()
-        starts = len(self.pool) + np.cumsum(lengths) - lengths
+        size = ends - starts
+        begins = len(self.bytes) + np.cumsum(size) - size
+        at = len(self.pool) + np.cumsum(lengths) - lengths
         self.pool = np.concatenate([self.pool, runs])
+        self.bytes = np.concatenate([self.bytes, taken(data, starts, size)])
         all_keys = np.concatenate([self.keys, keys])
         order = np.argsort(all_keys, kind="stable")
         self.keys = all_keys[order]
-        self.starts = np.concatenate([self.starts, starts])[order]
+        self.starts = np.concatenate([self.starts, at])[order]
         self.lengths = np.concatenate([self.lengths, lengths])[order]
+        self.begins = np.concatenate([self.begins, begins])[order]
+        self.ends = np.concatenate([self.ends, begins + size])[order]
 
-    def places(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where each key would be, and whether it is there."""
+    def places(
+        self, keys: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Where each slice would be, and whether it is there."""
         at = np.searchsorted(self.keys, keys)
         at[at == len(self.keys)] = 0
-        return at, (self.keys[at] == keys) if len(self.keys) else np.zeros(len(keys), bool)
+        known = (self.keys[at] == keys) if len(self.keys) else np.zeros(len(keys), bool)
+        rows = np.flatnonzero(known)
+        known[rows] = same_slices(
+            data, starts[rows], ends[rows], self.bytes, self.begins[at[rows]], self.ends[at[rows]]
+        )
+        return at, known

@@ -13,9 +13,12 @@ import pyarrow as pa
 #: Bytes of text worked on at once inside a task; one longer text is a group of its own.
 GROUP_BYTES = 2 << 20
 
-_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+#: Two primes below 2**31 and a base for each; a slice is a polynomial modulo either. (Modulo a power of
+#: two some long slices share their hash for every base.)
+_MODULI = ((2**31 - 1, 1_103_515_247), (2**31 - 19, 1_664_525_039))
+_powers = [np.ones(1, np.uint64) for _ in range(4)]
+#: Bytes whose sums are taken at once: so many products of a byte and a power stay within 64 bits.
+_STRETCH = 1 << 22
 
 
 def groups(
@@ -59,13 +62,15 @@ def texts(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
     ).cast(pa.string())
 
 
-def _powers_up_to(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        for which, base in enumerate((_BASE, _INVERSE)):
-            steps = np.full(n, base, np.uint64)
-            steps[0] = 1
-            _powers[which] = np.multiply.accumulate(steps)
-    return _powers[0][:n], _powers[1][:n]
+def _powers_up_to(n: int) -> list[np.ndarray]:
+    """Powers of each base and of its inverse."""
+    while len(_powers[0]) < n:
+        for which, (prime, base) in enumerate(_MODULI):
+            for at, factor in ((2 * which, base), (2 * which + 1, pow(base, -1, prime))):
+                old = _powers[at]
+                step = np.uint64(pow(factor, len(old), prime))
+                _powers[at] = np.concatenate([old, old * step % np.uint64(prime)])
+    return [power[:n] for power in _powers]
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -83,11 +88,57 @@ def slice_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     """A 64-bit hash of the bytes of every slice; the same bytes hash alike in any batch and task."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    power, inverse = _powers_up_to(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:-1], out=sums[1:])
-    hashes = (sums[ends] - sums[starts]) * inverse[starts]
-    return mixed(hashes + (ends - starts).astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
+    powers = _powers_up_to(len(data) + 1)
+    values = data.astype(np.uint64) + np.uint64(1)
+    out = np.zeros(len(starts), np.uint64)
+    for which, (prime, _) in enumerate(_MODULI):
+        modulus = np.uint64(prime)
+        sums = np.zeros(len(data) + 1, np.uint64)
+        for at in range(0, len(data), _STRETCH):
+            part = values[at : at + _STRETCH] * powers[2 * which][at : at + _STRETCH][: len(values) - at]
+            sums[at + 1 : at + 1 + len(part)] = (sums[at] + np.cumsum(part)) % modulus
+        found = (sums[ends] + modulus - sums[starts]) % modulus * powers[2 * which + 1][starts] % modulus
+        out = out << np.uint64(32) | found
+    return mixed(out + (ends - starts).astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
+
+
+def distinct_slices(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of slices the hash of each different one, one place of it, and which each slice is.
+
+    Exact: slices are told apart by hash, and then their bytes are compared. Two of one hash are both
+    given, under that hash.
+    """
+    hashes, first, which = np.unique(slice_hashes(data, starts, ends), return_index=True, return_inverse=True)
+    other = np.flatnonzero(~same_slices(data, starts, ends, data, starts[first[which]], ends[first[which]]))
+    if not len(other):
+        return hashes, first, which
+    more: dict[tuple[int, bytes], int] = {}
+    added = []
+    for at in other.tolist():
+        key = int(which[at]), data[starts[at] : ends[at]].tobytes()
+        if key not in more:
+            more[key] = len(hashes) + len(added)
+            added.append(at)
+        which[at] = more[key]
+    first = np.append(first, added)
+    return slice_hashes(data, starts[first], ends[first]), first, which
+
+
+def same_slices(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray,
+    other: np.ndarray, other_starts: np.ndarray, other_ends: np.ndarray,
+) -> np.ndarray:
+    """Whether each slice holds the same bytes as its counterpart."""
+    lengths = ends - starts
+    same = lengths == other_ends - other_starts
+    rows = np.flatnonzero(same & (lengths > 0) & ~((data is other) & (starts == other_starts)))
+    if len(rows):
+        run = lengths[rows]
+        apart = taken(data, starts[rows], run) != taken(other, other_starts[rows], run)
+        same[rows] = ~np.logical_or.reduceat(apart, np.cumsum(run) - run)
+    return same
 
 
 def within(lengths: np.ndarray) -> np.ndarray:

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from cartorio.llm.pairs import NONE, Memo, PairTable
 from cartorio.llm.pretokens import pretoken_starts
-from cartorio.llm.ragged import bytes_of, groups, run_sums, slice_hashes, taken
+from cartorio.llm.ragged import bytes_of, distinct_slices, groups, run_sums, taken
 
 
 @dataclass(frozen=True)
@@ -136,23 +136,24 @@ class Counter:
 
     def __init__(self, merges: Merges) -> None:
         self.merges = merges
-        self.memo = Memo(np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        none = np.zeros(0, np.int64)
+        self.memo = Memo(np.zeros(0, np.uint64), none, np.zeros(0, np.uint8), none, none)
 
     def count(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         data, pieces, owner, counts = without_special(data, offsets, self.merges.special)
         starts = pretoken_starts(data, pieces)
         ends = np.append(starts[1:], len(data))
-        hashes, first, which = np.unique(
-            slice_hashes(data, starts, ends), return_index=True, return_inverse=True
-        )
-        at, known = self.memo.places(hashes)
+        hashes, first, which = distinct_slices(data, starts, ends)
+        at, known = self.memo.places(hashes, data, starts[first], ends[first])
         tokens = np.zeros(len(hashes), np.int64)
         tokens[known] = self.memo.pool[self.memo.starts[at[known]]]
         if len(new := np.flatnonzero(~known)):
             lengths = (ends - starts)[first[new]]
             symbols = self.merges.byte_ids[taken(data, starts[first[new]], lengths)]
             tokens[new] = surviving(symbols, lengths, self.merges.pairs)
-            self.memo.add(hashes[new], tokens[new], np.ones(len(new), np.int64))
+            self.memo.add(
+                hashes[new], tokens[new], np.ones(len(new), np.int64), data, starts[first[new]], ends[first[new]]
+            )
         sums = run_sums(tokens[which], np.searchsorted(starts, pieces))
         np.add.at(counts, owner, sums)
         return counts

@@ -12,10 +12,10 @@ from tokenizers import Tokenizer
 
 import numpy as np
 
-from cartorio.llm import pairs, queries
+from cartorio.llm import byte_bpe, pairs, queries, ragged
 from cartorio.llm.byte_bpe import Encoder, decode, encode, read_ranks
 from cartorio.llm.pretokens import pretoken_starts
-from cartorio.llm.token_counts import token_counts
+from cartorio.llm.token_counts import Counter, read_merges, token_counts
 
 RANKS, MERGES = P.path("byte_bpe_50k.tiktoken"), P.path("byte_bpe_50k.json")
 LETTERS = "aés1٢'''strevmdl  \n\t !.-　 \u0085漢字😀RE²=="
@@ -128,3 +128,50 @@ def test_queries_over_whole_tables(spark, library):
         assert row.decoded_sha256 == hashlib.sha256(texts[row.doc_id].encode()).hexdigest()
     for row in queries.op10_token_counts(spark, folder).collect():
         assert row.n_tokens == len(tokenizer.encode(texts[row.doc_id], add_special_tokens=False).ids)
+
+
+def _thue_morse(n=1024):
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("groups", [1, 2])
+@pytest.mark.parametrize("turn", [1, -1])
+def test_long_slices_that_polynomials_take_for_one(library, groups, turn):
+    words = _thue_morse()[::turn]
+    vocabulary = read_ranks(RANKS)
+    encoder, counter = Encoder(vocabulary), Counter(read_merges(MERGES))
+    found, counts = [], []
+    for texts in ([words] if groups == 1 else [[word] for word in words]):
+        ids, lengths = encoder.encode(*_flat(texts))
+        found += np.split(ids, np.cumsum(lengths)[:-1])
+        counts += counter.count(*_flat(texts)).tolist()
+    assert [ids.tolist() for ids in found] == [library.encode(word, disallowed_special=()) for word in words]
+    assert counts == [len(Tokenizer.from_file(MERGES).encode(word, add_special_tokens=False).ids) for word in words]
+
+
+@pytest.mark.parametrize("kept", [0, 3])
+def test_any_slices_of_one_hash_stay_apart(library, monkeypatch, kept):
+    """Hashes of which only a few bits are left: slices meet all the time, in a group and in the memory."""
+    whole = ragged.slice_hashes
+    for module in (ragged, byte_bpe):
+        monkeypatch.setattr(module, "slice_hashes", lambda *given: whole(*given) & np.uint64((1 << kept) - 1))
+    encoder, counter = Encoder(read_ranks(RANKS)), Counter(read_merges(MERGES))
+    reference = Tokenizer.from_file(MERGES)
+    for seed in range(4):
+        texts = [text for text in _texts(seed, 25) if "<|" not in text]
+        ids, lengths = encoder.encode(*_flat(texts))
+        assert [x.tolist() for x in np.split(ids, np.cumsum(lengths)[:-1])] == [
+            library.encode(text, disallowed_special=()) for text in texts
+        ]
+        assert counter.count(*_flat(texts)).tolist() == [
+            len(reference.encode(text, add_special_tokens=False).ids) for text in texts
+        ]
+
+
+def test_hashes_do_not_depend_on_the_place():
+    data = np.frombuffer(b"xyz" * 3 + b"\0\0abc" + b"xyz", np.uint8)
+    starts = np.array([0, 3, 6, 14, 9, 10])
+    ends = np.array([3, 6, 9, 17, 10, 11])
+    hashes = ragged.slice_hashes(data, starts, ends)
+    assert len(set(hashes[:4].tolist())) == 1 and hashes[4] == hashes[5] != hashes[0]
