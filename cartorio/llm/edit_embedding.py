@@ -14,6 +14,7 @@ whole texts are walked; an empty table gives an empty table.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator, Sequence
 from functools import cache
 
@@ -32,12 +33,16 @@ from cartorio.sources.scratch import fresh_folder
 SAMPLE = 128
 #: The walk looks up every so many steps whether a text has ended; its length counts in these.
 STRIDE = 64
-BANDS, BAND_STEPS = 20, 6
+#: Bands of a level, and steps of a band.
+BANDS, BAND_STEPS = 26, 8
+#: Texts nearly alike are at most so many times as long as each other, as far as their walks tell.
+STRETCH = 1.5
 #: Fingerprints of a bucket that are compared in one piece.
 BLOCK = 400
 END = 64  # the code after the last character; its pointer stays
-_PLACES = np.arange(BAND_STEPS, dtype=np.uint64) * np.uint64(8)
-_HEX = np.frombuffer(b"0123456789abcdef", np.uint8)
+#: The letter of each code in a fingerprint, and of the end.
+_LETTERS = np.append(np.arange(48, 48 + END), ord("-")).astype(np.uint8)
+_ENDED = _LETTERS[END]
 
 
 def _random(begin: int, n: int, salt: int) -> np.ndarray:
@@ -112,9 +117,8 @@ def walk(codes: np.ndarray, lengths: np.ndarray) -> list[str]:
             at, end, levels, ids = at[~over], end[~over], levels[~over], ids[~over]
     all_ids = np.concatenate([*kept_ids, np.zeros(0, np.int64)])
     symbols = np.concatenate([*kept_codes, np.zeros(0, np.uint8)])
-    symbols = np.where(symbols == END, 0, 1 + symbols % 15).astype(np.uint8)
     by_text = np.argsort(all_ids, kind="stable")
-    whole = _HEX[symbols[by_text]].tobytes().decode("ascii")
+    whole = _LETTERS[symbols[by_text]].tobytes().decode("ascii")
     cuts = np.searchsorted(all_ids[by_text], np.arange(n + 1)).tolist()
     heads = zip(blocks.tolist(), level_of(lengths).tolist())
     return [f"{b:x}.{level:x}.{whole[x:y]}" for (b, level), x, y in zip(heads, cuts, cuts[1:])]
@@ -129,7 +133,7 @@ def _at_level(blocks: int, level: int, symbols: np.ndarray, wanted: int, upto: i
     """The symbols at the steps of a thinner level, with ends up to so many blocks."""
     if (wanted, upto) == (level, blocks):
         return symbols
-    out = np.full(len(sampled_steps(wanted, upto)), _HEX[0], np.uint8)
+    out = np.full(len(sampled_steps(wanted, upto)), _ENDED, np.uint8)
     if wanted == level:
         out[: len(symbols)] = symbols
         return out
@@ -145,7 +149,7 @@ def likeness(one: str, other: str) -> float:
     a, b = _parts(one), _parts(other)
     level, upto = max(a[1], b[1]), max(a[0], b[0])
     first, second = (_at_level(*x, level, upto) for x in (a, b))
-    counted = (first != _HEX[0]) | (second != _HEX[0])
+    counted = (first != _ENDED) | (second != _ENDED)
     return float((first == second)[counted].mean()) if counted.any() else 0.0
 
 
@@ -168,26 +172,39 @@ def _drawn(level: int, count: int) -> tuple[np.ndarray, np.ndarray]:
     return drawn, numbers
 
 
-def bands(fingerprint: str) -> list[int]:
-    """Keys of the bands of a text: hashes of the symbols at shared steps, of its level and the next.
+_FACTORS = _random(0, BAND_STEPS, 2**20) | np.uint64(1)
+
+
+def placed_bands(fingerprint: str) -> tuple[np.ndarray, np.ndarray]:
+    """The key of the band at each of ``2 * BANDS`` places, and whether there is one.
 
-    Texts nearly alike have levels that differ by one at most, so they share a level. The steps of a
-    band are drawn independently from the whole walk: texts of likeness s share a band with probability
-    s**BAND_STEPS, and some band of a level (s = 0.8) with probability 0.997. Bands of even levels come
-    first, so a band that two texts share has the same place in both.
+    Keys are hashes of the symbols at shared steps, of the text's level and, if a text nearly alike may
+    be of the next level, of that. Bands of even levels come first, so a band that two texts share has
+    the same place in both. The steps of a band are drawn independently from the whole walk: texts of
+    likeness s share a band of a level with probability s**BAND_STEPS, some band (s = 0.8) with 0.992.
     """
     blocks, level, symbols = _parts(fingerprint)
-    out: list[list[int]] = [[], []]
+    keys, there = np.zeros(2 * BANDS, np.int64), np.zeros(2 * BANDS, bool)
+    inked = int((symbols != _ENDED).sum())  # about 2 * length / 2**level; ends come last
     for at in (level, level + 1):
-        there = _at_level(blocks, level, symbols, at, blocks)
-        count = int((there != _HEX[0]).sum())  # ends come last
+        if at > level and inked * STRETCH < 2 * SAMPLE:
+            continue
+        read = _at_level(blocks, level, symbols, at, blocks)
+        count = int((read != _ENDED).sum())
         if count:
             drawn, numbers = _drawn(at, count)
-            keys = (there[drawn].astype(np.uint64) << _PLACES).sum(1, dtype=np.uint64) + numbers
+            found = (read[drawn].astype(np.uint64) * _FACTORS).sum(1, dtype=np.uint64) + numbers
         else:
-            keys = np.arange(BANDS, dtype=np.uint64) + np.uint64(BANDS * at)
-        out[at % 2] = mixed(keys).view(np.int64).tolist()
-    return out[0] + out[1]
+            found = np.arange(BANDS, dtype=np.uint64) + np.uint64(BANDS * at)
+        place = slice(BANDS * (at % 2), BANDS * (at % 2 + 1))
+        keys[place], there[place] = mixed(found).view(np.int64), True
+    return keys, there
+
+
+def bands(fingerprint: str) -> list[int]:
+    """The keys of the bands of a text."""
+    keys, there = placed_bands(fingerprint)
+    return keys[there].tolist()
 
 
 def flat_codes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -266,31 +283,36 @@ def linked(marked: DataFrame, least: float, folder: str, key: str = "key") -> Da
     blocks is a piece of work of its own. Tasks return counts and spanning forests, never pairs.
     """
     marks = written(
-        _banded(marked.groupBy("fingerprint").agg(F.min(key).alias("key"), F.count("*").alias("copies")))
-        .withColumn("class", class_of("fingerprint")), folder, "marks",
+        marked.groupBy("fingerprint").agg(F.min(key).alias("key"), F.count("*").alias("copies"))
+        .withColumn("id", F.xxhash64("fingerprint")), folder, "marks",
     )
-    # Two numbers an entry are shuffled; the rest is joined to what shares a bucket.
-    entries = marks.select(F.xxhash64("class").alias("id"), F.explode("trees").alias("bucket"))
-    crowded = entries.groupBy("bucket").agg(F.count("*").alias("held")).filter("held > 1")
+    # Most buckets hold one text. They are told by a short part of their key, counted before the shuffle
+    # as far as they meet in a task; what then is left (a few of two buckets among them) is looked at whole.
+    entries = marks.select("id", "fingerprint").mapInArrow(_entries, "id bigint, bucket bigint")
+    bits = min(62, max(32, int(2 * BANDS * marks.count()).bit_length() + 8))
+    short = F.shiftright("bucket", 64 - bits).alias("short")
+    many = entries.groupBy(short).agg(F.count("*").alias("held")).filter("held > 1").select("short")
+    shared = written(
+        entries.withColumn("short", short).join(many, "short", "left_semi").select("id", "bucket"), folder, "shared"
+    )
+    crowded = shared.groupBy("bucket").agg(F.count("*").alias("held")).filter("held > 1")
     blocks = F.ceil(F.col("held") / BLOCK)
     block = F.pmod("id", blocks).cast("int")
-    members = entries.join(crowded, "bucket").select(
+    members = shared.join(crowded, "bucket").select(
         "id", "bucket", block.alias("block"),
         F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))).alias("other"),
     ).withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("other")
-    whole = marks.select(F.xxhash64("class").alias("id"), "class", "fingerprint", "copies", "trees")
-    tree = (F.array_position("trees", F.col("bucket")) - 1).cast("int")
-    members = members.join(whole, "id").drop("id").withColumn("tree", tree).filter("tree >= 0")
+    members = members.join(marks.select("id", "fingerprint", "copies"), "id").drop("id")
     work = ("bucket", "low", "high")
     links = written(
         members.repartition(*work).sortWithinPartitions(*work).mapInArrow(
-            lambda batches: _links(batches, least), "class binary, links bigint, other binary"
+            lambda batches: _links(_with_bands(batches), least), "class binary, links bigint, other binary"
         ), folder, "links",
     )
     counted = links.filter("other is null").groupBy("class").agg(F.sum("links").alias("links"))
     roots = components(links.filter("other is not null").select("class", "other"), "class", "other", folder)
     known = (
-        marks.select("class", "key", "copies").join(counted, "class", "left")
+        marks.select(class_of("fingerprint").alias("class"), "key", "copies").join(counted, "class", "left")
         .join(roots.select(F.col("node").alias("class"), "root"), "class", "left")
         .withColumn("root", F.coalesce("root", "class"))
     )
@@ -302,22 +324,48 @@ def linked(marked: DataFrame, least: float, folder: str, key: str = "key") -> Da
 
 
 def written(df: DataFrame, folder: str, name: str) -> DataFrame:
-    """The shuffles behind the table are let go with it: Spark's cleaner follows the driver's collector."""
-    df.write.parquet(f"{folder}/{name}")
-    df.sparkSession._jvm.System.gc()
+    df.write.option("compression", "zstd").parquet(f"{folder}/{name}")
     return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
 
 
-def _banded(rows: DataFrame) -> DataFrame:
-    """``rows`` with the bands of their fingerprint as ``trees``."""
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [bands(fingerprint) for fingerprint in batch.column("fingerprint").to_pylist()]
-            yield batch.append_column("trees", pa.array(found, pa.list_(pa.int64())))
-
-    out = T.StructType([*rows.schema, T.StructField("trees", T.ArrayType(T.LongType()))])
-    return rows.mapInArrow(task, out)
+def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each band of each fingerprint."""
+    for batch in batches:
+        found = [np.array(bands(mark), np.int64) for mark in batch.column("fingerprint").to_pylist()]
+        if found:
+            ids = np.repeat(batch.column("id").to_numpy(), [len(keys) for keys in found])
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate(found))], names=["id", "bucket"])
+
+
+def _with_bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Members with all their bands (``trees``), the place of the one they share, and their class. That is
+    worked out again here, which costs less than to shuffle it."""
+    known: dict[str, tuple[np.ndarray, bytes]] = {}
+    for batch in batches:
+        trees, classes = [], []
+        for mark in batch.column("fingerprint").to_pylist():
+            if mark not in known:
+                if len(known) > 10_000:
+                    known.clear()
+                keys, there = placed_bands(mark)
+                name = hashlib.md5(mark.encode()).digest()
+                alone = mixed(np.frombuffer(name, np.uint64)[0] + np.arange(len(keys), dtype=np.uint64))
+                known[mark] = np.where(there, keys, alone.view(np.int64)), name  # no band: like no other's
+            keys, name = known[mark]
+            trees.append(keys)
+            classes.append(name)
+        if not trees:
+            continue
+        held = np.stack(trees)
+        bucket = batch.column("bucket").to_numpy()
+        tree = (held == bucket[:, None]).argmax(1)
+        offsets = np.arange(len(held) + 1, dtype=np.int32) * held.shape[1]
+        yield pa.RecordBatch.from_arrays(
+            [*(batch.column(c) for c in ("bucket", "low", "high", "block", "copies", "fingerprint")),
+             pa.array(tree.astype(np.int32)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(held.ravel())),
+             pa.array(classes, pa.binary())],
+            names=["bucket", "low", "high", "block", "copies", "fingerprint", "tree", "trees", "class"],
+        )
 
 
 def _links(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
@@ -360,7 +408,7 @@ def _alike(marks: list[str], asked: np.ndarray, least: float) -> np.ndarray:
     for at in np.unique(levels).tolist():
         rows = np.flatnonzero(levels <= at)
         symbols = np.stack([_at_level(*parts[row], at, upto) for row in rows.tolist()])
-        inked = symbols != _HEX[0]
+        inked = symbols != _ENDED
         counts = inked.sum(1)  # ends come last
         for place, row in enumerate(rows.tolist()):
             others = np.flatnonzero(asked[row, rows] & (np.maximum(levels[row], levels[rows]) == at))

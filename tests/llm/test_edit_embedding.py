@@ -34,7 +34,7 @@ def _plain(text):
             return f"{block:x}.{level:x}.{out}"
         code = int(codes[at]) if at < len(text) else 64
         if _levels(block)[inside] >= level:
-            out += "0" if code == 64 else "0123456789abcdef"[1 + code % 15]
+            out += "-" if code == 64 else chr(48 + code)
         at += int(_coins(block)[inside, code])
         step += 1
 
@@ -205,3 +205,41 @@ def test_query(spark):
     by_text = {}
     for key, text in docs:
         assert by_text.setdefault(text, got[key].fingerprint) == got[key].fingerprint
+
+
+def test_few_unlike_texts_share_a_band():
+    """Real texts, near copies among them: what shares a band by chance stays few."""
+    import pyarrow.parquet as pq
+
+    texts = pq.read_table("/root/testdata/sf0.1/documents.parquet")["text"].to_pylist()[:3000]
+    marks = sorted(set(_fingerprints([text or "" for text in texts])))
+    buckets = {}
+    for at, mark in enumerate(marks):
+        for key in bands(mark):
+            buckets.setdefault(key, []).append(at)
+    pairs = {(a, b) for held in buckets.values() for a in held for b in held if a < b}
+    unlike = sum(likeness(marks[a], marks[b]) < 0.5 for a, b in pairs)
+    assert unlike <= len(marks) / 100 and pairs
+
+
+def test_levels_of_texts_nearly_alike_meet():
+    """One of a pair just below, the other just above the length at which the level changes."""
+    rng = random.Random(15)
+    alike = found = 0
+    for n in (120, 240, 500, 1000, 4000):
+        for _ in range(30):
+            letters = [rng.choice("abcdefghijklmnop ") for _ in range(int(n * rng.uniform(0.85, 1.0)))]
+            longer = letters + [rng.choice("abcdefghijklmnop ") for _ in range(len(letters) // 6)]
+            a, b = _fingerprints(["".join(letters), "".join(longer)])
+            if likeness(a, b) >= 0.8:
+                alike += 1
+                found += not set(bands(a)).isdisjoint(bands(b))
+    assert alike >= 50 and found >= 0.98 * alike
+
+
+def test_one_very_long_text(spark):
+    rng = random.Random(16)
+    long = " ".join(rng.choice(["eins", "zwei", "drei", "vier"]) for _ in range(60_000))
+    rows = [(1, long), (2, long + " noch"), (3, "kurz"), (4, long[: len(long) // 2])]
+    got = {r.key: r.group_key for r in near_documents(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4}
