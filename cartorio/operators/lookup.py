@@ -7,7 +7,7 @@ through a shuffle join, where adaptive execution splits the partitions of crowde
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -40,6 +40,28 @@ def cities_named(lookup: DataFrame, name: str) -> DataFrame:
     return lookup.filter(F.col("name") == name).select(F.col("code").alias("municipio"))
 
 
+def tidy(name: str | Column) -> Column:
+    """A name without blanks around it and with one between words."""
+    return F.trim(F.regexp_replace(name, r"\s+", " "))
+
+
+def cities_named_like(lookup: DataFrame, name: str) -> DataFrame:
+    """``municipio`` and ``name`` of the cities whose name is the same but for accents, case and blanks.
+
+    Names are compared under a collation, and only on the lookup's side: rows are then joined by code,
+    so the filters on them still reach the scan.
+    """
+    asked = F.collate(tidy(F.lit(name)), "UNICODE_CI_AI")
+    return lookup.filter(F.collate(tidy("name"), "UNICODE_CI_AI") == asked).select(
+        F.col("code").alias("municipio"), "name"
+    )
+
+
+def in_city_named_like(rows: DataFrame, lookup: DataFrame, name: str) -> DataFrame:
+    """Rows of the cities of such a name."""
+    return rows.join(cities_named_like(lookup, name).select("municipio"), "municipio", "left_semi")
+
+
 def unlisted_cities(rows: DataFrame, lookup: DataFrame) -> DataFrame:
     """City codes absent from the lookup, with their rows; counted first, so few rows are joined."""
     totals = rows.groupBy("municipio").agg(F.count(F.lit(1)).alias("count"))

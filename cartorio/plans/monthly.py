@@ -17,8 +17,9 @@ from cartorio.fixed import CORRUPT_FIELD, CURATED_INPUT, PARTITION, REQUIRED_FIE
 from cartorio.functions.predicates import check_month, check_snapshot
 from cartorio.operators import checks
 from cartorio.operators.conform import curated, stamped
-from cartorio.operators.lookup import cities_named, codes_listed_twice
+from cartorio.operators.lookup import cities_named, cities_named_like, codes_listed_twice
 from cartorio.operators.measures import corrupt_rate, type_status_counts
+from cartorio.operators.partials import counts_of, file_name, partial_counts, renewed
 from cartorio.operators.report import compare, console_text, summary
 from cartorio.sources.archives import expand_archives, require_expanded
 from cartorio.sources.clustering import folder_bytes, write_clustered
@@ -32,7 +33,7 @@ from cartorio.sources.layers import (
     stage_rows,
     write_month,
 )
-from cartorio.sources.layouts import BRONZE, GOLD, QUARANTINE, SILVER
+from cartorio.sources.layouts import BRONZE, GOLD, PARTIALS, QUARANTINE, SILVER
 from cartorio.sources.manifest import (
     classified,
     doubled_files,
@@ -91,6 +92,10 @@ class Layers:
     def gold(self) -> str:
         return self.of("gold")
 
+    @property
+    def partials(self) -> str:
+        return self.of("partials")
+
     @property
     def quarantine(self) -> str:
         return self.of("quarantine")
@@ -276,6 +281,72 @@ def cluster_bronze(
     return read_bronze(spark, layers, month)
 
 
+def _with_files(spark: SparkSession, layers: Layers, record: Record) -> DataFrame:
+    """The raw rows of a version with the file each came from (null where that isn't known)."""
+    schema = T.StructType([*BRONZE, T.StructField("source_file", T.StringType())])
+    return read_folders(spark, layers.bronze, [f"{layers.bronze}/{record.folder}"], schema)
+
+
+def build_partials(spark: SparkSession, layers: Layers, month: str, rules: Rules = Rules()) -> DataFrame:
+    """Counts of a bronze month by city, type, status and file, from one scan of four columns."""
+    record = _record(spark, layers, "bronze", month)
+    if record is None:
+        raise StaleMonth(f"bronze {month} is not published")
+    counts = partial_counts(_with_files(spark, layers, record))
+    return _publish_partials(counts, layers, month, record.run, rules)
+
+
+def _publish_partials(
+    counts: DataFrame, layers: Layers, month: str, source: str, rules: Rules, base: int | None = None
+) -> DataFrame:
+    record = Record(uuid.uuid4().hex, source)
+    rows = counts.withColumn(PARTITION, F.lit(month))
+    return write_month(rows, layers.partials, month, PARTIALS, "rebalanced", rules.file_bytes, record, base)
+
+
+def gold_from_partials(
+    spark: SparkSession, layers: Layers, month: str, cities: Sequence[str] | None
+) -> DataFrame:
+    """Counts of any cities without a scan of bronze; refused if bronze has changed since it was counted."""
+    bronze, counted = _record(spark, layers, "bronze", month), _record(spark, layers, "partials", month)
+    if counted is None or bronze is None or counted.source != bronze.run:
+        raise StaleMonth(f"bronze {month} isn't counted as it is now")
+    rows = read_month(spark, layers.partials, month, PARTIALS, version=counted.version)
+    return counts_of(rows, cities)
+
+
+def replace_files(
+    spark: SparkSession, paths: str | Sequence[str], layers: Layers, month: str, rules: Rules = Rules(),
+    check_input: bool = True, multiline: bool = False,
+) -> DataFrame:
+    """Some files of a month loaded again: their rows take the place of those that files of the same names
+    brought, as a new version. Only these files are parsed, judged and counted; the counts of the others
+    are kept."""
+    record = _record(spark, layers, "bronze", month)
+    if record is None:
+        raise StaleMonth(f"bronze {month} is not published")
+    counted = _record(spark, layers, "partials", month)
+    with pending(spark, layers.bronze, month, record.version) as version:
+        staged = stage_extract(spark, paths, version.path, "ts_ingestion", multiline)
+        good = staged.filter("NOT damaged")
+        fields = good.drop(CORRUPT_FIELD, "source_file", "damaged", "ts_ingestion")
+        _judge_extract(staged, fields, month, rules, check_input)
+        # A name for each file of the delivery, with or without sound rows.
+        names = [row[0] for row in staged.select(file_name().alias("name")).distinct().collect()]
+        old = _with_files(spark, layers, record).drop(PARTITION)
+        others = old.filter(F.col("source_file").isNull() | ~file_name().isin(names))
+        others.write.mode("append").parquet(f"{version.path}/damaged=false")
+        _set_aside(staged, f"{month_path(layers.quarantine, month)}/run={version.run}")
+        counts = None
+        if counted is not None and counted.source == record.run:
+            kept = read_month(spark, layers.partials, month, PARTIALS, version=counted.version).drop(PARTITION)
+            counts = renewed(kept, partial_counts(good), names)
+        _publish(version, Record(version.run), "/damaged=false")
+        if counts is not None:
+            _publish_partials(counts, layers, month, version.run, rules, counted.version)
+    return read_bronze(spark, layers, month)
+
+
 def read_quarantine(spark: SparkSession, layers: Layers, month: str) -> DataFrame:
     """The damaged lines of the run that the month holds now."""
     record = _record(spark, layers, "bronze", month)
@@ -411,14 +482,24 @@ def compare_months(
 
 
 def named_cities(lookup: DataFrame, name: str) -> DataFrame:
-    """The codes of a city name; refuses a lookup that lists a code twice or not the name."""
+    """The codes of a city name; refuses a lookup that lists a code twice or not the name.
+
+    A name that isn't listed as it is written stands for the one that differs by accents, case or blanks;
+    if there are several such names, none is taken for it.
+    """
     twice = codes_listed_twice(lookup).first()
     if twice:
         raise ValueError(f"city code listed {twice['count']} times: {twice.code}")
     cities = cities_named(lookup, name)
-    if cities.isEmpty():
+    if not cities.isEmpty():
+        return cities
+    alike = cities_named_like(lookup, name)
+    names = [row.name for row in alike.select("name").distinct().limit(2).collect()]
+    if not names:
         raise ValueError(f"no city named {name!r} in the lookup")
-    return cities
+    if len(names) > 1:
+        raise ValueError(f"no city named {name!r} in the lookup, but {names[0]!r} and {names[1]!r}")
+    return alike.select("municipio")
 
 
 def run(

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from cartorio.fixed import CRITICAL_FIELDS, CURATED_INPUT, REQUIRED_FIELDS
+from cartorio.fixed import CHECK_WEIGHTS, CRITICAL_FIELDS, CURATED_INPUT, REQUIRED_FIELDS
 from cartorio.plans.queries import (
+    ASKED_NAME,
     CITY_NAME,
     CURRENT,
     LAST_DAY,
     LOADED_AT,
     PREVIOUS,
+    SOME_CITIES,
     UNLISTED_NAME,
 )
-from cartorio.plans.registry import BROKEN, select_list
+from cartorio.plans.registry import BROKEN, SPELLED, select_list
 from cartorio.sources.layouts import RAW, RAW_NAMES
 
 REGISTRY = f"""
@@ -97,6 +99,19 @@ def _per_field(select: str) -> str:
     )
 
 
+def _weighted(text: str, weights) -> str:
+    terms = (f"{weight} * (ascii(substr({text}, {at}, 1)) - 48)" for at, weight in enumerate(weights, start=1))
+    return f"({' + '.join(terms)})"
+
+
+def _digit(total: str) -> str:
+    return f"CASE WHEN {total} % 11 < 2 THEN 0 ELSE 11 - {total} % 11 END"
+
+
+FIRST_DIGIT = _digit(_weighted("stem", CHECK_WEIGHTS[1:]))
+SECOND_DIGIT = _digit(f"({_weighted('stem', CHECK_WEIGHTS[:12])} + {CHECK_WEIGHTS[12]} * first)")
+
+
 def _input_checks(fields, present: str = "true") -> str:
     return _with(REGISTRY, f"""
 SELECT *, has_minimum_records AND has_required_fields AND null_rate_acceptable AS all_checks_passed
@@ -257,6 +272,34 @@ SELECT *, null_cnpj_basico = 0 AS has_cnpj_basico, null_cnpj_ordem = 0 AS has_cn
 FROM (SELECT count(*) FILTER (cnpj_basico IS NULL) AS null_cnpj_basico,
              count(*) FILTER (cnpj_ordem IS NULL) AS null_cnpj_ordem,
              count(*) FILTER (cnpj_dv IS NULL) AS null_cnpj_dv FROM registry)"""),
+    "id_digit_checks": _with(REGISTRY, f"""
+SELECT *, wrong_digits / ids AS bad_rate, wrong_digits / ids <= 0.0 AS digits_acceptable
+FROM (SELECT count(*) AS ids, CAST(0 AS BIGINT) AS null_ids, CAST(0 AS BIGINT) AS malformed_ids,
+             count(*) FILTER (record_no % 3 = 0 AND cnpj_dv <> digits) AS wrong_digits
+      FROM (SELECT *, CAST(first AS VARCHAR) || CAST({SECOND_DIGIT} AS VARCHAR) AS digits
+            FROM (SELECT *, {FIRST_DIGIT} AS first
+                  FROM (SELECT record_no, cnpj_dv, cnpj_basico || cnpj_ordem AS stem FROM registry))))"""),
+    "doubled_ids": _with(REGISTRY, """
+SELECT cnpj_completo, count(*) AS copies
+FROM (SELECT cnpj_basico || cnpj_ordem || cnpj_dv AS cnpj_completo FROM registry
+      UNION ALL
+      SELECT cnpj_basico || cnpj_ordem || cnpj_dv FROM registry WHERE record_no % 50 = 0)
+GROUP BY 1 HAVING count(*) > 1"""),
+    "stability_history": _with(SILVER.replace("municipio = '7107' AND ", ""), """
+SELECT dt_ingestion, establishment_type, registration_status, "count", n_past, median, deviation, gap_months,
+       n_past < 3 OR abs("count" - median) <= greatest(3.0 * 1.4826 * deviation, 0.02 * median) AS stable
+FROM (SELECT *, CAST(coalesce(len(past), 0) AS INTEGER) AS n_past,
+             list_median(list_transform(past, lambda x: abs(x - median))) AS deviation,
+             CAST(coalesce(date_diff('month', strptime(last || '-01', '%Y-%m-%d'),
+                                     strptime(dt_ingestion || '-01', '%Y-%m-%d')) - 1, 0) AS INTEGER) AS gap_months
+      FROM (SELECT *, list_median(past) AS median
+            FROM (SELECT *, list("count") OVER (PARTITION BY establishment_type, registration_status
+                             ORDER BY dt_ingestion ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING) AS past,
+                         lag(dt_ingestion) OVER (PARTITION BY establishment_type, registration_status
+                             ORDER BY dt_ingestion) AS last
+                  FROM (SELECT substr(data_inicio_atividade, 1, 4) || '-' || substr(data_inicio_atividade, 5, 2)
+                               AS dt_ingestion, establishment_type, registration_status, count(*) AS "count"
+                        FROM silver GROUP BY ALL))))"""),
     "business_checks": _with(SILVER, _business()),
     "output_checks": _with(SNAPSHOTS, OUTPUT),
     "output_checks_first": _with(GOLD, _output("silver", "gold", None)),
@@ -276,6 +319,12 @@ WHERE municipio IN (SELECT CAST(7100 + n_nationkey AS VARCHAR) FROM nation
 SELECT {', '.join(CURATED_INPUT)}, n_name AS city_name
 FROM registry LEFT JOIN nation
   ON municipio = CAST(7100 + n_nationkey AS VARCHAR) AND n_name <> '{UNLISTED_NAME}'"""),
+    "city_lookup_folded": _with(REGISTRY, f"""
+SELECT {', '.join(CURATED_INPUT)} FROM registry
+WHERE municipio IN (
+  SELECT CAST(7100 + n_nationkey AS VARCHAR) FROM (SELECT n_nationkey, n_name AS name FROM nation)
+  WHERE lower(strip_accents(regexp_replace(trim({SPELLED}), '\\s+', ' ', 'g')))
+      = lower(strip_accents(regexp_replace(trim('{ASKED_NAME}'), '\\s+', ' ', 'g'))))"""),
     "city_lookup_counts": _with(GOLD, "SELECT * FROM gold"),
     "unknown_city_codes": _with(REGISTRY, f"""
 SELECT municipio, count(*) AS "count" FROM registry
@@ -316,6 +365,10 @@ gold_all AS (
 SELECT '{CURRENT}' AS dt_ingestion, establishment_type, registration_status, "count", 3 AS version FROM gold_all
 UNION ALL
 SELECT '{CURRENT}', establishment_type, registration_status, "count", 2 FROM gold_current"""),
+    "gold_from_partials": _with(SILVER.replace(
+        "municipio = '7107'", f"municipio IN {SOME_CITIES} AND (record_no % 10 <> 3 OR record_no % 20 = 3)"
+    ), """
+SELECT establishment_type, registration_status, count(*) AS "count" FROM silver GROUP BY ALL"""),
     "clustered_city_rows": _with(SILVER, "SELECT * FROM silver"),
     "layer_comparison": COMPARISON,
     "monthly_run": _with(SOUND_ROWS, _business(rows="sound", least=0)),

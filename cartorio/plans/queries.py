@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartorio.fixed import CSV_FORMAT, CURATED_INPUT, PARTITION, REQUIRED_FIELDS, Rules
-from cartorio.functions.columns import count_where
-from cartorio.operators import checks, lookup, measures, report
+from cartorio.functions.columns import count_where, registry_id
+from cartorio.operators import checks, ids, lookup, measures, partials, report, stability
 from cartorio.operators.conform import active_only, curated, stamped
 from cartorio.plans import monthly
 from cartorio.plans.packing import pack_files
 from cartorio.plans.registry import (
+    accented,
     cities,
     opened_by,
     opening_months,
@@ -27,7 +28,7 @@ from cartorio.plans.registry import (
 from cartorio.sources.archives import check_archives, expand_archives, require_expanded
 from cartorio.sources.delimited import read_lookup, stage_extract
 from cartorio.sources.layers import read_month, write_month
-from cartorio.sources.layouts import GOLD, RAW, RAW_NAMES, describe, pick
+from cartorio.sources.layouts import GOLD, PARTIALS, RAW, RAW_NAMES, describe, pick
 from cartorio.sources.manifest import (
     doubled_files,
     expected_files,
@@ -42,6 +43,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 PREVIOUS, CURRENT = "2000-12", "2001-08"
 LAST_DAY = {PREVIOUS: "20001231", CURRENT: "20010831"}
 CITY_NAME, UNLISTED_NAME = "NATION_7", "NATION_3"
+ASKED_NAME = " NACAO   7"
+SOME_CITIES = ("7101", "7107", "7119")
 LOADED_AT = "2026-01-15 03:04:05"
 
 _QUERIES: dict[str, Query] = {}
@@ -220,6 +223,30 @@ def run_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.gate_from(_cells(spark, sf_dir), CURRENT, PREVIOUS)
 
 
+@_query
+def id_digit_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The check digits of all ids; two of three are given the ones that belong to them."""
+    stem = F.concat("cnpj_basico", "cnpj_ordem")
+    digits = F.when(F.col("record_no") % 3 == 0, F.col("cnpj_dv")).otherwise(ids.check_digits(stem))
+    rows = registry(spark, sf_dir).select(F.concat(stem, digits).alias("cnpj_completo"))
+    return ids.id_digit_checks(rows)
+
+
+@_query
+def doubled_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A month in which every fiftieth row was delivered again."""
+    rows = registry(spark, sf_dir).select("record_no", registry_id().alias("cnpj_completo"))
+    return ids.doubled_ids(rows.unionAll(rows.filter("record_no % 50 = 0")))
+
+
+@_query
+def stability_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The establishments opened in each month, beside the twelve months before."""
+    month = F.concat_ws("-", F.substring("data_inicio_atividade", 1, 4), F.substring("data_inicio_atividade", 5, 2))
+    rows = curated(registry(spark, sf_dir), None).withColumn(PARTITION, month)
+    return stability.stability_history(measures.count_by(rows, PARTITION, *measures.GROUP_KEYS))
+
+
 # --- city lookup ----------------------------------------------------------------------------------
 
 
@@ -246,6 +273,13 @@ def city_lookup_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measures.type_status_counts(curated(rows, None))
 
 
+@_query
+def city_lookup_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A city asked for in capitals without accents, listed with both and with blanks."""
+    rows = registry(spark, sf_dir).select(*CURATED_INPUT)
+    return lookup.in_city_named_like(rows, accented(cities(spark, sf_dir)), ASKED_NAME)
+
+
 @_query
 def unknown_city_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.unlisted_cities(registry(spark, sf_dir), _without_one(spark, sf_dir))
@@ -362,6 +396,24 @@ def clustered_city_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curated(bronze)
 
 
+@_query
+def gold_from_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of some cities from a month counted by file, one of whose ten files was delivered again with
+    half its rows."""
+    layers = _fresh_layers(spark)
+    file = F.concat(F.lit("part/Estabelecimentos"), F.col("record_no") % 10)
+    rows = registry(spark, sf_dir).withColumn("source_file", file)
+    again = partials.partial_counts(rows.filter("record_no % 20 = 3"))
+    for counts in (
+        lambda: partials.partial_counts(rows),
+        lambda: partials.renewed(
+            read_month(spark, layers.partials, CURRENT, PARTIALS).drop(PARTITION), again, ["Estabelecimentos3"]
+        ),
+    ):
+        write_month(counts().withColumn(PARTITION, F.lit(CURRENT)), layers.partials, CURRENT, PARTIALS)
+    return partials.counts_of(read_month(spark, layers.partials, CURRENT, PARTIALS), SOME_CITIES)
+
+
 @_query
 def layer_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two months of counts, written and compared."""

@@ -108,6 +108,15 @@ def cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: How the lookup spells a city that is asked for otherwise, in SQL both engines read.
+SPELLED = "replace(name, 'NATION_', 'Nação ') || ' '"
+
+
+def accented(lookup: DataFrame) -> DataFrame:
+    """The lookup with names as people write them."""
+    return lookup.withColumn("name", F.expr(SPELLED))
+
+
 def opening_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The month every establishment was opened in, with the number of the file that carries it."""
     return table(spark, sf_dir, "orders").select(
