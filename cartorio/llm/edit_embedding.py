@@ -317,9 +317,13 @@ def linked(marked: DataFrame, least: float, folder: str, key: str = "key") -> Da
         .withColumn("root", F.coalesce("root", "class"))
     )
     known = written(known, folder, "known")
-    heads = known.groupBy("root").agg(F.min("key").alias("group_key"))
-    return known.join(heads, "root").select(
-        "class", "group_key", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
+    # Texts without a link are their own group. Written, so that adaptive execution may split large groups.
+    heads = written(
+        known.filter("links is not null").groupBy("root").agg(F.min("key").alias("group_key")), folder, "heads"
+    )
+    return known.join(heads, "root", "left").select(
+        "class", F.coalesce("group_key", "key").alias("group_key"),
+        (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
     )
 
 
