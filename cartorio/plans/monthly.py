@@ -20,8 +20,10 @@ from cartorio.operators.conform import curated, stamped
 from cartorio.operators.lookup import cities_named, cities_named_like, codes_listed_twice
 from cartorio.operators.measures import corrupt_rate, type_status_counts
 from cartorio.operators.partials import counts_of, file_name, partial_counts, renewed
+from cartorio.operators.profiles import PROFILE, column_profile, described, merged
 from cartorio.operators.report import compare, console_text, summary
 from cartorio.sources.archives import expand_archives, require_expanded
+from cartorio.sources.arrivals import arrived, take_arrivals
 from cartorio.sources.clustering import folder_bytes, write_clustered
 from cartorio.sources.delimited import misfit_files, read_lookup, stage_extract
 from cartorio.sources.layers import (
@@ -33,7 +35,7 @@ from cartorio.sources.layers import (
     stage_rows,
     write_month,
 )
-from cartorio.sources.layouts import BRONZE, GOLD, PARTIALS, QUARANTINE, SILVER
+from cartorio.sources.layouts import BRONZE, GOLD, PARTIALS, QUARANTINE, RAW_NAMES, SILVER
 from cartorio.sources.manifest import (
     classified,
     doubled_files,
@@ -92,6 +94,11 @@ class Layers:
     def gold(self) -> str:
         return self.of("gold")
 
+    @property
+    def arrivals(self) -> str:
+        """Rows of files as they arrived, staged once each."""
+        return self.of("_arrivals")
+
     @property
     def partials(self) -> str:
         return self.of("partials")
@@ -251,6 +258,42 @@ def load_bronze(
     return read_bronze(spark, layers, month)
 
 
+def load_arrivals(
+    spark: SparkSession, landing: str, layers: Layers, month: str, rules: Rules = Rules(), check_input: bool = True
+) -> DataFrame:
+    """What has landed for a month so far, as its new version. Files staged by an earlier call aren't read
+    again; the verdict is on all of them. Text is parsed once in a file's life, so what a call costs is the
+    new text and one copy of the month's rows."""
+    folder = f"{layers.arrivals}/{PARTITION}={check_snapshot(month)}"
+    take_arrivals(spark, landing, folder)
+    staged = arrived(spark, folder)
+    with pending(spark, layers.bronze, month) as version:
+        good = staged.filter("NOT damaged")
+        _judge_extract(
+            staged, good.drop(CORRUPT_FIELD, "source_file", "damaged", "ts_ingestion"), month, rules, check_input
+        )
+        stored = T.StructType([*(f for f in BRONZE if f.name != PARTITION), T.StructField("source_file", T.StringType())])
+        stage_rows(good, version.path, stored, rules.file_bytes, "as read")
+        _set_aside(staged, f"{month_path(layers.quarantine, month)}/run={version.run}")
+        _publish(version, Record(version.run))
+    return read_bronze(spark, layers, month)
+
+
+def profile_bronze(spark: SparkSession, layers: Layers, month: str, rules: Rules = Rules()) -> DataFrame:
+    """The profile of a bronze month's raw fields, kept beside it; ``profiles`` merges those of months."""
+    record = _record(spark, layers, "bronze", month)
+    if record is None:
+        raise StaleMonth(f"bronze {month} is not published")
+    rows = read_bronze(spark, layers, month, RAW_NAMES, record.version)
+    made = column_profile(rows).withColumn(PARTITION, F.lit(month))
+    return write_month(made, layers.of("profiles"), month, PROFILE, "one", rules.file_bytes, Record(uuid.uuid4().hex, record.run))
+
+
+def profiles(spark: SparkSession, layers: Layers, months_: Sequence[str]) -> DataFrame:
+    """The columns of some months together, from their profiles alone."""
+    return described(merged(read_month(spark, layers.of("profiles"), months_, PROFILE)))
+
+
 def _publish(version, record: Record, within: str = "") -> None:
     log.info("published %s", version.commit(record, within))
 

@@ -10,6 +10,7 @@ from cartorio.plans.queries import (
     LAST_DAY,
     LOADED_AT,
     PREVIOUS,
+    PROFILED,
     SOME_CITIES,
     UNLISTED_NAME,
 )
@@ -245,6 +246,10 @@ SELECT 'type', establishment_type, count(*) FROM silver GROUP BY 2"""),
     "null_rates": _with(REGISTRY, _per_field(
         "SELECT '{field}' AS \"column\", {rate} AS null_rate FROM registry"
     )),
+    "column_profile": _with(REGISTRY, "\nUNION ALL\n".join(f"""
+SELECT '{name}' AS "column", count(*) AS "rows", count({name}) AS filled, {_rate(name)} AS null_rate,
+       count(DISTINCT {name}) AS n_distinct, true AS distinct_within, true AS median_within
+FROM registry""" for name in PROFILED)),
     "schema_describe": _with(REGISTRY, _per_field(
         "SELECT count(*) AS \"rows\", {position} AS position, '{field}' AS field, "
         "'{type}' AS type, {required} AS required, {critical} AS critical, "
@@ -351,6 +356,8 @@ SELECT {', '.join(RAW_NAMES)}, '{CURRENT}' AS dt_ingestion FROM registry WHERE {
     "csv_multiline": _with(REGISTRY, f"""
 SELECT {', '.join(f"{BROKEN.get(name, name)} AS {name}" for name in RAW_NAMES)}, '{CURRENT}' AS dt_ingestion
 FROM registry WHERE {SOUND}"""),
+    "arrivals_stream": _with(REGISTRY, f"""
+SELECT {', '.join(RAW_NAMES)}, '{CURRENT}' AS dt_ingestion FROM registry WHERE {SOUND}"""),
     "csv_quarantine": _with(REGISTRY, f"""
 SELECT {WRITTEN} AS raw_line,
        '{CURRENT}' AS dt_ingestion

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cartorio.fixed import CSV_FORMAT, CURATED_INPUT, PARTITION, REQUIRED_FIELDS, Rules
 from cartorio.functions.columns import count_where, registry_id
-from cartorio.operators import checks, ids, lookup, measures, partials, report, stability
+from cartorio.operators import checks, ids, lookup, measures, partials, profiles, report, stability
 from cartorio.operators.conform import active_only, curated, stamped
 from cartorio.plans import monthly
 from cartorio.plans.packing import pack_files
@@ -148,6 +148,33 @@ def schema_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return describe(raw(spark, sf_dir))
 
 
+#: Columns whose profile is compared with exact counts.
+PROFILED = ("cnpj_basico", "nome_fantasia", "situacao_cadastral", "municipio", "cep", "telefone_2", "fax")
+
+
+@_query
+def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles of two halves of the registry merged; whether their estimates keep to the stated errors is
+    judged by exact counts over the rows."""
+    rows = raw(spark, sf_dir).select(*PROFILED)
+    first = F.col("cnpj_basico") < "00030000"
+    halves = [profiles.column_profile(rows.filter(half)) for half in (first, ~first)]
+    found = profiles.described(profiles.merged(reduce(DataFrame.unionAll, halves)))
+    exact = rows.agg(*[
+        F.struct(
+            F.lit(name).alias("of"), F.count_distinct(name).alias("exact"),
+            *[F.percentile(profiles.measure_of(rows, name), share).alias(at) for at, share in (
+                ("low", 0.5 - profiles.RANK_ERROR), ("high", 0.5 + profiles.RANK_ERROR))],
+        ).alias(name) for name in PROFILED
+    ]).select(F.inline(F.array(*PROFILED)))
+    near = F.abs(F.col("n_distinct") - F.col("exact")) <= profiles.DISTINCT_ERROR * F.col("exact")
+    within = F.coalesce(F.col("median").between(F.floor("low"), F.ceil("high")), F.col("filled") == 0)
+    return found.join(exact, F.col("column") == F.col("of")).select(
+        "column", "rows", "filled", "null_rate", F.col("exact").alias("n_distinct"),
+        near.alias("distinct_within"), within.alias("median_within"),
+    )
+
+
 # --- report and comparison ------------------------------------------------------------------------
 
 
@@ -348,6 +375,18 @@ def csv_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.drop("ts_ingestion")
 
 
+@_query
+def arrivals_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The extract landing in three deliveries, each taken as it comes; the month after the last."""
+    layers, landing = _fresh_layers(spark), fresh_folder(spark, "landing")
+    rows = registry(spark, sf_dir)
+    for turn in range(3):
+        write_extract(rows.filter(F.col("record_no") % 3 == turn), f"{landing}/delivery{turn}")
+        bronze = monthly.load_arrivals(spark, landing, layers, CURRENT, SMALL)
+    remove_folder(spark, landing)
+    return bronze.drop("ts_ingestion")
+
+
 @_query
 def csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = _fresh_layers(spark)
