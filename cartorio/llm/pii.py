@@ -15,10 +15,12 @@ result is replaced by it.
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
+from functools import cache
 from math import prod
 
 import numpy as np
@@ -35,6 +37,8 @@ SECRET_PART = 256
 DIGITS = "0123456789"
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 HEX = DIGITS + "abcdef"
+#: Signs that may stand in a secret; not those that end or quote one.
+SIGNS = "!#$%()*+-./:<=>?@[]^_`{|}~"
 FIRST_DAY, LAST_DAY = date(1900, 1, 1), date(2099, 12, 31)
 
 
@@ -96,6 +100,21 @@ def by_class(text: str, tweak: str, key: bytes, ignore_case: bool = False) -> st
     return "".join(new)
 
 
+@cache
+def alphabet_of(letter: str) -> str:
+    """The characters that one of a secret is permuted among: its own kind. White space, quotes and what
+    separates values are a kind each and stay."""
+    for kind in (DIGITS, LETTERS, LETTERS.upper(), SIGNS):
+        if letter in kind:
+            return kind
+    first = ord(letter) & ~0xFF
+    near = [chr(c) for c in range(first, first + 256) if not 0xD800 <= c < 0xE000]
+    kinds = ("islower", "isupper") if letter.islower() or letter.isupper() else ("isalpha", "isalpha")
+    own = next((kind for kind in kinds if getattr(letter, kind)()), None)
+    # Letters of one case of a block of 256 codepoints; of scripts without case, all its letters.
+    return "".join(c for c in near if getattr(c, own)() and (own != "isalpha" or not c.isupper() and not c.islower())) if own else letter
+
+
 def luhn_digit(digits: str) -> str:
     """The check digit that follows ``digits``."""
     doubled = sum(sum(divmod(2 * int(c), 10)) for c in digits[::-2])
@@ -212,24 +231,55 @@ def _date(text: str, key: bytes) -> str | None:
 def _email(text: str, key: bytes) -> str | None:
     """The last label of the host stays."""
     head, dot, tail = text.rpartition(".")
-    return by_class(head, "email", key, ignore_case=True) + dot + tail
+    return _in_parts(head, lambda part, tweak: by_class(part, f"email{tweak}", key, ignore_case=True), str.lower) + dot + tail
 
 
-def _secret(text: str, key: bytes) -> str | None:
+def _in_parts(text: str, renew: Callable[[str, str], str], plain: Callable[[str], str] = str) -> str:
     """Long values are permuted in parts, each under what stands before it, so the time is linear."""
-    hexed = all(c in HEX for c in text)
     parts, before, tweak = [], hashlib.sha256(), ""
     for at in range(0, len(text), SECRET_PART):
         part = text[at : at + SECRET_PART]
-        if hexed:
-            parts.append(permuted_text(part, [HEX] * len(part), f"hex{tweak}", key))
-        else:
-            parts.append(by_class(part, f"secret{tweak}", key))
-        before.update(part.encode())
+        parts.append(renew(part, tweak))
+        before.update(plain(part).encode())
         tweak = f" after {before.hexdigest()} "
     return "".join(parts)
 
 
+def _secret(text: str, key: bytes) -> str | None:
+    """A value without anything to permute has no pseudonym."""
+    if all(c in HEX for c in text):
+        return _in_parts(text, lambda part, tweak: permuted_text(part, [HEX] * len(part), f"hex{tweak}", key))
+
+    def renew(part: str, tweak: str) -> str:
+        kinds = [alphabet_of(c) for c in part]
+        form = "".join(kind[0] for kind in kinds)
+        return permuted_text(part, kinds, f"secret{tweak}{form}", key)
+
+    return _in_parts(text, renew) if any(len(alphabet_of(c)) > 1 for c in text) else None
+
+
+#: A word, or several joined: what follows "the secret:" in a sentence.
+_WORDS = re.compile(r"(?:[^\W\d_][^\W\d_A-Z]*|[A-Z]+)(?:[-'’/](?:[^\W\d_][^\W\d_A-Z]*|[A-Z]+))*[.!?)]*")
+
+
+def _plain_secret(text: str, key: bytes) -> str | None:
+    """After a colon and without quotes words stay: they are prose."""
+    return None if _WORDS.fullmatch(text) else _secret(text, key)
+
+
+def _ipv6(text: str, key: bytes) -> str | None:
+    """Any spelling of an address has the same pseudonym, in the shortest spelling."""
+    if sum(map(bool, text.split(":"))) < 2 or not any(c in DIGITS for c in text):
+        return None
+    try:
+        number = int(ipaddress.IPv6Address(text))
+    except ValueError:
+        return None
+    words = feistel([number >> 16 * place & 0xFFFF for place in range(8)], [1 << 16] * 8, "ipv6", key)
+    new = str(ipaddress.IPv6Address(sum(word << 16 * place for place, word in enumerate(words))))
+    return new.upper() if text.upper() == text else new
+
+
 def _key_id(text: str, key: bytes) -> str | None:
     return text[:4] + permuted_text(text[4:], [LETTERS.upper() + DIGITS] * (len(text) - 4), "key id", key)
 
@@ -253,7 +303,7 @@ class Kind:
             group = "value" if "value" in self.pattern.groupindex else 0
             for match in self.pattern.finditer(text):
                 begin, end = match.span(group)
-                if (new := self.renew(text[begin:end], key)) is not None:
+                if begin >= 0 and (new := self.renew(text[begin:end], key)) is not None:
                     yield begin, end, new
             return
         at = 0
@@ -274,15 +324,24 @@ def _kind(
     return Kind(name, re.compile(pattern, re.ASCII), renew, ends)
 
 
+_NAMED = r"(?i:\b(?:password|passwd|pwd|secret|token|api[_ -]?key)\b)[\"']?\s{0,3}"
+#: Anything but white space, quotes and separators; full stops and closing brackets only inside.
+_RUN = r"(?:[^\s\"',;&.)\]}]++|[.)\]}]++(?=[^\s\"',;&.)\]}]))++"
+
 #: In order: a place that one kind has taken is not looked at by those after it. Up to six characters of
 #: layout (separators, table bars, junk) may stand between the parts of a phone number.
 KINDS = (
-    _kind("email", r"(?<![\w.+%-])[A-Za-z0-9](?:[\w.+%-]{0,63})@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}\b", _email),
+    _kind("email", r"(?<![\w.+%-])[A-Za-z0-9][\w.+%-]*+@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}\b", _email),
     _kind("key id", r"\b(?:AKIA|ASIA)(?=[A-Z]*\d)[A-Z0-9]{16}\b", _key_id),
-    _kind("secret", r"(?i:\b(?:password|passwd|pwd|secret|token|api_?key)\b)[\"']?\s{0,3}[=:]\s{0,3}[\"']?(?P<value>(?=(?:[\w+/~-]|\.(?=\.*[\w+/~-])){6})(?:[\w+/~-]++|\.++(?=[\w+/~-]))++)", _secret),
+    # Between quotes a secret is what stands there; else it ends at white space or at what separates values.
+    _kind("secret", _NAMED + r"[=:]\s{0,3}(?P<quote>[\"'])(?P<value>(?:(?!(?P=quote))[^\n])++)(?P=quote)", _secret),
+    _kind("secret", _NAMED + rf"=\s{{0,3}}[\"']?(?P<value>{_RUN})", _secret),
+    _kind("secret", _NAMED + rf":\s{{0,3}}[\"']?(?P<value>{_RUN})", _plain_secret),
     _kind("iban", r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b", _iban, _iban_ends),
     _kind("date", r"(?<![\w./-])(?:\d{4}-\d\d-\d\d|\d{4}/\d\d/\d\d|\d\d?/\d\d?/\d{4}|\d\d?\.\d\d?\.\d{4})(?!(?![Tt]\d)[\w/-]|\.\d)", _date),
-    _kind("ipv4", r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)", _ipv4),
+    # Four numbers after "version" are none.
+    _kind("ipv4", r"\b(?i:v|ver|version|release)[ .:]{1,2}\d+(?:\.\d+)+|(?<![\w.])(?P<value>\d{1,3}(?:\.\d{1,3}){3})(?!\w|\.\d)", _ipv4),
+    _kind("ipv6", r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:]|\.\w)", _ipv6),
     _kind("ssn", r"(?<![\w-])\d{3}[- ]\d{2}[- ]\d{4}(?![\w-])", _ssn),
     _kind("card", r"(?<!\w)(?<!\d\.)\d{13,19}(?!\w)", _card),
     _kind("card", r"(?<![\w-])(?:\d{4}([ -])\d{4}\1\d{4}\1\d{1,7}|\d{4}([ -])\d{6}\2\d{5})(?![\w-])", _card),

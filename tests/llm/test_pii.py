@@ -142,6 +142,104 @@ def test_secrets_are_changed_to_their_end(value):
     assert pseudonymised(f'"token": "{value}"', KEY)[0] == f'"token": "{new[6:-5]}"'
 
 
+@pytest.mark.parametrize("text, value", [
+    ("password=p@ss!w0rd#long", "p@ss!w0rd#long"), ("secret = 'a$b$c$d$e$f'", "a$b$c$d$e$f"),
+    ("api key: sk_live_123456789", "sk_live_123456789"), ("API-KEY=q", "q"), ("apikey: 7", "7"),
+    ('password="hunter 2 hunter"', "hunter 2 hunter"), ("pwd: 'correct horse battery'", "correct horse battery"),
+    ("token=abc,next", "abc"), ("?token=a1b2&user=x", "a1b2"), ("Passwd: pässwörtlich1", "pässwörtlich1"),
+    ("password: 密码三四1", "密码三四1"), ('"secret": "it\'s mine"', "it's mine"), ("token: aBcDeF", "aBcDeF"),
+    ("secret=nothing", "nothing"), ("(password=x9!)", "x9!"),
+])
+def test_secrets_written_by_hand(text, value):
+    new, spans = pseudonymised(text, KEY)
+    assert [kind for kind, _, _ in spans] == ["secret"]
+    begin, end = spans[0][1:]
+    at = text.index(value)
+    assert (begin, end) == (at, at + len(value)) and new[:begin] + value + new[end:] == text
+    # No character of the value stays but blanks and quotes, other than by chance.
+    kept = sum(a == b for a, b in zip(value, new[begin:end]) if a not in " '")
+    assert new[begin:end] != value and kept <= max(1, len(value) // 3)
+    assert [a.isspace() for a in value] == [b.isspace() for b in new[begin:end]]
+    assert pseudonymised(new, KEY)[1] == spans  # still a secret of that extent
+
+
+@pytest.mark.parametrize("text", [
+    "the secret: nothing happened", "Password: required for login", "version 1.2.3.4", "Version: 10.20.30.40", "v1.2.3.4",
+    "ver. 1.2.3.4", "The secret: well-known by now.", "token: PENDING", "at 12:30:45", "std::vector<int>", "::1", "secret:",
+    "password: \"\"", "ratio 1:2:3", "no secret here; token ring", "10.20.30.400",
+])
+def test_words_and_numbers_that_are_none(text):
+    assert pseudonymised(text, KEY) == (text, [])
+
+
+@pytest.mark.parametrize("address", ["2001:db8::8a2e:370:7334", "2001:0DB8:0:0:0:8A2E:0370:7334", "fe80::1"])
+def test_ipv6(address):
+    kind, new = _one(f"from {address}, port 80")
+    assert kind == "ipv6" and new.lower() != address.lower() and _one(f"from {new} x")[0] == "ipv6"
+    if "370" in address:
+        assert new.lower() == _one("2001:db8:0:0:0:8a2e:370:7334")[1].lower()
+
+
+@pytest.mark.parametrize("address", [
+    "a" * 300 + "@example.com", "x@" + ".".join(f"part{i}" for i in range(20)) + ".example.museumofallthethingsofthisworld",
+])
+def test_addresses_of_any_length(address):
+    kind, new = _one(f"to {address} now")
+    assert kind == "email" and len(new) == len(address) and new.rpartition(".")[2] == address.rpartition(".")[2]
+    assert new[:250] != address[:250]
+
+
+def test_long_runs_take_linear_time():
+    import time
+
+    begin = time.perf_counter()
+    for text in ("a." * 200_000, "a@" * 100_000, "token=" * 50_000, "1.2.3." * 50_000, "a:" * 100_000, "token: " + ")" * 200_000):
+        pseudonymised(text, KEY)
+    assert time.perf_counter() - begin < 20
+
+
+def _secrets_by_hand(text):
+    """The values after a name and a sign, found without patterns."""
+    names = {"password", "passwd", "pwd", "secret", "token", "apikey", "api_key", "api-key", "api key"}
+    low, found = text.lower(), []
+    for at, sign in enumerate(text):
+        if sign not in "=:":
+            continue
+        head = low[:at].rstrip()
+        head = head[:-1] if head[-1:] in ("'", '"') else head
+        fits = [n for n in names if head.endswith(n) and not (head[: -len(n)][-1:].isalnum() or head[: -len(n)][-1:] == "_")]
+        rest = text[at + 1 :].lstrip()
+        if not fits or not rest:
+            continue
+        if rest[0] in "'\"":
+            end = rest.find(rest[0], 1)
+            value = rest[1:end] if end > 1 and "\n" not in rest[1:end] else ""
+        else:
+            value = ""
+            for c in rest:
+                if c.isspace() or c in "\"',;&":
+                    break
+                value += c
+            value = value.rstrip(".)]}")
+            if sign == ":" and value.strip("-/’").isalpha() and (value[1:].islower() or value.isupper() or len(value) == 1):
+                value = ""
+        if len(value) >= 3:
+            found.append(value)
+    return found
+
+
+def test_no_secret_of_the_documents_stays(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").collect()
+    after = {r.doc_id: r.text for r in corpus_queries.op3_pii_pseudonyms(spark, folder).collect()}
+    seen = 0
+    for row in docs:
+        for value in _secrets_by_hand(row.text or ""):
+            seen += 1
+            assert value not in after[row.doc_id], (row.doc_id, value)
+    assert seen >= 10
+
+
 def test_secrets_that_differ_late_stay_different():
     found = {pseudonymised(f"token={'a1' * 200}{end}", KEY)[0] for end in ("x1", "y1", "z1", "x2")}
     assert len(found) == 4
