@@ -1,14 +1,19 @@
-"""Similarity join on word shingles with MinHash bands in place of an LSH forest (operator 7).
+"""Similarity join on word shingles by a MinHash LSH forest (operator 7).
 
-Every set of shingles has one signature, cut into parts, the trees. Texts are candidates where they
-share the prefix of some tree. Its length is fixed by the settings: the longest at which pairs at the
-threshold would be found with the target probability. There are no tries, and no prefix is shortened by
-what was matched. Candidates are verified exactly, on their whole shingle sets.
+Every set of shingles has one signature, cut into trees of eight hashes each. In a tree the signatures
+are a prefix trie, held sorted: texts that share a prefix are neighbours, and how much any two share is
+the least that neighbours between them share. A match is sought from the longest prefix on, and each
+class shortens it only as far as its recall needs: to the depth at which a pair at the lowest similarity
+that a set of its size can have with another, and still reach the threshold, is found with the target
+probability. A set of five shingles can't be four fifths like another without being more than that, so
+it stops earlier than one of five hundred. What two classes share at the deeper of their depths makes
+them candidates; candidates are verified exactly, on their whole shingle sets.
 
 Texts with the same set form a class, represented once. A pair of classes is judged in the first tree
 in which it meets and nowhere else, so links are counted without listing pairs: tasks return how many
-links each class has and the edges of a spanning forest. Buckets of more than ``block`` classes are cut
-into blocks, and every pair of blocks is a piece of work of its own; nothing is capped.
+links each class has and the edges of a spanning forest. A subtree at the shortest depth any class needs
+is a bucket; one of more than ``block`` classes is cut into blocks, and every pair of blocks is a piece
+of work of its own; nothing is capped.
 
 Defined results: a null or empty text, or one without words, has no shingles, so it is alone and has no
 links; a text of fewer than five words is one shingle; repeated rows are copies of each other, linked;
@@ -18,7 +23,7 @@ key and the text are read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -50,19 +55,40 @@ class JoinSettings:
 
     @property
     def prefix(self) -> int:
-        """The longest prefix that reaches the target recall, or one hash if none does."""
+        """The longest prefix that reaches the target recall at the threshold, or one hash if none does."""
+        return self._depth(self.threshold)
+
+    def _depth(self, similarity: float) -> int:
         length = self.longest
-        while length > 1 and self.recall_at(length) < self.recall:
+        while length > 1 and 1 - (1 - similarity**length) ** self.trees < self.recall:
             length -= 1
         return length
 
+    def depths(self, most: int) -> np.ndarray:
+        """To what depth sets of 0, 1, ... shingles shorten their prefix; larger sets to ``prefix``."""
+        return np.array([self._depth(self.lowest_similarity(size)) for size in range(most)], np.int8)
+
+    def lowest_similarity(self, size: int) -> float:
+        """The least similarity at or over the threshold that a set of ``size`` has with another set."""
+        found = 1.0
+        for other in range(max(1, int(size * self.threshold)), int(size / self.threshold) + 2):
+            for common in range(int(self.threshold * (size + other) / (1 + self.threshold)), min(size, other) + 1):
+                similarity = common / (size + other - common)
+                if self.threshold <= similarity < found:
+                    found = similarity
+                    break
+        return found
+
 
 def _shingled(rows: DataFrame, settings: JoinSettings, sets: bool) -> DataFrame:
-    """``rows`` (any columns and ``__text``) with class and either signature or set instead of the text."""
+    """``rows`` (any columns and ``__text``) with class, size and either signature or set instead of the text.
+
+    With ``sets`` the column ``expected`` tells the class that is wanted of a row; others are left out.
+    """
     others = [name for name in rows.columns if name != "__text"]
-    hashes = settings.trees * settings.prefix
+    hashes = settings.trees * settings.longest
     out = T.StructType([
-        *rows.select(*others).schema, T.StructField("class", T.BinaryType()),
+        *rows.select(*others).schema, T.StructField("class", T.BinaryType()), T.StructField("size", T.IntegerType()),
         T.StructField("shingles" if sets else "signature", T.BinaryType()),
     ])
 
@@ -72,6 +98,7 @@ def _shingled(rows: DataFrame, settings: JoinSettings, sets: bool) -> DataFrame:
         return pa.array([None if none else whole[a:b] for a, b, none in parts], pa.binary())
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()  # rows alike lie side by side after the join; one set of a class is enough
         for group in groups(batches, "__text"):
             found, bounds = shingles_of(*bytes_of(group.column("__text")), settings.shingle)
             empty = np.diff(bounds) == 0
@@ -80,10 +107,19 @@ def _shingled(rows: DataFrame, settings: JoinSettings, sets: bool) -> DataFrame:
                 cut(found, bounds * 8, empty) if sets
                 else cut(signatures(found, bounds, hashes), rank * 4 * hashes, empty)
             )
-            yield pa.RecordBatch.from_arrays(
+            made = pa.RecordBatch.from_arrays(
                 [*(group.column(name) for name in others),
-                 cut(set_keys(found, bounds), rank * 16, empty), more], names=out.names,
+                 cut(set_keys(found, bounds), rank * 16, empty), pa.array(np.diff(bounds), pa.int32()), more],
+                names=out.names,
             )
+            if sets:
+                kept = []
+                for row, pair in enumerate(zip(made.column("class").to_pylist(), made.column("expected").to_pylist())):
+                    if pair[0] == pair[1] and pair[0] not in seen:
+                        seen.add(pair[0])
+                        kept.append(row)
+                made = made.take(pa.array(kept, pa.int64()))
+            yield made
 
     return rows.mapInArrow(task, out)
 
@@ -93,11 +129,11 @@ def _text(column: str) -> Column:
 
 
 def _buckets(signature: Column, settings: JoinSettings) -> Column:
-    """The bucket of each tree: a hash of the tree's number and its prefix."""
-    width = 4 * settings.prefix
+    """The subtree of each tree: a hash of the tree's number and the shortest prefix."""
+    whole, short = 4 * settings.longest, 4 * settings.prefix
     return F.transform(
         F.sequence(F.lit(0), F.lit(settings.trees - 1)),
-        lambda tree: F.xxhash64(tree, F.substring(signature, tree * F.lit(width) + 1, F.lit(width))),
+        lambda tree: F.xxhash64(tree, F.substring(signature, tree * F.lit(whole) + 1, F.lit(short))),
     )
 
 
@@ -141,16 +177,52 @@ class Piece:
     asked: np.ndarray
 
 
-def _judged_here(table: pa.Table) -> Iterator[Piece]:
-    """Pairs of classes of a piece that haven't met in an earlier tree.
+Shares = Callable[[np.ndarray, int], np.ndarray]
+
+
+def _same_keys(table: pa.Table) -> Shares:
+    """Classes share a tree where their keys in it (``trees``) are the same."""
+    met = table["trees"].combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
+    return lambda rows, tree: met[rows, tree][:, None] == met[rows, tree][None, :]
+
+
+class _Forest:
+    """The sorted tries of the classes of a table, a few at a time."""
+
+    def __init__(self, table: pa.Table, settings: JoinSettings, depths: np.ndarray) -> None:
+        whole = b"".join(table["signature"].to_pylist())
+        self.hashes = np.frombuffer(whole, ">u4").reshape(table.num_rows, settings.trees, settings.longest)
+        size = table["size"].to_numpy()
+        self.depth = np.where(size < len(depths), depths[np.minimum(size, len(depths) - 1)], settings.prefix)
+
+    def __call__(self, rows: np.ndarray, tree: int) -> np.ndarray:
+        """Which of the rows share a prefix as long as the deeper of both asks for."""
+        needed = np.maximum(self.depth[rows][:, None], self.depth[rows][None, :])
+        return self.shared(rows, tree) >= needed
+
+    def shared(self, rows: np.ndarray, tree: int) -> np.ndarray:
+        """How many hashes of a tree any two of the rows share from the first on."""
+        hashes = self.hashes[rows, tree]
+        order = np.lexsort(hashes.T[::-1])
+        apart = hashes[order[1:]] != hashes[order[:-1]]
+        next_ = np.where(apart.any(axis=1), apart.argmax(axis=1), hashes.shape[1])
+        out = np.full((len(rows), len(rows)), hashes.shape[1], np.int8)
+        for place in range(len(rows) - 1):
+            least = np.minimum.accumulate(next_[place:])
+            out[order[place], order[place + 1 :]] = least
+            out[order[place + 1 :], order[place]] = least
+        return out
+
+
+def _judged_here(table: pa.Table, shares: Shares | None = None) -> Iterator[Piece]:
+    """Pairs of classes of a piece that share its tree and haven't met in an earlier one.
 
     Two blocks are compared across, a block alone with itself.
     """
+    shares = shares or _same_keys(table)
     buckets = table["bucket"].to_numpy()
     block, tree = table["block"].to_numpy(), table["tree"].to_numpy()
     low, high = table["low"].to_numpy(), table["high"].to_numpy()
-    column = table["trees"].combine_chunks()
-    met = column.flatten().to_numpy().reshape(len(buckets), -1)
     keys = np.frombuffer(b"".join(table["class"].to_pylist()), "S16") if len(buckets) else np.zeros(0, "S16")
     keys = keys.view(np.uint64).reshape(-1, 2) if len(buckets) else np.zeros((0, 2), np.uint64)
     bounds = _piece_bounds(table)
@@ -165,31 +237,40 @@ def _judged_here(table: pa.Table) -> Iterator[Piece]:
         rows = rows[once]
         if len(rows) < 2:
             continue
-        asked = np.triu(np.ones((len(rows), len(rows)), bool), 1)
+        asked = np.triu(shares(rows, int(tree[begin])), 1)
         if low[begin] != high[begin]:
             asked &= block[rows][:, None] != block[rows][None, :]
         for earlier in range(int(tree[begin])):
-            asked &= met[rows, earlier][:, None] != met[rows, earlier][None, :]
+            if not asked.any():
+                break
+            asked &= ~shares(rows, earlier)
         if asked.any():
             yield Piece(rows, asked)
 
 
-def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+#: Sets of more shingles have the depth of the largest ones: what they can share lies close enough.
+_SIZES = 400
+
+
+def _wanted(batches: Iterator[pa.RecordBatch], settings: JoinSettings) -> Iterator[pa.RecordBatch]:
     """Of each piece the classes with a pair to judge; no shingles are needed to tell."""
-    names = ("bucket", "tree", "low", "high", "block", "class")
-    for table in _pieces(batches, 20_000):
-        kept = [piece.rows[(piece.asked.any(0) | piece.asked.any(1))] for piece in _judged_here(table)]
+    names, depths = ("bucket", "tree", "low", "high", "block", "class"), settings.depths(_SIZES)
+    for table in _pieces(batches, 10_000):
+        shares = _Forest(table, settings, depths)
+        kept = [piece.rows[(piece.asked.any(0) | piece.asked.any(1))] for piece in _judged_here(table, shares)]
         if kept:
             yield from table.select(names).take(pa.array(np.concatenate(kept))).combine_chunks().to_batches()
 
 
-def _links(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+def _links(batches: Iterator[pa.RecordBatch], settings: JoinSettings) -> Iterator[pa.RecordBatch]:
+    threshold, depths = settings.threshold, settings.depths(_SIZES)
     for table in _pieces(batches, 4_000):
+        shares = _Forest(table, settings, depths)
         sets = [np.frombuffer(found, np.uint64) for found in table["shingles"].to_pylist()]
         copies = table["copies"].to_numpy()
         names = table["class"].to_pylist()
         out: tuple[list[bytes], list[int], list[bytes | None]] = ([], [], [])
-        for piece in _judged_here(table):
+        for piece in _judged_here(table, shares):
             rows = piece.rows.tolist()
             pairs = _linked([sets[row] for row in rows], piece.asked, threshold)
             if not len(pairs):
@@ -276,12 +357,11 @@ def similar(
     classes = _written(
         signed.filter("class is not null").groupBy("class").agg(
             F.min("key").alias("class_key"), F.count("*").alias("copies"),
-            F.first("signature").alias("signature"),
-        ).withColumn("trees", _buckets(F.col("signature"), settings)).drop("signature"),
-        folder, "classes",
+            F.first("signature").alias("signature"), F.first("size").alias("size"),
+        ), folder, "classes",
     )
-    # Buckets of at least two classes, and the blocks of large ones.
-    entries = classes.select("class", F.posexplode("trees").alias("tree", "bucket"))
+    # Subtrees of at least two classes, and the blocks of large ones.
+    entries = classes.select("class", F.posexplode(_buckets(F.col("signature"), settings)).alias("tree", "bucket"))
     crowded = entries.groupBy("bucket").agg(F.count("*").alias("held")).filter("held > 1")
     blocks = F.ceil(F.col("held") / settings.block)
     block = F.pmod(F.xxhash64("class"), blocks).cast("int")
@@ -289,10 +369,10 @@ def similar(
         "class", "tree", "bucket", block.alias("block"),
         F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))).alias("other"),
     ).withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("other")
-    members = members.join(classes.select("class", "trees"), "class")
+    members = members.join(classes.select("class", "signature", "size"), "class")
     work = ("bucket", "low", "high")
     wanted = members.repartition(*work).sortWithinPartitions(*work).mapInArrow(
-        lambda batches: _wanted(batches),
+        lambda batches: _wanted(batches, settings),
         "bucket bigint, tree int, low int, high int, block int, class binary",
     )
     wanted = _written(wanted, folder, "wanted")
@@ -302,15 +382,14 @@ def similar(
         F.struct("bucket", "tree", "low", "high", "block")  # at most one for each tree and block
     ).alias("places")).join(classes, "class")
     texts = source.join(
-        asked.select(F.col("class_key"), F.col("class").alias("expected"), "copies", "trees", "places"),
+        asked.select(F.col("class_key"), F.col("class").alias("expected"), "copies", "signature", "places"),
         F.col("key").eqNullSafe(F.col("class_key")),
     )
-    sets = _shingled(texts.drop("key", "class_key"), settings, sets=True).filter("class = expected")
-    pieces = sets.select("class", "copies", "trees", "shingles", F.inline("places"))
-    threshold = settings.threshold
+    sets = _shingled(texts.drop("key", "class_key"), settings, sets=True)
+    pieces = sets.select("class", "copies", "signature", "size", "shingles", F.inline("places"))
     links = _written(
         pieces.repartition(*work).sortWithinPartitions(*work).mapInArrow(
-            lambda batches: _links(batches, threshold), "class binary, links bigint, other binary"
+            lambda batches: _links(batches, settings), "class binary, links bigint, other binary"
         ), folder, "links",
     )
     counted = links.filter("other is null").groupBy("class").agg(F.sum("links").alias("links"))

@@ -4,11 +4,12 @@ import random
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from cartorio.llm import corpus_queries, ngram_join
 from cartorio.llm.components import components
-from cartorio.llm.ngram_join import JoinSettings, deduplicated, similar
+from cartorio.llm.ngram_join import JoinSettings, _Forest, deduplicated, similar
 from cartorio.sources.scratch import fresh_folder
 
 
@@ -127,6 +128,57 @@ def test_prefix_is_the_longest_that_reaches_the_recall():
     assert JoinSettings(trees=1, recall=1.0).prefix == 1
 
 
+@pytest.mark.parametrize("size", [1, 2, 3, 4, 5, 9, 10, 17, 40, 99])
+def test_depths_follow_from_what_a_set_can_share(size):
+    settings = JoinSettings()
+    reach = [
+        common / (size + other - common) for other in range(1, 3 * size + 3) for common in range(min(size, other) + 1)
+    ]
+    least = min((x for x in reach if settings.threshold <= x < 1), default=1.0)
+    assert settings.lowest_similarity(size) == least
+    depth = settings.depths(size + 1)[size]
+    assert settings.prefix <= depth <= settings.longest
+    assert depth == settings.longest or 1 - (1 - least ** (depth + 1)) ** settings.trees < settings.recall
+    assert 1 - (1 - least**depth) ** settings.trees >= settings.recall
+
+
+def test_tries_share_what_signatures_share():
+    rng = np.random.default_rng(3)
+    settings = JoinSettings(trees=3, longest=5)
+    signatures = rng.integers(0, 3, (40, 3, 5)).astype(">u4")
+    signatures[7] = signatures[30]
+    table = pa.table({
+        "signature": pa.array([x.tobytes() for x in signatures], pa.binary()),
+        "size": pa.array(rng.integers(1, 60, 40), pa.int32()),
+    })
+    forest = _Forest(table, settings, settings.depths(30))
+    rows = rng.permutation(40)[:25]
+    for tree in range(3):
+        shared = forest.shared(rows, tree)
+        for i, a in enumerate(rows):
+            for j, b in enumerate(rows):
+                same = signatures[a, tree] == signatures[b, tree]
+                want = 5 if same.all() else int(same.argmin())
+                assert shared[i, j] == want
+                assert forest(rows, tree)[i, j] == (want >= max(forest.depth[a], forest.depth[b]))
+
+
+def test_a_row_many_thousand_times(spark):
+    """One row repeated, beside a text nearly like it: one set of each class goes to a piece."""
+    words = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(words))] * 6000 + [(2, " ".join(words + ["x"])), (3, "a b c d e f g")]
+    found = similar(spark.createDataFrame(rows, "doc_id bigint, text string")).distinct().collect()
+    assert {tuple(r) for r in found} == {(1, 1, 1, 6000), (2, 2, 1, 6000), (3, 3, 3, 0)}
+
+
+def test_a_crowded_subtree(spark):
+    """Many texts that differ little: each pair is judged once, whatever the blocks."""
+    words = [f"w{i}" for i in range(400)]
+    rows = [(n, " ".join([f"v{n}", *words])) for n in range(900)]
+    found = similar(spark.createDataFrame(rows, "doc_id bigint, text string"), JoinSettings(block=100)).collect()
+    assert {(r.group_key, r.n_links) for r in found} == {(0, 899)}
+
+
 def test_measured_recall(spark):
     """Pairs just over the threshold, found with at least the target probability."""
     rng = random.Random(11)
