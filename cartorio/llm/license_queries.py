@@ -40,12 +40,23 @@ def _sql() -> str:
             SELECT doc_id, number, shingle, unnest([place // stride - 1, place // stride]) AS win,
                    stride, n, license
             FROM hits JOIN sized USING (number)),
-        held AS (SELECT doc_id, license, number, win * stride AS begin_word,
+        held AS (SELECT doc_id, license, number, win * stride AS begin_word, stride,
                         count(DISTINCT shingle) / n AS containment
-                 FROM windows WHERE win >= 0 GROUP BY doc_id, license, number, win, stride, n)
-        SELECT doc_id, license, max(containment) AS containment,
-               arg_max(begin_word, (containment, -begin_word))::INTEGER AS begin_word
-        FROM held WHERE containment >= {settings.containment} GROUP BY doc_id, license"""
+                 FROM windows WHERE win >= 0 GROUP BY doc_id, license, number, win, stride, n),
+        best AS (SELECT doc_id, license, containment, begin_word::INTEGER AS begin_word, stride
+                 FROM held WHERE containment >= {settings.containment}
+                 QUALIFY row_number() OVER (PARTITION BY doc_id, license
+                                            ORDER BY containment DESC, begin_word, stride) = 1),
+        rivals AS (SELECT DISTINCT a.license AS one, b.license AS other
+                   FROM wanted a JOIN wanted b USING (shingle)
+                   JOIN sized p ON p.number = a.number JOIN sized q ON q.number = b.number
+                   WHERE a.license <> b.license GROUP BY a.license, b.license, a.number, b.number
+                   HAVING count(*) >= {settings.containment} * least(any_value(p.n), any_value(q.n)))
+        SELECT doc_id, license, containment, begin_word FROM best a
+        WHERE NOT EXISTS (
+            SELECT 1 FROM best b JOIN rivals ON one = a.license AND other = b.license
+            WHERE b.doc_id IS NOT DISTINCT FROM a.doc_id AND b.containment > a.containment
+                AND b.begin_word < a.begin_word + 2 * a.stride AND a.begin_word < b.begin_word + 2 * b.stride)"""
 
 
 SQL = {"op1_license_scan": _sql()}

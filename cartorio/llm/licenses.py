@@ -3,7 +3,9 @@
 Texts are read as overlapping windows, twice as long as a class of notices and half overlapping, so a
 notice lies whole in one of them. A window's MinHash bands retrieve notices; so many bands are taken that
 a window which holds the wanted part of a notice shares one with the target probability. What is
-retrieved is verified: the part of the notice's shingles that the window holds, exactly.
+retrieved is verified: the part of the notice's shingles that the window holds, exactly. Some notices
+differ by a word or two (one version of a license from the next); where two that share so much are found
+in one place, the one held in larger part is meant, and the other isn't reported.
 
 Windows without a shingle of any notice share no band with one and are not looked at; telling so is one
 pass over the shingles of a text. The notices are a fixed list, of bounded size, and travel to the text.
@@ -19,7 +21,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 # Notices by license, as they are commonly worded.
@@ -40,6 +42,33 @@ NOTICES = (
                 "Foundation; either version 2 of the License, or (at your option) any later version."),
     ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
     ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("Apache-2.0", "Unless required by applicable law or agreed to in writing, software distributed under the License is "
+                   "distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or "
+                   "implied."),
+    ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0-only"),
+    ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0-or-later"),
+    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-only"),
+    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-or-later"),
+    ("LGPL-3.0", "it under the terms of the GNU Lesser General Public License as published by the Free Software "
+                 "Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("AGPL-3.0", "it under the terms of the GNU Affero General Public License as published by the Free Software "
+                 "Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("BSD", "Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+            "following disclaimer."),
+    ("BSD", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
+            "following disclaimer in the documentation and/or other materials provided with the distribution."),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+                     "promote products derived from this software without specific prior written permission."),
+    ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
+    ("MPL-2.0", "If a copy of the MPL was not distributed with this file, You can obtain one at "
+                "https://mozilla.org/MPL/2.0/."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+                "License v. 2.0 which is available at https://www.eclipse.org/legal/epl-2.0."),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors "
+             "be held liable for any damages arising from the use of this software."),
     ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted "
             "provided that the following conditions are met"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
@@ -134,7 +163,7 @@ def license_notices(
     first window with that containment begins; a row for each document and license found."""
     spark = docs.sparkSession
     known = prepared(spark, notices, settings)
-    listed = known.select("stride", "shingles").collect()  # as many rows as notices
+    listed = known.select("license", "stride", "shingles").collect()  # as many rows as notices
     by_stride: dict[int, list[int]] = {}
     for row in listed:
         by_stride.setdefault(row.stride, []).extend(row.shingles)
@@ -172,12 +201,45 @@ def license_notices(
         known.select("stride", "license", "shingles", F.explode("bands").alias("band")), ["stride", "band"]
     )
     held = F.size(F.array_intersect("shingles", "held")) / F.size("shingles")
-    return (
-        retrieved.select("key", "license", held.alias("containment"), "begin")
+    best = F.max(F.struct("containment", (-F.col("begin")).alias("begin"), (-F.col("stride")).alias("stride")))
+    found = (
+        retrieved.select("key", "license", "stride", held.alias("containment"), "begin")
         .filter(F.col("containment") >= settings.containment)
-        .groupBy("key", "license").agg(F.max(F.struct("containment", (-F.col("begin")).alias("begin"))).alias("best"))
+        .groupBy("key", "license").agg(best.alias("best"))
         .select(
-            F.col("key").alias(key), "license", F.col("best.containment").alias("containment"),
-            (-F.col("best.begin")).alias("begin_word"),
+            "key", "license", F.col("best.containment").alias("containment"),
+            (-F.col("best.begin")).alias("begin"), (-F.col("best.stride")).alias("stride"),
         )
     )
+    # At most one row a license each: few, whatever the document.
+    together = found.groupBy("key").agg(
+        F.collect_list(F.struct("license", "containment", "begin", "stride")).alias("found")
+    )
+    rivals = rivals_of(listed, settings)
+    meant = F.filter("found", lambda one: ~F.exists("found", lambda other: _outdone(one, other, rivals)))
+    return together.select("key", F.explode(meant).alias("one")).select(
+        F.col("key").alias(key), "one.license", "one.containment", F.col("one.begin").alias("begin_word")
+    )
+
+
+def rivals_of(notices: Sequence[Row], settings: ScanSettings) -> list[str]:
+    """Pairs of licenses one of whose notices is held by a notice of the other, as text."""
+    pairs = set()
+    for one in notices:
+        for other in notices:
+            if one.license != other.license:
+                shared = len(set(one.shingles) & set(other.shingles))
+                if shared >= settings.containment * min(len(one.shingles), len(other.shingles)):
+                    pairs.add(f"{one.license}|{other.license}")
+    return sorted(pairs)
+
+
+def _outdone(one: Column, other: Column, rivals: Sequence[str]) -> Column:
+    """Another notice that shares most of this one is held in larger part at the same place."""
+    if not rivals:
+        return F.lit(False)
+    return (
+        F.concat_ws("|", one["license"], other["license"]).isin(list(rivals))
+        & (other["containment"] > one["containment"])
+        & (other["begin"] < one["begin"] + 2 * one["stride"]) & (one["begin"] < other["begin"] + 2 * other["stride"])
+    )

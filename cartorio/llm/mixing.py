@@ -19,6 +19,8 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -156,6 +158,7 @@ def mixed(
     folder = fresh_folder(spark, "mix")
     units.write.parquet(f"{folder}/units")  # the texts are read once
     units = spark.read.schema(units.schema).parquet(f"{folder}/units")
+    units = _told_apart(units, folder)
     source_targets(units, settings).write.parquet(f"{folder}/sources")
     sources = spark.read.parquet(f"{folder}/sources")
 
@@ -198,6 +201,36 @@ def mixed(
     )
 
 
+#: Rows alike in all that counts here, from which on they are told apart by a number.
+ALIKE = 64
+
+
+def _told_apart(units: DataFrame, folder: str) -> DataFrame:
+    """Units of which many alike have marks of their own, so that they are dealt among blocks like others.
+
+    They are counted and made again from their count, numbered: whichever of them has a number, what comes
+    out is the same rows.
+    """
+    names = units.columns
+    path = f"{folder}/alike"
+    units.groupBy(*names).agg(F.count("*").alias("held")).filter(F.col("held") > ALIKE).write.parquet(path)
+    alike = units.sparkSession.read.parquet(path)
+    if alike.isEmpty():
+        return units
+    many = alike.select(*(F.col(f"`{name}`").alias(f"__{place}") for place, name in enumerate(names)))
+    same = reduce(and_, (F.col(f"`{name}`").eqNullSafe(F.col(f"__{place}")) for place, name in enumerate(names)))
+    portions = F.sequence(F.lit(0), F.floor((F.col("held") - 1) / 1000))
+    made = (
+        alike.withColumn("portion", F.explode(portions)).repartition("mark", "portion")
+        .withColumn("number", F.explode(F.sequence(
+            1000 * F.col("portion"), F.least(1000 * F.col("portion") + 999, F.col("held") - 1)
+        ))).withColumn("mark", F.xxhash64("mark", "number")).select(*names)
+    )
+    path = f"{folder}/apart"
+    units.join(many, same, "left_anti").unionByName(made).write.parquet(path)
+    return units.sparkSession.read.schema(units.schema).parquet(path)
+
+
 def _rounded(rows: DataFrame, settings: MixSettings, turn: int, last: bool) -> DataFrame:
     seed = f"{settings.seed} {turn}"
 

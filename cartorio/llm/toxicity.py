@@ -17,7 +17,7 @@ rate (0 without labels); an empty table gives an empty table. Only the named col
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -147,33 +147,51 @@ def fit_chain(
         return Chain(np.zeros(0, np.uint64), tuple(links))
     texts = np.repeat(np.arange(n), [len(w) for w in words])
     every, which = np.unique(np.concatenate(words), return_inverse=True)
-    held = np.bincount(which, minlength=len(every))
-    selected = np.zeros(len(every), bool)
-    for mark in marks.T:
-        there = np.bincount(which, weights=mark[texts], minlength=len(every))
-        strength = association(held, there, int(mark.sum()), n)
-        strongest = np.argsort(-strength, kind="stable")[: settings.words]
-        selected[strongest[strength[strongest] >= settings.association]] = True
-    place = np.cumsum(selected) - 1
-    x = np.zeros((n, int(selected.sum())))
-    chosen = selected[which]
-    x[texts[chosen], place[which[chosen]]] = 1
 
+    def selected(rows: np.ndarray) -> np.ndarray:
+        """The words that some of the texts tell to be tied to a category."""
+        some = rows[texts]
+        held = np.bincount(which[some], minlength=len(every))
+        out = np.zeros(len(every), bool)
+        for mark in marks.T:
+            there = np.bincount(which[some], weights=mark[texts[some]], minlength=len(every))
+            strength = association(held, there, int(mark[rows].sum()), int(rows.sum()))
+            strongest = np.argsort(-strength, kind="stable")[: settings.words]
+            out[strongest[strength[strongest] >= settings.association]] = True
+        return out
+
+    def features_of(words: np.ndarray) -> np.ndarray:
+        x = np.zeros((n, int(words.sum())))
+        chosen = words[which]
+        x[texts[chosen], (np.cumsum(words) - 1)[which[chosen]]] = 1
+        return x
+
+    kept = selected(np.ones(n, bool))
+    x = features_of(kept)
     links, earlier = [], np.zeros((n, 0))
     for mark in marks.T:
         features = np.hstack([x, earlier])
         weights = fit_logistic(features, mark, settings.ridge)
         links.append(Link(weights[0], weights[1 : 1 + x.shape[1]], weights[1 + x.shape[1] :]))
-        unseen = np.zeros(n)
-        for fold in np.unique(folds):
-            out = folds == fold
-            if out.all():  # one fold only: nothing is left to learn from
-                unseen[out] = mark.mean()
-                continue
-            part = fit_logistic(features[~out], mark[~out], settings.ridge)
-            unseen[out] = _logistic(part[0] + features[out] @ part[1:])
-        earlier = np.hstack([earlier, unseen[:, None]])
-    return Chain(every[selected], tuple(links))
+        earlier = np.hstack([earlier, _unseen(mark, folds, selected, features_of, earlier, settings)[:, None]])
+    return Chain(every[kept], tuple(links))
+
+
+def _unseen(
+    mark: np.ndarray, folds: np.ndarray, selected: Callable[[np.ndarray], np.ndarray],
+    features_of: Callable[[np.ndarray], np.ndarray], earlier: np.ndarray, settings: ChainSettings,
+) -> np.ndarray:
+    """What is predicted of each fold by the others, which also choose the words it is predicted from."""
+    out = np.zeros(len(mark))
+    for fold in np.unique(folds):
+        held = folds == fold
+        if held.all():  # one fold only: nothing is left to learn from
+            out[held] = mark.mean()
+            continue
+        features = np.hstack([features_of(selected(~held)), earlier])
+        part = fit_logistic(features[~held], mark[~held], settings.ridge)
+        out[held] = _logistic(part[0] + features[held] @ part[1:])
+    return out
 
 
 def _lowered(text: str) -> Column:
@@ -209,7 +227,12 @@ def train(
             )
 
     schema = T.StructType([*known.schema, T.StructField("words", T.BinaryType())])
-    sample = rows.select("__key", *marks, "__text").mapInArrow(hashed, schema).dropDuplicates(["__key"])
+    # Of several documents of one key the one of smallest word set, by hash and then by itself.
+    first = F.min(F.struct(F.xxhash64("words").alias("hash"), "words", *marks)).alias("first")
+    sample = (
+        rows.select("__key", *marks, "__text").mapInArrow(hashed, schema)
+        .groupBy("__key").agg(first).select("__key", *(f"first.{m}" for m in marks), "first.words")
+    )
 
     def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = pa.Table.from_batches(

@@ -26,8 +26,11 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents that the chain of classifiers, trained on the labelled ones among them, lets pass."""
     settings, names = toxicity.ChainSettings(), corpus_queries.CATEGORIES
     chain = toxicity.train(docs, corpus_queries.labels(spark, sf_dir), names, settings)
-    found = toxicity.scored(docs, chain, names, into="__toxicity")
-    return found.filter(F.col("__toxicity.toxic") < settings.threshold).select(*_named(docs))
+    into, taken = "toxicity", {name.lower() for name in docs.columns}
+    while into in taken:
+        into += "_"
+    found = toxicity.scored(docs, chain, names, into=into)
+    return found.filter(F.col(f"{into}.toxic") < settings.threshold).select(*_named(docs))
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

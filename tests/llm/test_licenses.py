@@ -77,3 +77,27 @@ def test_same_as_sql(spark, folder):
     assert ours.columns == query.columns
     got = sorted(map(tuple, ours.collect()))
     assert got and got == sorted(query.fetchall())
+
+
+def test_each_notice_alone_is_its_own_license(spark):
+    """Also those that differ from another's by a word."""
+    words = " ".join(f"plain{i}" for i in range(90))
+    docs = spark.createDataFrame(
+        [(n, f"{words} {text} {words}") for n, (_, text) in enumerate(NOTICES)], "doc_id bigint, text string"
+    )
+    found = {}
+    for row in license_notices(docs).collect():
+        found.setdefault(row.doc_id, set()).add(row.license)
+    assert found == {n: {name} for n, (name, _) in enumerate(NOTICES)}
+
+
+def test_two_notices_nearly_alike_in_two_places(spark):
+    gpl = {name: text for name, text in NOTICES if name in ("GPL-2.0", "GPL-3.0") and text.startswith("it under")}
+    gap = " ".join(f"w{i}" for i in range(200))
+    docs = spark.createDataFrame([
+        (1, f"{gpl['GPL-2.0']} {gap} {gpl['GPL-3.0']}"), (2, f"{gpl['GPL-2.0']} {gpl['GPL-3.0']}"), (3, gpl["GPL-3.0"]),
+    ], "doc_id bigint, text string")
+    found = {}
+    for row in license_notices(docs).collect():
+        found.setdefault(row.doc_id, set()).add(row.license)
+    assert found == {1: {"GPL-2.0", "GPL-3.0"}, 2: {"GPL-2.0", "GPL-3.0"}, 3: {"GPL-3.0"}}

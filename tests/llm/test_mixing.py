@@ -5,7 +5,7 @@ import re
 import numpy as np
 import pytest
 
-from cartorio.llm import corpus_queries
+from cartorio.llm import corpus_queries, mixing
 from cartorio.llm.mixing import MixSettings, balance, mixed, repeated
 
 
@@ -113,3 +113,26 @@ def test_chances_hold_on_average():
     chances, sizes = np.full(60, 0.3), rng.integers(1, 30, 60)
     mean = np.mean([balance(chances, sizes, rng.random((60, 2)), True) for _ in range(400)], axis=0)
     assert abs(mean.mean() - 0.3) < 0.02 and abs(mean - 0.3).max() < 0.2
+
+
+def test_rows_alike_are_dealt_like_others(spark, monkeypatch):
+    """One row twenty thousand times, and rows of no id and no text: groups stay near the block's size."""
+    rows = [(1, "ja nein", "a")] * 20_000 + [(None, None, "b")] * 5_000 + [(i, "doch " * (i % 9), "b") for i in range(2, 3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    settings = mixing.MixSettings(block=1000)
+    seen = []
+    rounded = mixing._rounded
+
+    def watched(dealt, given, turn, last):
+        if turn == 0:
+            seen.extend(row["count"] for row in dealt.groupBy("group", "part").count().collect())
+        return rounded(dealt, given, turn, last)
+
+    monkeypatch.setattr(mixing, "_rounded", watched)
+    found = mixing.mixed(docs, settings)
+    assert found.count() == len(rows) and max(seen) < 1300
+    sums = found.groupBy("source_size", "target").sum("taken").collect()
+    assert all(abs(r["sum(taken)"] - r.target) <= 20 for r in sums)
+    again = mixing.mixed(docs.repartition(7), settings)
+    key = lambda df: sorted(map(str, df.collect()))
+    assert key(found) == key(again)

@@ -111,3 +111,13 @@ def test_odd_rows_pass_all_stages(spark):
             docs = spark.createDataFrame(made.collect(), docs.schema)
             assert docs.count() > 0
     assert made.count() == docs.count()
+
+
+def test_a_column_named_like_the_probabilities_stays(spark):
+    import corpus_pipeline as pipeline
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    wide = docs.withColumn("toxicity", F.lit("mine")).withColumn("Toxicity_", F.lit("too")).withColumn("__toxicity", F.lit("also"))
+    found = pipeline.without_toxic(spark, wide, "/root/testdata/sf0.001")
+    assert found.columns == wide.columns
+    assert found.select("toxicity", "Toxicity_", "__toxicity").distinct().collect() == [("mine", "too", "also")]

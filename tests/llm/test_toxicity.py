@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cartorio.llm import corpus_queries
+from cartorio.llm import corpus_queries, toxicity
 from cartorio.llm.toxicity import ChainSettings, fit_chain, fit_logistic, judged, scored, train, words_of
 
 
@@ -110,3 +110,36 @@ def test_query(spark):
     found = rows.filter("is_toxic").select("doc_id").collect()
     assert not any(labels.get(r.doc_id) == 0 for r in found)
     assert rows.select(F.max("p_toxic")).first()[0] <= 1
+
+
+def _auc(scores, marks):
+    order = np.argsort(np.argsort(scores))
+    positive = marks == 1
+    n, m = positive.sum(), (~positive).sum()
+    return (order[positive].sum() - n * (n - 1) / 2) / (n * m)
+
+
+def test_predictions_out_of_fold_know_nothing_of_the_fold(monkeypatch):
+    """Labels at random, a wide vocabulary, words chosen lightly: nothing can be told."""
+    rng = np.random.default_rng(7)
+    n = 600
+    words = [np.unique(rng.integers(0, 5000, 120).astype(np.uint64)) for _ in range(n)]
+    marks = rng.integers(0, 2, (n, 1)).astype(float)
+    seen = []
+    whole = toxicity._unseen
+    monkeypatch.setattr(toxicity, "_unseen", lambda *given: seen.append(whole(*given)) or seen[-1])
+    chain = toxicity.fit_chain(words, marks, rng.integers(0, 5, n), toxicity.ChainSettings(association=5))
+    assert len(chain.keys) > 20 and abs(_auc(seen[0], marks[:, 0]) - 0.5) < 0.08
+
+
+def test_a_fit_of_repeated_keys_is_repeatable(spark):
+    rows = [(i % 20, f"wort{i % 7} gut schlecht{i % 3} " * 5) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id bigint, toxic int")
+    chains = [
+        toxicity.train(docs.repartition(parts, *by), labels, ["toxic"])
+        for parts, by in ((1, []), (5, ["text"]), (3, []))
+    ]
+    for chain in chains[1:]:
+        assert (chain.keys == chains[0].keys).all()
+        assert (chain.links[0].words == chains[0].links[0].words).all() and chain.links[0].base == chains[0].links[0].base
