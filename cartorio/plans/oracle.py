@@ -347,6 +347,14 @@ SELECT dt_ingestion, file_type, file_name, copies FROM expected JOIN (
   SELECT strftime(o_orderdate, '%Y-%m') AS dt_ingestion,
          'Estabelecimentos' || (o_orderkey % 10) || '.zip' AS file_name, count(*) AS copies
   FROM orders GROUP BY 1, 2 HAVING count(*) > 1) USING (dt_ingestion, file_name)"""),
+    "snapshot_names": """
+SELECT o_orderkey % 5 IN (0, 1) AS is_snapshot, o_orderkey % 5 = 0 AS is_month, count(*) AS "count"
+FROM orders GROUP BY ALL""",
+    "month_guards": f"""
+SELECT month, month = '{CURRENT}' AS has_rows FROM (VALUES ('{PREVIOUS}'), ('{CURRENT}'), ('1999-01')) t(month)""",
+    "layout_misfits": """
+SELECT 'cities' AS folder, count(*) AS lines, 1.0::DOUBLE AS least_share FROM orders
+HAVING count(*) > 0""",
     "corrupt_rate": _with(REGISTRY, f"""
 SELECT *, CASE WHEN total > 0 THEN corrupt / total ELSE 0.0 END AS corrupt_rate,
        CASE WHEN total > 0 THEN corrupt / total ELSE 0.0 END <= 0.01 AS acceptable

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from cartorio.fixed import CSV_FORMAT, CURATED_INPUT, PARTITION, REQUIRED_FIELDS, Rules
 from cartorio.functions.columns import count_where, registry_id
+from cartorio.functions.predicates import names_month, names_snapshot
 from cartorio.operators import checks, ids, lookup, measures, partials, profiles, report, stability
 from cartorio.operators.conform import active_only, curated, stamped
 from cartorio.plans import monthly
@@ -19,6 +20,7 @@ from cartorio.plans.packing import pack_files
 from cartorio.plans.registry import (
     accented,
     cities,
+    delivery_names,
     opened_by,
     opening_months,
     registry,
@@ -26,8 +28,8 @@ from cartorio.plans.registry import (
     write_extract,
 )
 from cartorio.sources.archives import check_archives, expand_archives, require_expanded
-from cartorio.sources.delimited import read_lookup, stage_extract
-from cartorio.sources.layers import read_month, write_month
+from cartorio.sources.delimited import misfit_files, read_lookup, stage_extract
+from cartorio.sources.layers import has_month, read_month, write_month
 from cartorio.sources.layouts import GOLD, PARTIALS, RAW, RAW_NAMES, describe, pick
 from cartorio.sources.manifest import (
     doubled_files,
@@ -333,6 +335,41 @@ def manifest_doubled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubled_files(expected_files(landed), landed)
 
 
+@_query
+def snapshot_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many of the names that orders could have been delivered under name a snapshot, or a month."""
+    names = delivery_names(spark, sf_dir)
+    return names.groupBy(
+        names_snapshot("name").alias("is_snapshot"), names_month("name").alias("is_month")
+    ).agg(F.count(F.lit(1)).alias("count"))
+
+
+@_query
+def month_guards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which months of counts have rows: one written, one written without any, one never written."""
+    layers = _fresh_layers(spark)
+    counts = stamped(gold(spark, sf_dir), CURRENT, "ts_aggregation")
+    write_month(counts, layers.gold, CURRENT, GOLD, files="one")
+    write_month(counts.filter("count < 0"), layers.gold, PREVIOUS, GOLD, files="one")
+    found = [(month, has_month(spark, layers.gold, month, GOLD)) for month in (PREVIOUS, CURRENT, "1999-01")]
+    return spark.createDataFrame(found, "month string, has_rows boolean")
+
+
+@_query
+def layout_misfits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The extract beside files of the city lookup's layout: what doesn't fit, by folder."""
+    folder = fresh_folder(spark, "layouts")
+    write_extract(registry(spark, sf_dir), f"{folder}/extract")
+    lookup_rows = registry(spark, sf_dir).select("municipio", "uf")
+    lookup_rows.write.options(**CSV_FORMAT, quoteAll="true").csv(f"{folder}/cities")
+    staged = stage_extract(spark, folder, fresh_folder(spark, "staged"))
+    remove_folder(spark, folder)
+    misfits = misfit_files(staged, SMALL.max_misfit_share)
+    return misfits.groupBy(F.element_at(F.split("source_file", "/"), -2).alias("folder")).agg(
+        F.sum("lines").alias("lines"), F.min("misfit_share").alias("least_share")
+    )
+
+
 @contextmanager
 def _extract(
     spark: SparkSession, rows: DataFrame, write: Callable[[DataFrame, str], None] = write_extract

@@ -125,6 +125,19 @@ def opening_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Formats of the names, by order number modulo their count; the last two name no day.
+NAME_FORMATS = ("yyyy-MM", "yyyy-MM-dd", "yyyy/MM", "yyyy-'13'", "yyyy-'02-30'")
+
+
+def delivery_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``name``: the day or month of each order as a delivery might be called, rightly or not."""
+    turn = F.col("o_orderkey") % len(NAME_FORMATS)
+    name = F.lit(None)
+    for number, layout in enumerate(NAME_FORMATS):
+        name = F.when(turn == number, F.date_format("o_orderdate", layout)).otherwise(name)
+    return table(spark, sf_dir, "orders").select(name.alias("name"))
+
+
 def extract_lines(rows: DataFrame) -> DataFrame:
     """Registry rows as lines of the raw extract. One line in 499 each is cut short, too long, or
     holds text in a number field."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cartorio.fixed import STATUS_LABELS, TYPE_LABELS
 from cartorio.functions.columns import half_even, iso_timestamp, label_of, ratio, registry_id
-from cartorio.functions.predicates import check_month, check_snapshot
+from cartorio.functions.predicates import check_month, check_snapshot, names_month, names_snapshot
 
 
 def one(spark, column):
@@ -81,3 +81,20 @@ def test_run_month_is_a_month():
     for text in ("2026-1", "2026-01-15", "2026-00", "2026-13"):
         with pytest.raises(ValueError):
             check_month(text)
+
+
+@pytest.mark.parametrize("check, names", [(check_snapshot, names_snapshot), (check_month, names_month)])
+def test_names_of_a_whole_column(spark, check, names):
+    given = [
+        "2026-01", "2026-13", "2026-1", "2026-01-31", "2026-02-30", "2024-02-29", "2023-02-29", "2026/01", "", " 2026-01",
+        "2026-01\n", "0000-01", "9999-12", "20260101", "2026-01-1", "2026-00", "2026-01-00", "abcd-01", "2026-01-01T00", None,
+    ]
+
+    def accepted(text):
+        try:
+            return check(text) == text
+        except (ValueError, TypeError):
+            return False
+
+    rows = spark.createDataFrame([(text,) for text in given], "name string").select("name", names("name").alias("ok"))
+    assert {row.name: row.ok for row in rows.collect()} == {text: accepted(text) for text in given}
