@@ -49,7 +49,7 @@ CORRUPT_FIELD = "_corrupt_record"
 ID_LENGTH = 14
 # Weights of the check digits; the first digit uses all but the first of them.
 CHECK_WEIGHTS = (6, 5, 4, 3, 2, 9, 8, 7, 6, 5, 4, 3, 2)
-ID_PATTERN = "^[0-9A-Z]{12}[0-9]{2}$"
+ID_PATTERN = r"^[0-9A-Z]{12}[0-9]{2}\z"
 
 # --- Fixed values: columns read for the curated layer and columns it holds ------------------------
 CURATED_INPUT = (

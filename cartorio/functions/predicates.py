@@ -73,13 +73,13 @@ def names_snapshot(column: str) -> Column:
     """What ``check_snapshot`` accepts, of a whole column; null is no name."""
     text = F.col(column)
     day = F.when(F.length(text) == len("YYYY-MM"), F.concat(text, F.lit("-01"))).otherwise(text)
-    spelled = day.rlike(r"^(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2}$")
+    spelled = day.rlike(r"^(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2}\z")
     return F.coalesce(spelled & F.try_to_date(day, "yyyy-MM-dd").isNotNull(), F.lit(False))
 
 
 def names_month(column: str) -> Column:
     """What ``check_month`` accepts, of a whole column; null is no name."""
-    return F.coalesce(F.col(column).rlike(f"^(?:{MONTH_PATTERN})$"), F.lit(False))
+    return F.coalesce(F.col(column).rlike(rf"^(?:{MONTH_PATTERN})\z"), F.lit(False))
 
 
 def check_month(text: str) -> str:

@@ -38,13 +38,14 @@ def test_ids_of_every_kind(spark):
         "11222333000181": (False, False), "12ABC34501DE35": (False, False), "11222333000182": (False, True),
         "11222333000118": (False, True), "1122233300018": (True, False), "112223330001811": (True, False),
         "11222333000l81": (True, False), "112223330001AB": (True, False), "": (True, False), None: (None, None),
+        "11222333000181\n": (True, False),
     }
     rows = spark.createDataFrame([(k,) for k in kinds], "cnpj_completo string")
     found = {r.cnpj_completo: (r.m, r.w) for r in rows.select("*", malformed().alias("m"), wrong_digits().alias("w")).collect()}
     assert found == kinds
     row = id_digit_checks(rows).first()
-    assert (row.ids, row.null_ids, row.malformed_ids, row.wrong_digits) == (9, 1, 5, 2)
-    assert row.bad_rate == 7 / 9 and not row.digits_acceptable and id_digit_checks(rows, most=0.8).first().digits_acceptable
+    assert (row.ids, row.null_ids, row.malformed_ids, row.wrong_digits) == (10, 1, 6, 2)
+    assert row.bad_rate == 8 / 10 and not row.digits_acceptable and id_digit_checks(rows, most=0.85).first().digits_acceptable
     empty = id_digit_checks(rows.limit(0)).first()
     assert empty.ids == 0 and empty.bad_rate == 0.0 and empty.digits_acceptable
 
