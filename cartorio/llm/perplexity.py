@@ -15,7 +15,7 @@ the 64 bits of a run. Nulls before a text's first character mark its beginning.
 
 Defined results: a null or empty text has no perplexity; whole texts are scored; equal texts score alike;
 rows that are alike count and are scored each for itself; an empty table gives an empty table. A fold
-without texts leaves its model empty: the other fold's texts then have the perplexity of one character.
+without texts leaves its model empty: the other fold's texts then have a perplexity of 1 (log 0).
 """
 
 from __future__ import annotations
