@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import logging
+import re
 import uuid
+from urllib.parse import urlsplit
 
 from pyspark.sql import SparkSession
 
+log = logging.getLogger(__name__)
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``, or else a part of the warehouse.
@@ -15,7 +20,17 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if private(warehouse, spark.sparkContext.master):
+        log.warning("spark.checkpoint.dir isn't set and the warehouse %s may be the driver's own: "
+                    "executors elsewhere won't see intermediate tables", warehouse)
+    return f"{warehouse}/_scratch"
+
+
+def private(folder: str, master: str) -> bool:
+    """Whether a folder lies on the driver's own disk while tasks run on other machines."""
+    scheme = urlsplit(folder).scheme
+    return scheme in ("", "file") and re.fullmatch(r"local(\[.*\])?", master) is None
 
 
 def fresh_folder(spark: SparkSession, purpose: str) -> str:

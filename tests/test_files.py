@@ -33,7 +33,7 @@ from cartorio.sources.delimited import read_lookup, scan_extract, stage_extract
 from cartorio.sources.layers import EmptyMonth, has_month, read_month, stage_rows, write_month
 from cartorio.sources.layouts import BRONZE, GOLD, RAW_NAMES, SILVER
 from cartorio.sources.manifest import classified, expected_files, landed_files, missing_files
-from cartorio.sources.scratch import shared_folder
+from cartorio.sources.scratch import private, shared_folder
 from cartorio.sources.versions import MonthTaken
 from support import plan_of, sound
 
@@ -588,6 +588,15 @@ def test_without_a_shared_folder_the_warehouse_serves():
     assert shared_folder(Session()) == "hdfs://lake/warehouse/_scratch"
 
 
+@pytest.mark.parametrize("folder, master, alone", [
+    ("file:/tmp/warehouse", "local[4]", False), ("/tmp/warehouse", "local", False), ("/tmp/warehouse", "yarn", True),
+    ("file:///w", "spark://host:7077", True), ("hdfs://name/w", "yarn", False), ("s3a://lake/w", "k8s://host", False),
+    ("/w", "local-cluster[2,1,1024]", True),
+])
+def test_a_folder_of_the_driver_s_own_is_told(folder, master, alone):
+    assert private(folder, master) == alone
+
+
 def test_object_store_settings_reach_the_archive_reader():
     store = {"access.key": "a", "secret.key": "s", "endpoint": "http://store:9000", "path.style.access": "true"}
     assert s3_options(store) == {
