@@ -21,7 +21,7 @@ def shared_folder(spark: SparkSession) -> str:
     if folder:
         return folder.rstrip("/")
     warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-    if private(warehouse, spark.sparkContext.master):
+    if private(warehouse, spark.conf.get("spark.master", "local")):
         log.warning("spark.checkpoint.dir isn't set and the warehouse %s may be the driver's own: "
                     "executors elsewhere won't see intermediate tables", warehouse)
     return f"{warehouse}/_scratch"
