@@ -306,8 +306,9 @@ class Shelf:
         return out
 
 
-def log_perplexities(data: np.ndarray, offsets: np.ndarray, shelf: Shelf) -> np.ndarray:
-    """The mean of -log p over the characters of each text; not a number for texts without any."""
+def log_perplexities(data: np.ndarray, offsets: np.ndarray, shelf: Shelf) -> tuple[np.ndarray, np.ndarray]:
+    """The mean of -log p over the characters of each text (not a number for texts without any), and how
+    many those are."""
     symbols, bounds = symbols_of(data, offsets)
     out = np.full(len(bounds) - 1, np.nan)
     filled = np.flatnonzero(np.diff(bounds))
@@ -315,7 +316,7 @@ def log_perplexities(data: np.ndarray, offsets: np.ndarray, shelf: Shelf) -> np.
         grams, which = np.unique(runs_of(symbols, bounds), return_inverse=True)
         each = -shelf.log_probabilities(grams)[which]
         out[filled] = np.add.reduceat(each, bounds[filled]) / np.diff(bounds)[filled]
-    return out
+    return out, np.diff(bounds)
 
 
 Figures = Callable[[np.ndarray, np.ndarray], dict[str, np.ndarray]]
@@ -325,7 +326,7 @@ def scored(
     docs: DataFrame, keys: Sequence[str], write: Callable[[DataFrame, str], DataFrame], text: str = "text",
     figures: Figures | None = None, fields: str = "", block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """The key columns, ``log_perplexity`` and what ``figures`` makes of the bytes and bounds of a group
+    """The key columns, ``log_perplexity``, ``n_scored`` (characters) and what ``figures`` makes of the bytes and bounds of a group
     of texts (arrays for the columns ``fields``). Extra columns aren't read."""
     # Keys travel under names of their own, which no column of the plan can clash with.
     named = docs.select(*(F.col(key).alias(f"key{i}") for i, key in enumerate(keys)), F.col(text).alias("words"))
@@ -337,7 +338,7 @@ def scored(
     answers = asked.join(model, ["fold", "size", "gram"]).select("block", "fold", "size", "gram", "logp", "back")
     out = T.StructType([
         *named.select(*inner).schema, T.StructField("copies", T.LongType()),
-        T.StructField("log_perplexity", T.DoubleType()), *(T.StructType.fromDDL(fields) if fields else []),
+        T.StructField("log_perplexity", T.DoubleType()), T.StructField("n_scored", T.LongType()), *(T.StructType.fromDDL(fields) if fields else []),
     ])
 
     def judged(texts: pa.Table, shelves: pa.Table) -> pa.Table:
@@ -346,12 +347,12 @@ def scored(
         for group in groups(texts.select([*inner, "copies", "fold", "text"]).to_batches(), "text"):
             for fold, part in _folded(group):
                 data, offsets = bytes_of(part.column("text"))
-                found = log_perplexities(data, offsets, known[fold])
+                found, many = log_perplexities(data, offsets, known[fold])
                 more = figures(data, offsets) if figures else {}
                 made.append(pa.RecordBatch.from_arrays(
-                    [*(part.column(key) for key in (*inner, "copies")), pa.array(found, mask=np.isnan(found)),
+                    [*(part.column(key) for key in (*inner, "copies")), pa.array(found, mask=np.isnan(found)), pa.array(many),
                      *(pa.array(column) for column in more.values())],
-                    names=[*inner, "copies", "log_perplexity", *more],
+                    names=[*inner, "copies", "log_perplexity", "n_scored", *more],
                 ))
         return pa.Table.from_batches(made)
 
@@ -368,22 +369,18 @@ def rows_of(named: DataFrame) -> DataFrame:
     return named.select(F.pmod(F.xxhash64(text), F.lit(FOLDS)).cast("int").alias("fold"), text.alias("text"))
 
 
-# --- bands ----------------------------------------------------------------------------------------
+# --- quartiles ------------------------------------------------------------------------------------
 
 
-def bands(rows: DataFrame, value: str, by: str, reach: float, least: float, steps: int = 100) -> DataFrame:
-    """``by``, ``low`` and ``high``: how far a value may lie outside the quartiles of its group, ``reach``
-    times their distance (``least`` at least). Quartiles are read off counts of steps of 1/``steps``."""
+def quartiles(rows: DataFrame, value: str, by: str, steps: int = 1000) -> DataFrame:
+    """``by``, ``q1``, ``q2``, ``q3``: the quartiles of a value in each group, null a group like others.
+    They are read off counts of steps of 1/``steps``, so they are the same however the rows lie."""
     counts = rows.filter(F.col(value).isNotNull()).groupBy(by, F.floor(F.col(value) * steps).alias("step")).agg(
         F.count("*").alias("n")
     )
     up = Window.partitionBy(by).orderBy("step")
     counts = counts.withColumns({"upto": F.sum("n").over(up), "all": F.sum("n").over(Window.partitionBy(by))})
-    quartiles = counts.groupBy(by).agg(*(
-        F.min(F.when(4 * F.col("upto") >= quarter * F.col("all"), F.col("step"))).alias(name)
-        for quarter, name in ((1, "q1"), (3, "q3"))
+    return counts.groupBy(by).agg(*(
+        ((F.min(F.when(4 * F.col("upto") >= quarter * F.col("all"), F.col("step"))) + 0.5) / steps).alias(f"q{quarter}")
+        for quarter in (1, 2, 3)
     ))
-    room = reach * F.greatest((F.col("q3") - F.col("q1")) / steps, F.lit(least))
-    return quartiles.select(
-        by, (F.col("q1") / steps - room).alias("low"), ((F.col("q3") + 1) / steps + room).alias("high")
-    )

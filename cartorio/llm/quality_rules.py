@@ -1,8 +1,9 @@
 """Quality rules: plain figures of each text, and bands of perplexity by language (operator 13).
 
 A text fails at once if it is short or mostly made of words in runs that it repeats; of the others those
-are kept whose perplexity (``perplexity``) lies within the band of their language. A null language is a
-language of its own. A text with a null language, a null id or rows alike are judged like any other.
+are kept whose log perplexity (``perplexity``) departs from the median of their language no further up or
+down than the language's band. The shorter a text, the more its perplexity varies by chance, so a
+departure counts in full only for long ones. A null language is a language of its own. A text with a null language, a null id or rows alike are judged like any other.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartorio.llm.perplexity import BLOCK_BYTES, bands, scored
+from cartorio.llm.perplexity import BLOCK_BYTES, quartiles, scored
 from cartorio.llm.ragged import mixed, run_sums, slice_hashes
 from cartorio.sources.scratch import fresh_folder
 
@@ -24,13 +25,15 @@ FIGURES = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigi
 
 @dataclass(frozen=True)
 class QualitySettings:
-    """``reach``: quartile distances that a text may lie outside its language's quartiles; ``least``: the
-    smallest such distance, in units of log perplexity."""
+    """``reach``: quartile distances that a departure may lie outside its language's quartiles; ``least``:
+    the smallest such distance, in units of log perplexity; ``steady``: a text of so many characters counts
+    with the root of a half of its departure."""
 
     words: int = 20
     repeated_percent: int = 30
     reach: float = 3.0
-    least: float = 0.05
+    least: float = 0.01
+    steady: int = 1000
     block_bytes: int = BLOCK_BYTES
 
 
@@ -108,11 +111,20 @@ def judged(
         scored(named, ["key", "lang"], write, figures=figures, fields=FIGURES, block_bytes=settings.block_bytes)
         .withColumn("base_failed", failed), "scored",
     )
-    limits = write(
-        bands(found.filter("not base_failed"), "log_perplexity", "lang", settings.reach, settings.least), "bands"
-    ).withColumnRenamed("lang", "of")
-    within = F.col("log_perplexity").between(F.col("low"), F.col("high"))
-    return found.join(limits, F.col("lang").eqNullSafe(F.col("of")), "left").select(
+    plain = found.filter("not base_failed")
+    middle = write(quartiles(plain, "log_perplexity", "lang").select(F.col("lang").alias("of"), "q2"), "medians")
+    weight = F.sqrt(F.col("n_scored") / (F.col("n_scored") + settings.steady))
+    found = found.join(middle, F.col("lang").eqNullSafe(F.col("of")), "left").withColumn(
+        "departure", (F.col("log_perplexity") - F.col("q2")) * weight
+    ).drop("of", "q2")
+    spread = quartiles(found.filter("not base_failed"), "departure", "lang")
+    room = settings.reach * F.greatest(F.col("q3") - F.col("q1"), F.lit(settings.least))
+    bands = write(
+        spread.select(F.col("lang").alias("of"), (F.col("q1") - room).alias("low"), (F.col("q3") + room).alias("high")), "bands"
+    )
+    within = F.col("departure").between(F.col("low"), F.col("high"))
+    return found.join(bands, F.col("lang").eqNullSafe(F.col("of")), "left").select(
         F.col("key").alias(key), *(field.split()[0] for field in FIGURES.split(", ")), "base_failed",
-        (~F.col("base_failed") & F.coalesce(within, F.lit(False))).alias("kept"), "log_perplexity", "low", "high",
+        (~F.col("base_failed") & F.coalesce(within, F.lit(False))).alias("kept"),
+        "log_perplexity", "departure", "low", "high",
     )

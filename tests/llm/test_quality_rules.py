@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cartorio.llm.perplexity import ORDER, discounts_of, model_of, counts_of, rows_of
+from cartorio.llm.perplexity import ORDER, counts_of, discounts_of, model_of, quartiles, rows_of
 from cartorio.llm.quality_queries import op13_quality_rules
 from cartorio.llm.quality_rules import QualitySettings, figures, judged
 
@@ -170,6 +170,27 @@ def test_bands_by_language_and_kept(spark):
     assert not kept & {120, 121} and len(kept) >= 115
 
 
+def test_quartiles_of_any_group(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([None, rng.gauss(2, 0.3)])) for _ in range(4000)]
+    table = spark.createDataFrame(rows, "lang string, x double")
+    for row in quartiles(table.repartition(7), "x", "lang").collect():
+        values = sorted(x for lang, x in rows if lang == row.lang and x is not None)
+        for quarter, found in ((1, row.q1), (2, row.q2), (3, row.q3)):
+            assert found == pytest.approx(values[-(-quarter * len(values) // 4) - 1], abs=0.001)
+    assert sorted(map(str, quartiles(table, "x", "lang").collect())) == sorted(map(str, quartiles(table.repartition(3), "x", "lang").collect()))
+
+
+def test_poor_documents_go_and_good_ones_stay(spark):
+    """Of the labelled documents that pass the plain rules."""
+    folder = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "quality")
+    rows = op13_quality_rules(spark, folder).filter("not base_failed").join(labels, "doc_id")
+    found = {(r.quality, r.kept): r["count"] for r in rows.groupBy("quality", "kept").count().collect()}
+    assert found[1, False] <= 0.005 * (found[1, False] + found[1, True])
+    assert found[0, False] >= 0.2 * (found[0, False] + found[0, True])
+
+
 def test_many_rows_alike(spark, setting):
     texts = _texts()[:20]
     docs = _docs(spark, texts).unionAll(spark.createDataFrame([(7, "gleich " * 30, "de", "", "")] * 500, SCHEMA))
