@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartorio.llm.perplexity import BLOCK_BYTES, quartiles, scored
-from cartorio.llm.ragged import mixed, run_sums, slice_hashes
+from cartorio.llm.ragged import mixed, prefix_sums, run_sums, slice_hashes
 from cartorio.sources.scratch import fresh_folder
 
 SYMBOLS = b"#*$%&|<>"
@@ -67,10 +67,11 @@ def figures(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     inked = np.searchsorted(starts, line_ends) > np.searchsorted(starts, line_starts)
     inked &= line_ends > line_starts
     line_starts, line_ends, line_owner = line_starts[inked], line_ends[inked], line_owner[inked]
-    earlier, _ = _again(line_owner, slice_hashes(data, line_starts, line_ends))
+    sums = prefix_sums(data)
+    earlier, _ = _again(line_owner, slice_hashes(data, line_starts, line_ends, sums))
 
     # Words that lie in a run of so many words which the text holds again.
-    words = slice_hashes(data, starts, ends)
+    words = slice_hashes(data, starts, ends, sums)
     made = np.maximum(np.diff(bounds) - WINDOW + 1, 0)
     owner = np.repeat(np.arange(n), made)
     first = np.arange(len(owner)) - np.repeat(np.cumsum(made) - made, made) + bounds[owner]

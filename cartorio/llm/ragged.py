@@ -84,20 +84,36 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values
 
 
-def slice_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes of every slice; the same bytes hash alike in any batch and task."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
+def prefix_sums(data: np.ndarray) -> list[np.ndarray]:
+    """For each modulus the polynomial of the bytes before every place; serves any slices of the data."""
     powers = _powers_up_to(len(data) + 1)
     values = data.astype(np.uint64) + np.uint64(1)
-    out = np.zeros(len(starts), np.uint64)
+    out = []
     for which, (prime, _) in enumerate(_MODULI):
         modulus = np.uint64(prime)
         sums = np.zeros(len(data) + 1, np.uint64)
         for at in range(0, len(data), _STRETCH):
-            part = values[at : at + _STRETCH] * powers[2 * which][at : at + _STRETCH][: len(values) - at]
+            part = values[at : at + _STRETCH]
+            part = part * powers[2 * which][at : at + len(part)]
             sums[at + 1 : at + 1 + len(part)] = (sums[at] + np.cumsum(part)) % modulus
-        found = (sums[ends] + modulus - sums[starts]) % modulus * powers[2 * which + 1][starts] % modulus
+        out.append(sums)
+    return out
+
+
+def slice_hashes(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, sums: list[np.ndarray] | None = None
+) -> np.ndarray:
+    """A 64-bit hash of the bytes of every slice; the same bytes hash alike in any batch and task.
+
+    ``sums``: the data's ``prefix_sums``, if they are at hand.
+    """
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    powers = _powers_up_to(len(data) + 1)
+    out = np.zeros(len(starts), np.uint64)
+    for which, ((prime, _), held) in enumerate(zip(_MODULI, sums or prefix_sums(data))):
+        modulus = np.uint64(prime)
+        found = (held[ends] + modulus - held[starts]) % modulus * powers[2 * which + 1][starts] % modulus
         out = out << np.uint64(32) | found
     return mixed(out + (ends - starts).astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartorio.llm.pretokens import LETTER, codepoints
-from cartorio.llm.ragged import bytes_of, groups, slice_hashes
+from cartorio.llm.ragged import bytes_of, groups, prefix_sums, slice_hashes
 from cartorio.llm.sampling import hash_sample
 
 
@@ -88,11 +88,12 @@ def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     last = np.flatnonzero(letter[1:-1] & ~(letter[2:] & joined[1:])) + 1
     at = np.append(at, len(data))
     text = np.searchsorted(offsets, at[first], side="right") - 1
-    found = [(slice_hashes(data, at[first], at[last]), text)]
+    sums = prefix_sums(data)
+    found = [(slice_hashes(data, at[first], at[last], sums), text)]
     for letters in STEMS:
         longer = last - first > letters
         begin = first[longer]
-        found.append((slice_hashes(data, at[begin], at[begin + letters]), text[longer]))
+        found.append((slice_hashes(data, at[begin], at[begin + letters], sums), text[longer]))
     hashes, owner = (np.concatenate(part) for part in zip(*found))
     return hashes, owner
 
