@@ -44,7 +44,7 @@ from cartorio.sources.manifest import (
     missing_files,
 )
 from cartorio.sources.scratch import fresh_folder, remove_folder
-from cartorio.sources.versions import Record, current, expire, months, pending
+from cartorio.sources.versions import Record, current, expire, history, months, pending
 
 log = logging.getLogger(__name__)
 
@@ -482,8 +482,12 @@ def expire_versions(spark: SparkSession, layers: Layers, month: str, keep: int =
     gone = []
     for layer in SCHEMAS:
         gone += expire(spark, layers.of(layer), month, keep)
-    for folder in [folder for folder in gone if folder.startswith(f"{layers.bronze}/")]:
-        remove_folder(spark, f"{month_path(layers.quarantine, month)}/{folder.rsplit('/', 1)[1]}")
+    # A version laid out anew keeps the run, and with it the quarantine, of the one it was made from.
+    left = {f"run={record.run}" for record in history(spark, layers.bronze, month)}
+    for folder in gone:
+        name = folder.rsplit("/", 1)[1]
+        if folder.startswith(f"{layers.bronze}/") and name not in left:
+            remove_folder(spark, f"{month_path(layers.quarantine, month)}/{name}")
     return gone
 
 

@@ -134,6 +134,23 @@ def test_expiring_a_month_keeps_what_it_holds(spark, tmp_path):
     monthly.require_fresh(spark, layers, MONTH)
 
 
+def test_expiring_keeps_the_quarantine_of_what_was_laid_out_anew(spark, tmp_path):
+    from cartorio.fixed import RAW, Rules
+    from support import sound
+
+    path, rules = tmp_path / "a.csv", Rules(max_corrupt_rate=0.5, min_bronze_rows=1, max_null_rate=0.9)
+    lines = [";".join(f'"{sound(n).get(name, "")}"' for name in RAW.fieldNames()) for n in range(5)]
+    layers = monthly.Layers(str(tmp_path / "lake"))
+    for damaged in ('"first"', '"second"'):
+        path.write_text("\n".join([*lines, damaged]))
+        monthly.load_bronze(spark, str(path), layers, MONTH, rules)
+    monthly.cluster_bronze(spark, layers, MONTH)
+    assert len(monthly.expire_versions(spark, layers, MONTH, keep=1)) == 2
+    assert monthly.read_bronze(spark, layers, MONTH).count() == 5
+    assert [r.raw_line for r in monthly.read_quarantine(spark, layers, MONTH).collect()] == ['"second"']
+    assert len(list(Path(layers.quarantine, f"dt_ingestion={MONTH}").iterdir())) == 1
+
+
 def test_a_reader_never_finds_the_month_missing(spark, root):
     """A process of its own lists the log and opens what it names, while versions are written."""
     _write(spark, root, 0)
