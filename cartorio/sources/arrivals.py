@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from cartorio.fixed import CORRUPT_FIELD, CSV_FORMAT
 from cartorio.sources.layouts import RAW, scan_schema
+from cartorio.sources.settings import unsorted_folders
 
 STAGED = T.StructType([
     *scan_schema(), T.StructField("source_file", T.StringType()), T.StructField("ts_ingestion", T.TimestampType()),
@@ -35,12 +36,13 @@ def take_arrivals(spark: SparkSession, landing: str, folder: str, files_a_look:
         .withColumns({"source_file": F.col("_metadata.file_path"), "ts_ingestion": F.current_timestamp()})
         .withColumn("damaged", F.col(CORRUPT_FIELD).isNotNull())
     )
-    query = (
-        rows.writeStream.format("parquet").partitionBy("damaged").outputMode("append")
-        .option("checkpointLocation", f"{folder}/checkpoint").option("path", f"{folder}/rows")
-        .trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
+    with unsorted_folders(spark, 2):
+        query = (
+            rows.writeStream.format("parquet").partitionBy("damaged").outputMode("append")
+            .option("checkpointLocation", f"{folder}/checkpoint").option("path", f"{folder}/rows")
+            .trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
     return sum(int(progress["numInputRows"]) for progress in query.recentProgress)
 
 

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +10,7 @@ from pyspark.sql import types as T
 
 from cartorio.fixed import PARTITION
 from cartorio.sources.layouts import pick
+from cartorio.sources.settings import setting
 from cartorio.sources.versions import Record, current, month_path, pending
 
 __all__ = ["EmptyMonth", "has_month", "month_path", "read_month", "require_rows", "stage_rows", "write_month"]
@@ -66,21 +66,6 @@ def require_rows(df: DataFrame, what: str) -> None:
         raise EmptyMonth(f"no rows: {what}")
 
 
-@contextmanager
-def _file_size(spark: SparkSession, target: int) -> Iterator[None]:
-    """While inside, rebalanced partitions aim at so many bytes."""
-    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, str(target))
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
-
-
 def stage_rows(
     df: DataFrame, folder: str, schema: T.StructType, file_bytes: int, files: str = "rebalanced"
 ) -> None:
@@ -96,7 +81,8 @@ def stage_rows(
         rows = rows.hint("rebalance")
     elif files == "one":
         rows = rows.repartition(1)
-    with _file_size(df.sparkSession, file_bytes):
+    # Rebalanced partitions aim at so many bytes.
+    with setting(df.sparkSession, "spark.sql.adaptive.advisoryPartitionSizeInBytes", str(file_bytes)):
         rows.write.option("compression", "snappy").parquet(folder)
 
 

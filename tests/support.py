@@ -12,6 +12,16 @@ def plan_of(df: DataFrame, mode: str = "formatted") -> str:
     return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)
 
 
+def task_memory(spark: SparkSession) -> dict[int, int]:
+    """Bytes that the tasks of each stage so far took for sorts, hash tables and the like."""
+    context, jvm = spark._jsc.sc(), spark._jvm
+    context.listenerBus().waitUntilEmpty(30_000)
+    none = jvm.java.util.ArrayList()
+    quantiles = spark.sparkContext._gateway.new_array(jvm.double, 0)
+    stages = context.statusStore().stageList(none, False, False, quantiles, none)
+    return {(s := stages.apply(at)).stageId(): s.peakExecutionMemory() for at in range(stages.size())}
+
+
 def raw_rows(spark: SparkSession, *rows: dict) -> DataFrame:
     """Raw rows; fields not given are null."""
     return spark.createDataFrame(

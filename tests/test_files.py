@@ -29,13 +29,14 @@ from cartorio.sources.archives import (
     require_expanded,
     s3_options,
 )
+from cartorio.sources.arrivals import arrived, take_arrivals
 from cartorio.sources.delimited import read_lookup, scan_extract, stage_extract
 from cartorio.sources.layers import EmptyMonth, has_month, read_month, stage_rows, write_month
 from cartorio.sources.layouts import BRONZE, GOLD, RAW_NAMES, SILVER
 from cartorio.sources.manifest import classified, expected_files, landed_files, missing_files
 from cartorio.sources.scratch import private, shared_folder
 from cartorio.sources.versions import MonthTaken
-from support import plan_of, sound
+from support import plan_of, sound, task_memory
 
 SHORT = T.StructType().add("id", "string").add("st", T.IntegerType()).add("nm", "string")
 LINES = [
@@ -48,6 +49,25 @@ LINES = [
 ]
 
 
+@pytest.mark.parametrize("way", ["once", "lines broken", "as they arrive"])
+def test_short_lines_are_staged_without_a_sort(spark, tmp_path, way):
+    # A line of a few bytes is a row of thirty empty fields: sorted by folder, all of a task's rows lay in memory.
+    # (A sort of these took 27 MB.)
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "short.csv").write_bytes(b"1;2\n" * 60_000 + b";".join([b"1"] * 30) + b"\n")
+    known = set(task_memory(spark))
+    if way == "as they arrive":
+        take_arrivals(spark, str(landing), str(tmp_path / "staged"))
+        staged = arrived(spark, str(tmp_path / "staged"))
+    else:
+        staged = stage_extract(spark, str(landing), str(tmp_path / "staged"), multiline=way == "lines broken")
+    new = [taken for stage, taken in task_memory(spark).items() if stage not in known]
+    assert new and max(new) < 8 << 20
+    assert {r.damaged: r["count"] for r in staged.groupBy("damaged").count().collect()} == {True: 60_000, False: 1}
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
 @pytest.fixture
 def short_csv(tmp_path):
     path = tmp_path / "short.csv"
