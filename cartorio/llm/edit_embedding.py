@@ -90,6 +90,15 @@ def codes_of(points: np.ndarray) -> np.ndarray:
     return (mixed(points.astype(np.uint64) + np.uint64(0x51ED270B)) >> np.uint64(58)).astype(np.uint8)
 
 
+@cache
+def _all_codes() -> np.ndarray:
+    return codes_of(np.arange(0x110000))
+
+
+def codes_in(text: str) -> np.ndarray:
+    return _all_codes().take(np.frombuffer(text.encode("utf-32-le"), np.uint32))
+
+
 def walk(codes: np.ndarray, lengths: np.ndarray) -> list[str]:
     """Fingerprints of texts given as codes, each ended by ``END``; ``lengths`` without that."""
     n = len(lengths)
@@ -211,14 +220,16 @@ def flat_codes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     """Of all texts the code of every codepoint, where each text's begin, and every first byte."""
     at = np.flatnonzero((data & 0xC0) != 0x80)
     points = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
-    return codes_of(points), np.searchsorted(at, offsets), np.append(at, len(data))
+    return _all_codes().take(points), np.searchsorted(at, offsets), np.append(at, len(data))
 
 
 def ended(codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The runs of codes with an end after each."""
     out = np.full(int(lengths.sum()) + len(lengths), END, np.uint8)
-    place = np.arange(int(lengths.sum())) + np.repeat(np.arange(len(lengths)), lengths)
-    out[place] = codes[np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))]
+    at = 0
+    for start, length in zip(starts.tolist(), lengths.tolist()):  # a place for every code would take eight times as much
+        out[at : at + length] = codes[start : start + length]
+        at += length + 1
     return out
 
 

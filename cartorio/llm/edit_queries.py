@@ -9,11 +9,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from cartorio.llm.edit_embedding import bands, class_of, ended, flat_codes, likeness, linked, walk, written
+from cartorio.llm.edit_embedding import END, bands, class_of, codes_in, likeness, linked, walk, written
 from cartorio.llm.in_order import descending_runs, successors
 from cartorio.sources.scratch import fresh_folder
+from cartorio.sources.settings import small_batches
 
 GROUP_BYTES = 4 << 20
+_ENDED = np.array([END], np.uint8)
 #: From this likeness on documents are linked.
 LEAST = 0.8
 
@@ -30,7 +32,8 @@ def op4_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     other documents like this one."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = fresh_folder(spark, "edits")
-    made = written(with_edits(docs), folder, "made")
+    with small_batches(spark, GROUP_BYTES):
+        made = written(with_edits(docs), folder, "made")
     found = linked(made, LEAST, folder, "doc_id")
     return made.withColumn("class", class_of("fingerprint")).join(found, "class").select(
         *made.columns, "group_key", "n_links"
@@ -44,31 +47,23 @@ def with_edits(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for keys, texts in successors(batches, GROUP_BYTES):
         n = len(keys)
-        whole = b"".join(texts)
-        ends = np.concatenate([[0], np.cumsum([len(text) for text in texts])])
-        codes, starts, at = flat_codes(np.frombuffer(whole, np.uint8), ends)
-        lengths = np.diff(starts)
+        read = [text.decode() for text in texts]
+        # Codes of one text at a time: places and codepoints of all would take many times the texts' bytes.
+        codes = [codes_in(text) for text in read]
+        lengths = np.array([len(text) for text in read])
         given = lengths[:-1] // 3
         taken = np.minimum(given, lengths[1:])
         kept = lengths[:-1] - given
-        # Of the edited texts in turn what is kept and what is taken, as codepoints of all texts.
-        begins = np.column_stack([starts[:-2], starts[1:-1]]).ravel()
-        parts = np.column_stack([kept, taken]).ravel()
-        stops = at[begins + parts]
-        firsts = at[begins]
+        cuts = list(zip(range(n), kept.tolist(), taken.tolist()))
         digests = [
-            hashlib.sha256(whole[a:b] + whole[c:d]).hexdigest()
-            for a, b, c, d in zip(*(x.tolist() for x in (firsts[::2], stops[::2], firsts[1::2], stops[1::2])))
+            hashlib.sha256(read[at][:a].encode() + read[at + 1][:b].encode()).hexdigest() for at, a, b in cuts
         ]
-        joined = codes[
-            np.repeat(begins - (np.cumsum(parts) - parts), parts) + np.arange(int(parts.sum()))
-        ]
-        edited = kept + taken
         everything = np.concatenate([
-            ended(codes, starts[:-1], lengths),
-            ended(joined, np.cumsum(edited) - edited, edited),
+            *(part for own in codes for part in (own, _ENDED)),
+            *(part for at, a, b in cuts for part in (codes[at][:a], codes[at + 1][:b], _ENDED)),
         ])
-        found = walk(everything, np.concatenate([lengths, edited]))
+        del texts, read, codes
+        found = walk(everything, np.concatenate([lengths, kept + taken]))
         own, other = found[:n], found[n + 1 :]
         yield pa.RecordBatch.from_arrays(
             [pa.array(keys, pa.int64()), pa.array(lengths[:-1], pa.int64()), pa.array(digests, pa.string()),

@@ -29,3 +29,9 @@ def unsorted_folders(spark: SparkSession, folders: int):
     that sort when as many files are open as the setting says.
     """
     return setting(spark, "spark.sql.maxConcurrentOutputFileWriters", str(folders + 1))
+
+
+def small_batches(spark: SparkSession, size: int):
+    """While inside, Python gets rows in batches of about so many bytes: one holds 10,000 rows or 64 MB
+    else, once in Spark and several times over in the task."""
+    return setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(size))
