@@ -154,6 +154,26 @@ def schema_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
 PROFILED = ("cnpj_basico", "nome_fantasia", "situacao_cadastral", "municipio", "cep", "telefone_2", "fax")
 
 
+def exact_counts(rows: DataFrame) -> DataFrame:
+    """Of each column its distinct values (``exact``), and between what the median may lie (``low``, ``high``).
+
+    Two aggregates: beside distinct counts, percentiles would be kept for every single value and sorted.
+    """
+    distinct = rows.agg(*[
+        F.struct(F.lit(name).alias("of"), F.count_distinct(name).alias("exact")).alias(name) for name in rows.columns
+    ])
+    shares = [0.5 - profiles.RANK_ERROR, 0.5 + profiles.RANK_ERROR]
+    spans = rows.agg(*[
+        F.struct(
+            F.lit(name).alias("of"), F.percentile(profiles.measure_of(rows, name), F.array(*map(F.lit, shares))).alias("span")
+        ).alias(name) for name in rows.columns
+    ])
+    distinct, spans = (found.select(F.inline(F.array(*rows.columns))) for found in (distinct, spans))
+    return distinct.join(spans, "of").select(
+        "of", "exact", F.col("span")[0].alias("low"), F.col("span")[1].alias("high")
+    )
+
+
 @_query
 def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Profiles of two halves of the registry merged; whether their estimates keep to the stated errors is
@@ -162,13 +182,7 @@ def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = F.col("cnpj_basico") < "00030000"
     halves = [profiles.column_profile(rows.filter(half)) for half in (first, ~first)]
     found = profiles.described(profiles.merged(reduce(DataFrame.unionAll, halves)))
-    exact = rows.agg(*[
-        F.struct(
-            F.lit(name).alias("of"), F.count_distinct(name).alias("exact"),
-            *[F.percentile(profiles.measure_of(rows, name), share).alias(at) for at, share in (
-                ("low", 0.5 - profiles.RANK_ERROR), ("high", 0.5 + profiles.RANK_ERROR))],
-        ).alias(name) for name in PROFILED
-    ]).select(F.inline(F.array(*PROFILED)))
+    exact = exact_counts(rows)
     near = F.abs(F.col("n_distinct") - F.col("exact")) <= profiles.DISTINCT_ERROR * F.col("exact")
     within = F.coalesce(F.col("median").between(F.floor("low"), F.ceil("high")), F.col("filled") == 0)
     return found.join(exact, F.col("column") == F.col("of")).select(

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from cartorio.operators.profiles import DISTINCT_ERROR, RANK_ERROR, column_profile, described, merged
 from cartorio.plans import monthly
-from support import raw_rows, sound
+from cartorio.plans.queries import column_profile as profile_query, exact_counts
+from support import plan_of, raw_rows, sound
 
 
 def _rows(spark, n=60_000):
@@ -69,3 +72,13 @@ def test_months_together(spark, tmp_path):
     both = {r.column: r for r in monthly.profiles(spark, layers, ["2026-01", "2026-02"]).collect()}
     assert (both["cnpj_basico"].rows, both["cnpj_basico"].n_distinct) == (60, 50)
     assert both["fax"].null_rate == 1.0 and both["municipio"].n_distinct == 1
+
+
+def test_exact_percentiles_are_not_kept_for_every_value(spark):
+    # Before, every distinct value of a column had percentiles of its own, and all rows were sorted by it.
+    plan = plan_of(profile_query(spark, "/root/testdata/sf0.001"))
+    kept = re.findall(r"(?:ObjectHash|Sort)Aggregate\n(?:.+\n)*?Keys.*?: \[(.*)\]\n(?:.*percentile.*)", plan)
+    assert kept and not any(kept)
+    found = {r["of"]: r for r in exact_counts(_rows(spark, 600)).collect()}
+    assert {name: r.exact for name, r in found.items()} == {"every": 600, "few": 17, "text": 100, "none": 0, "hot": 201}
+    assert (found["none"].low, found["hot"].low) == (None, 7.0) and found["every"].low == pytest.approx(0.4867 * 599)
