@@ -159,18 +159,21 @@ def exact_counts(rows: DataFrame) -> DataFrame:
 
     Two aggregates: beside distinct counts, percentiles would be kept for every single value and sorted.
     """
-    distinct = rows.agg(*[
-        F.struct(F.lit(name).alias("of"), F.count_distinct(name).alias("exact")).alias(name) for name in rows.columns
-    ])
+    # A value is a row of its own column: rows of all columns, one filled, would take several times the memory.
+    cells = rows.select(F.inline(F.array(*[
+        F.struct(F.lit(at).alias("at"), F.col(name).cast("string").alias("value")) for at, name in enumerate(rows.columns)
+    ])))
+    distinct = cells.filter("value is not null").distinct().groupBy("at").agg(F.count(F.lit(1)).alias("exact"))
     shares = [0.5 - profiles.RANK_ERROR, 0.5 + profiles.RANK_ERROR]
     spans = rows.agg(*[
         F.struct(
-            F.lit(name).alias("of"), F.percentile(profiles.measure_of(rows, name), F.array(*map(F.lit, shares))).alias("span")
-        ).alias(name) for name in rows.columns
-    ])
-    distinct, spans = (found.select(F.inline(F.array(*rows.columns))) for found in (distinct, spans))
-    return distinct.join(spans, "of").select(
-        "of", "exact", F.col("span")[0].alias("low"), F.col("span")[1].alias("high")
+            F.lit(at).alias("at"), F.lit(name).alias("of"),
+            F.percentile(profiles.measure_of(rows, name), F.array(*map(F.lit, shares))).alias("span"),
+        ).alias(name) for at, name in enumerate(rows.columns)
+    ]).select(F.inline(F.array(*rows.columns)))
+    # A column without a value has none to count.
+    return spans.join(distinct, "at", "left").select(
+        "of", F.coalesce("exact", F.lit(0)).alias("exact"), F.col("span")[0].alias("low"), F.col("span")[1].alias("high")
     )
 
 
